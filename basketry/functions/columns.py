@@ -11,8 +11,8 @@ _DIGEST_RANGE = 4294967296.0
 
 
 def to_units(amount: Column) -> Column:
-    """A money amount as a whole number of ten-thousandths."""
-    return F.round(amount * UNITS).cast("long")
+    """A money amount as the nearest whole number of ten-thousandths."""
+    return F.floor(amount * UNITS + 0.5)
 
 
 def from_units(units: Column) -> Column:

@@ -6,7 +6,9 @@ fct_orders rows), so nothing is fanned out to be summed again.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import UNITS, ratio, to_units, wide
@@ -28,34 +30,31 @@ def eda_metrics(weights: DataFrame, customers: DataFrame) -> DataFrame:
     ).select("total_revenue", repeat_rate.alias("repeat_rate"), "late_rate")
 
 
-def _range(values: DataFrame) -> tuple[Column, Column]:
-    """Limits of the values as scalar subqueries; equal ones are moved half a unit apart."""
-    same = F.min("order_value") == F.max("order_value")
-    half = F.when(same, 0.5).otherwise(0.0)
-    limits = values.agg(F.struct((F.min("order_value") - half).alias("lo"),
-                                 (F.max("order_value") + half).alias("hi"))).scalar()
-    return limits["lo"], limits["hi"]
-
-
-def _cell(value: Column, lo: Column, hi: Column, cells: int) -> Column:
-    """Number of the equal-width cell a value is in; the last cell has a closed end."""
-    return F.least(F.floor((value - lo) / ((hi - lo) / F.lit(float(cells)))), F.lit(cells - 1))
+def _valued(weights: DataFrame) -> DataFrame:
+    return weights.filter(F.col("order_value").isNotNull() & (F.col("n_rows") > 0))
 
 
 def order_histogram(weights: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
-    """(bin_no, bin, count) over [min, max] in equal widths, empty bins included."""
-    values = weights.filter(F.col("order_value").isNotNull() & (F.col("n_rows") > 0))
-    lo, hi = _range(values)
-    counts = (values.groupBy(_cell(F.col("order_value"), lo, hi, bins).cast("int").alias("bin_no"))
-              .agg(F.sum("n_rows").alias("count")))
+    """(bin_no, bin, count) over [min, max] in equal widths, empty bins included.
+
+    The last bin has a closed end; a single value gets bins half a unit around it.
+    `weights` is read twice, for its limits first, so pass a stored frame.
+    """
+    values = _valued(weights)
+    lo, hi = values.agg(F.min("order_value"), F.max("order_value")).first()
+    if lo is None:
+        bins, lo, hi = 0, 0.0, 1.0
+    if lo == hi:
+        lo, hi = lo - 0.5, hi + 0.5
+    width = (hi - lo) / max(bins, 1)
+    number = F.least(F.floor((F.col("order_value") - lo) / width), F.lit(bins - 1)).cast("int")
+    counts = values.groupBy(number.alias("bin_no")).agg(F.sum("n_rows").alias("count"))
     # every bin gets a row with count 0, then equal bins are added up
     empty = weights.sparkSession.range(bins).select(
         F.col("id").cast("int").alias("bin_no"), F.lit(0).cast("long").alias("count"))
-    width = (hi - lo) / F.lit(float(bins))
-    edges = [lo + F.col("bin_no") * width, lo + (F.col("bin_no") + 1) * width]
     filled = counts.unionByName(empty).groupBy("bin_no").agg(F.sum("count").alias("count"))
-    return (filled.select("bin_no", F.format_string("%.0f-%.0f", *edges).alias("bin"), "count")
-            .filter(lo.isNotNull()))
+    edges = [F.lit(lo) + F.col("bin_no") * width, F.lit(lo) + (F.col("bin_no") + 1) * width]
+    return filled.select("bin_no", F.format_string("%.0f-%.0f", *edges).alias("bin"), "count")
 
 
 def order_value_kde(weights: DataFrame, points: int = CURVE_POINTS, bins: int = HISTOGRAM_BINS,
@@ -66,44 +65,35 @@ def order_value_kde(weights: DataFrame, points: int = CURVE_POINTS, bins: int =
     narrow cells first (at least `cells` over the range and four per bandwidth), and
     a cell adds to the points within nine bandwidths of its mean; beyond that the
     kernel is below 1e-17. So the work after one aggregate depends on the cells, not
-    on the number of orders.
+    on the number of orders. `weights` is read twice, so pass a stored frame. Without
+    spread there is no curve: no rows.
     """
-    values = weights.filter(F.col("order_value").isNotNull() & (F.col("n_rows") > 0))
+    values = _valued(weights)
     u, n_rows = wide(to_units(F.col("order_value"))), F.col("n_rows")
     n = F.sum(n_rows).cast("double")
     mean, square = F.sum(u * n_rows).cast("double") / n, F.sum(u * u * n_rows).cast("double") / n
-    sd = F.sqrt((square - mean * mean) * ratio(n, n - 1.0)) / UNITS
-    m = values.agg(F.struct(
-        F.min("order_value").alias("lo"), F.max("order_value").alias("hi"), n.alias("n"),
-        (F.pow(n, F.lit(-0.2)) * F.nullif(sd, F.lit(0.0))).alias("h"))).scalar()
-    width = F.least((m["hi"] - m["lo"]) / float(cells), m["h"] / 4.0)
-    counted = (values.groupBy(F.floor((F.col("order_value") - m["lo"]) / width).alias("cell"))
-               .agg(F.sum(n_rows).alias("weight"), F.sum(u * n_rows).alias("total"))
-               .select((F.col("total").cast("double") / UNITS / F.col("weight")).alias("centre"),
-                       "weight"))
-
-    def with_range(df: DataFrame) -> DataFrame:
-        step = (m["hi"] - m["lo"]) / float(points - 1)
-        return df.select("*", m["lo"].alias("lo"), m["hi"].alias("hi"), m["h"].alias("h"),
-                         step.alias("step"))
-
-    def nearest_point(distance: float, rounding) -> Column:
-        return rounding((F.col("centre") + distance * F.col("h") - F.col("lo")) / F.col("step"))
-
-    first = F.greatest(nearest_point(-9.0, F.ceil), F.lit(0))
-    last = F.least(nearest_point(9.0, F.floor), F.lit(points - 1))
+    spread = F.sqrt((square - mean * mean) * ratio(n, n - 1.0)) / UNITS
+    lo, hi, n, sd = values.agg(F.min("order_value"), F.max("order_value"), n, spread).first()
+    if not sd:
+        points, lo, hi, n, sd = 0, 0.0, 1.0, 1.0, 1.0
+    h, step = n ** -0.2 * sd, (hi - lo) / max(points - 1, 1)
+    cell_width = min((hi - lo) / cells, h / 4.0)
+    centre = F.col("centre")
+    counted = (values.groupBy(F.floor((F.col("order_value") - lo) / cell_width).alias("cell"))
+               .agg(F.sum(n_rows).alias("weight"),
+                    (F.sum(u * n_rows).cast("double") / UNITS / F.sum(n_rows)).alias("centre")))
+    first = F.greatest(F.ceil((centre - 9.0 * h - lo) / step), F.lit(0))
+    last = F.least(F.floor((centre + 9.0 * h - lo) / step), F.lit(points - 1))
     near = F.when(first <= last, F.sequence(first.cast("int"), last.cast("int")))
-    x = F.col("lo") + F.col("point_no") * F.col("step")
-    z = (x - F.col("centre")) / F.col("h")
-    scale = (F.col("hi") - F.col("lo")) / float(bins)
-    kernel = F.col("weight") * F.exp(-0.5 * z * z) / (F.col("h") * F.sqrt(F.lit(2.0) * F.pi()))
-    terms = (with_range(counted).withColumn("point_no", F.explode(near))
-             .select("point_no", (kernel * scale).alias("density")))
+    x = F.lit(lo) + F.col("point_no") * step
+    z = (x - centre) / h
+    height = (hi - lo) / bins / (h * math.sqrt(2.0 * math.pi))
+    terms = (counted.withColumn("point_no", F.explode(near))
+             .select("point_no", (F.col("weight") * F.exp(-0.5 * z * z) * height).alias("density")))
     none = weights.sparkSession.range(points).select(
         F.col("id").cast("int").alias("point_no"), F.lit(0.0).alias("density"))
     summed = terms.unionByName(none).groupBy("point_no").agg(F.sum("density").alias("density"))
-    return (with_range(summed).filter(F.col("h").isNotNull())
-            .select("point_no", x.alias("x"), "density"))
+    return summed.select("point_no", x.alias("x"), "density")
 
 
 def repeat_by_state(customers: DataFrame, top: int | None = None) -> DataFrame:
@@ -128,7 +118,7 @@ def to_records(section: str, df: DataFrame) -> DataFrame:
 
 
 def eda_records(weights: DataFrame, customers: DataFrame) -> DataFrame:
-    """All summaries as JSON records (section, record)."""
+    """All summaries as JSON records (section, record); both frames are read several times."""
     return (to_records("metrics", eda_metrics(weights, customers))
             .unionByName(to_records("order_distribution", order_histogram(weights).drop("bin_no")))
             .unionByName(to_records("repeat_rate_by_state", repeat_by_state(customers)))

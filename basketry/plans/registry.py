@@ -31,10 +31,11 @@ def _view(name: str) -> Callable:
 
 def data_tests(spark, folder):
     v = views(spark, folder)
+    customers = materialize(v.fct_customers.select("customer_id", "is_repeat_customer"))
     groups = experiment.group_counts(experiment.simulate_outcome(
-        experiment.assign_groups(v.fct_customers)))
+        experiment.assign_groups(customers)))
     return quality.data_tests(v.raw["payments"], v.stg_payments, v.int_order_economics,
-                              v.fct_customers, v.fct_orders, groups)
+                              customers, v.fct_orders, groups)
 
 
 def preview_customers(spark, folder):
@@ -42,9 +43,16 @@ def preview_customers(spark, folder):
         "customer_id", "state", "lifetime_order_count").limit(5)
 
 
+def _stored_values(spark, folder) -> DataFrame:
+    """Order values with their number of rows, written once for the passes over them."""
+    return materialize(views(spark, folder).order_weights.select("order_value", "n_rows"))
+
+
 def eda_json(spark, folder):
     v = views(spark, folder)
-    return eda.eda_records(v.order_weights, v.fct_customers)
+    weights = materialize(v.order_weights.drop("order_id", "customer_id", "purchase_ts"))
+    return eda.eda_records(weights, materialize(
+        v.fct_customers.select("state", "is_repeat_customer")))
 
 
 def eda_metrics(spark, folder):
@@ -53,7 +61,7 @@ def eda_metrics(spark, folder):
 
 
 def order_value_kde(spark, folder):
-    return _rounded(eda.order_value_kde(views(spark, folder).order_weights), "x", "density")
+    return _rounded(eda.order_value_kde(_stored_values(spark, folder)), "x", "density")
 
 
 # ------------------------------------------------------------------- experiment
@@ -62,8 +70,15 @@ def _assigned(spark, folder) -> DataFrame:
     return experiment.assign_groups(views(spark, folder).fct_customers)
 
 
+def _stored_customers(spark, folder) -> DataFrame:
+    """Customer facts the experiment needs, written once: the base rate is a pass of its own."""
+    return materialize(views(spark, folder).fct_customers.select(
+        "customer_id", "is_repeat_customer", "avg_order_value", "lifetime_value"))
+
+
 def _experiment(spark, folder) -> DataFrame:
-    return experiment.simulate_outcome(_assigned(spark, folder))
+    return experiment.simulate_outcome(
+        experiment.assign_groups(_stored_customers(spark, folder)))
 
 
 def ab_outcome(spark, folder):
@@ -193,7 +208,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "preview_customers": preview_customers,
     "eda_metrics": eda_metrics,
     "eda_json": eda_json,
-    "order_histogram": lambda s, f: eda.order_histogram(views(s, f).order_weights),
+    "order_histogram": lambda s, f: eda.order_histogram(_stored_values(s, f)),
     "order_value_kde": order_value_kde,
     "repeat_by_state": lambda s, f: eda.repeat_by_state(views(s, f).fct_customers),
     "repeat_by_state_top15": lambda s, f: eda.repeat_by_state(views(s, f).fct_customers, 15),
@@ -208,7 +223,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ab_counts": lambda s, f: experiment.group_counts(_experiment(s, f)),
     "ab_ztest": ab_ztest,
     "ab_business": ab_business,
-    "ab_lift_sweep": lambda s, f: experiment.lift_sweep(_assigned(s, f)),
+    "ab_lift_sweep": lambda s, f: experiment.lift_sweep(
+        experiment.assign_groups(_stored_customers(s, f))),
     "ab_report": lambda s, f: experiment.report(_experiment(s, f)),
     "features_imputed": features_imputed,
     "features_onehot": features_onehot,

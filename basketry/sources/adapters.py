@@ -2,136 +2,163 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Callable, Iterator, Mapping
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Payment type of each order priority (fixed values); others have none.
-PAYMENT_TYPES = {
-    "1-URGENT": "credit_card",
-    "2-HIGH": "boleto",
-    "3-MEDIUM": "voucher",
-    "5-LOW": "debit_card",
+from basketry.functions.columns import UNITS
+
+# Columns used of the star tables; given here, no job has to look into the files for them.
+STAR_SCHEMAS = {
+    "customer": "c_custkey bigint, c_nationkey int",
+    "nation": "n_nationkey int, n_name string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_extendedprice double, l_tax double",
+    "part": "p_partkey bigint, p_type string",
+}
+
+# Order columns of the raw model as SQL over the star table (fixed values).
+ORDER_COLUMNS = {
+    "order_id": "o_orderkey",
+    "customer_id": "o_custkey",
+    "order_status": "CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'O' THEN 'shipped' "
+                    "ELSE 'processing' END",
+    "purchase_ts": "o_orderdate",
+    "approved_ts": "o_orderdate + INTERVAL 1 DAY",
+    "estimated_delivery_ts": "o_orderdate + make_dt_interval(cast(7 + o_orderkey % 14 AS int))",
+    "delivered_ts": "CASE WHEN o_orderstatus = 'F' AND o_orderkey % 50 <> 3 THEN o_orderdate "
+                    "+ make_dt_interval(cast(3 + o_orderkey * 7 % 19 AS int), "
+                    "cast(o_orderkey % 24 AS int)) END",
 }
-STATUS = {"F": "delivered", "O": "shipped"}
 
 
-def _mapped(column: str, names: dict[str, str], otherwise: str | None) -> Column:
-    result = F.lit(otherwise).cast("string")
-    for value, name in names.items():
-        result = F.when(F.col(column) == value, name).otherwise(result)
-    return result
+class Tables(Mapping):
+    """Tables by name, each built when it is first asked for."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders = builders
+        self._built: dict[str, DataFrame] = {}
 
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
 
-def _interval(days: Column | int, hours: Column | int = 0) -> Column:
-    return F.make_dt_interval(*[(c if isinstance(c, Column) else F.lit(c)).cast("int")
-                                for c in (days, hours)])
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
 
+    def __len__(self) -> int:
+        return len(self._builders)
 
-def star_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    names = ("customer", "nation", "orders", "lineitem", "part")
-    return {n: spark.read.parquet(f"{folder}/{n}.parquet") for n in names}
 
+def star_tables(spark: SparkSession, folder: str) -> Tables:
+    def reader(name: str) -> Callable[[], DataFrame]:
+        return lambda: spark.read.schema(STAR_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
-def raw_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    return Tables({name: reader(name) for name in STAR_SCHEMAS})
+
+
+def raw_tables(spark: SparkSession, folder: str) -> Tables:
     """The five raw tables, with duplicates, doubtful payments and repeated reviews."""
     star = star_tables(spark, folder)
-    key = F.col("o_orderkey")
-    return {
-        "customers": _customers(star),
-        "orders": _with_copies(_orders(star["orders"]), F.col("order_id") % 67 == 0),
-        "order_items": _items(star),
-        "payments": _payments(star["orders"], key),
-        "reviews": _reviews(star["orders"], key),
-    }
-
-
-def _customers(star: dict[str, DataFrame]) -> DataFrame:
-    name = F.col("n_name")
-    return star["customer"].join(star["nation"], F.col("c_nationkey") == F.col("n_nationkey")).select(
-        F.col("c_custkey").alias("customer_id"),
-        F.concat(F.lit("city_"), F.col("c_nationkey").cast("string")).alias("city"),
-        F.when(F.col("c_custkey") % 20 == 0, F.lower(name)).otherwise(name).alias("state"))
-
-
-def _orders(orders: DataFrame) -> DataFrame:
-    key, date = F.col("o_orderkey"), F.col("o_orderdate")
-    delivered = (F.col("o_orderstatus") == "F") & (key % 50 != 3)
-    return orders.select(
-        key.alias("order_id"), F.col("o_custkey").alias("customer_id"),
-        _mapped("o_orderstatus", STATUS, "processing").alias("order_status"),
-        date.alias("purchase_ts"), (date + _interval(1)).alias("approved_ts"),
-        (date + _interval(key % 14 + 7)).alias("estimated_delivery_ts"),
-        F.when(delivered, date + _interval(key * 7 % 19 + 3, key % 24)).alias("delivered_ts"))
-
-
-def _with_copies(df: DataFrame, copied: Column) -> DataFrame:
-    """Rows that meet the condition twice, in one scan."""
-    times = F.when(copied, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    return df.withColumn("copy", F.explode(times)).drop("copy")
-
-
-def _items(star: dict[str, DataFrame]) -> DataFrame:
-    price = F.col("l_extendedprice")
-    # one row per part: the join goes away where the category is not read
-    part = star["part"].groupBy("p_partkey").agg(F.max("p_type").alias("p_type"))
-    joined = star["lineitem"].join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
-    return joined.select(
-        F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("item_no"),
-        F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("seller_id"),
-        F.col("p_type").alias("category"), price.alias("price"),
-        (F.round(price * F.col("l_tax") * 1e4) / 1e4).alias("freight_value"))
+    return Tables({
+        "customers": lambda: _customers(star),
+        "orders": lambda: _with_copies(_orders(star)),
+        "order_items": lambda: _items(star),
+        "payments": lambda: _payments(star),
+        "reviews": lambda: _reviews(star),
+    })
+
 
+def _customers(star: Tables) -> DataFrame:
+    joined = star["customer"].join(star["nation"], F.col("c_nationkey") == F.col("n_nationkey"))
+    return joined.selectExpr(
+        "c_custkey AS customer_id", "concat('city_', c_nationkey) AS city",
+        "CASE WHEN c_custkey % 20 = 0 THEN lower(n_name) ELSE n_name END AS state")
 
-def _payments(orders: DataFrame, key: Column) -> DataFrame:
-    value = (F.when(key % 100 == 2, F.lit(None)).when(key % 100 == 1, -F.col("o_totalprice"))
-             .otherwise(F.col("o_totalprice")))
-    own = F.struct(_mapped("o_orderpriority", PAYMENT_TYPES, None).alias("payment_type"),
-                   (key % 10 + 1).cast("int").alias("installments"))
-    second = F.struct(F.lit("voucher").alias("payment_type"), F.lit(1).alias("installments"))
-    each = F.when(key % 25 == 0, F.array(own, second)).otherwise(F.array(own))
-    return (orders.select(key.alias("order_id"), F.explode(each).alias("p"),
-                          value.alias("payment_value"))
-            .select("order_id", "p.payment_type", "p.installments", "payment_value"))
 
+def _orders(star: Tables) -> DataFrame:
+    return star["orders"].selectExpr(*[f"{sql} AS {name}" for name, sql in ORDER_COLUMNS.items()])
 
-def _reviews(orders: DataFrame, key: Column) -> DataFrame:
-    score = (key % 7).cast("int")
-    own = F.when(key % 12 != 0, F.array(score)).otherwise(F.array().cast("array<int>"))
-    second = F.when(key % 91 == 0, F.array(F.lit(5))).otherwise(F.array().cast("array<int>"))
-    return orders.select(key.alias("order_id"), F.explode(F.concat(own, second)).alias("review_score"))
 
+def _with_copies(orders: DataFrame) -> DataFrame:
+    """Some rows twice, in one scan."""
+    return orders.selectExpr(
+        "*", "explode(CASE WHEN order_id % 67 = 0 THEN array(1, 2) ELSE array(1) END) AS copy"
+    ).drop("copy")
 
-def marketplace_files(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+
+def _items(star: Tables) -> DataFrame:
+    # one row per part: the join goes away where the category is not read
+    part = star["part"].groupBy("p_partkey").agg(F.max("p_type").alias("p_type"))
+    joined = star["lineitem"].join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+    return joined.selectExpr(
+        "l_orderkey AS order_id", "l_linenumber AS item_no", "l_partkey AS product_id",
+        "l_suppkey AS seller_id", "p_type AS category", "l_extendedprice AS price",
+        f"floor(l_extendedprice * l_tax * {UNITS}D + 0.5D) / {UNITS}D AS freight_value")
+
+
+def _payments(star: Tables) -> DataFrame:
+    own = ("named_struct('payment_type', CASE o_orderpriority WHEN '1-URGENT' THEN 'credit_card' "
+           "WHEN '2-HIGH' THEN 'boleto' WHEN '3-MEDIUM' THEN 'voucher' "
+           "WHEN '5-LOW' THEN 'debit_card' END, 'installments', cast(1 + o_orderkey % 10 AS int))")
+    second = "named_struct('payment_type', 'voucher', 'installments', 1)"
+    return star["orders"].selectExpr(
+        "o_orderkey AS order_id",
+        "CASE WHEN o_orderkey % 100 = 2 THEN NULL WHEN o_orderkey % 100 = 1 THEN -o_totalprice "
+        "ELSE o_totalprice END AS payment_value",
+        f"inline(CASE WHEN o_orderkey % 25 = 0 THEN array({own}, {second}) ELSE array({own}) END)",
+    ).select("order_id", "payment_type", "installments", "payment_value")
+
+
+def _reviews(star: Tables) -> DataFrame:
+    return star["orders"].selectExpr(
+        "o_orderkey AS order_id",
+        "explode(concat(CASE WHEN o_orderkey % 12 <> 0 THEN array(cast(o_orderkey % 7 AS int)) "
+        "ELSE cast(array() AS array<int>) END, "
+        "CASE WHEN o_orderkey % 91 = 0 THEN array(5) ELSE cast(array() AS array<int>) END)) "
+        "AS review_score")
+
+
+def marketplace_files(spark: SparkSession, folder: str) -> Tables:
     """The same orders as marketplace files: every order has its own customer_id."""
-    star = star_tables(spark, folder)
-    raw = raw_tables(spark, folder)
-    home = star["customer"].join(star["nation"], F.col("c_nationkey") == F.col("n_nationkey")).select(
-        F.col("c_custkey").alias("o_custkey"), F.col("n_name").alias("customer_state"))
-    key = F.col("o_orderkey")
-    customers = star["orders"].join(home, "o_custkey", "left").select(
-        key.alias("customer_id"), F.col("o_custkey").alias("customer_unique_id"),
-        F.concat(F.lit("city_"), (key % 50).cast("string")).alias("customer_city"),
-        "customer_state")
-    orders = _orders(star["orders"]).select(
-        "order_id", F.col("order_id").alias("customer_id"), "order_status",
-        F.col("purchase_ts").alias("order_purchase_timestamp"),
-        F.col("approved_ts").alias("order_approved_at"),
-        F.col("estimated_delivery_ts").alias("order_estimated_delivery_date"),
-        F.col("delivered_ts").alias("order_delivered_customer_date"))
-    part = F.col("p_partkey")
-    products = star["part"].select(
-        part.alias("product_id"),
-        F.when(part % 11 != 0, F.col("p_type")).alias("product_category_name"))
-    names = star["part"].select("p_type").distinct()
-    translation = names.filter(F.col("p_type") != "ECONOMY").select(
-        F.col("p_type").alias("product_category_name"),
-        F.concat(F.lit("en_"), F.lower("p_type")).alias("product_category_name_english"))
-    return {
+    star, raw = star_tables(spark, folder), raw_tables(spark, folder)
+
+    def customers() -> DataFrame:
+        home = star["customer"].join(star["nation"], F.col("c_nationkey") == F.col("n_nationkey"))
+        joined = star["orders"].join(home, F.col("o_custkey") == F.col("c_custkey"), "left")
+        return joined.selectExpr(
+            "o_orderkey AS customer_id", "o_custkey AS customer_unique_id",
+            "concat('city_', o_orderkey % 50) AS customer_city", "n_name AS customer_state")
+
+    def orders() -> DataFrame:
+        return _orders(star).selectExpr(
+            "order_id", "order_id AS customer_id", "order_status",
+            "purchase_ts AS order_purchase_timestamp", "approved_ts AS order_approved_at",
+            "estimated_delivery_ts AS order_estimated_delivery_date",
+            "delivered_ts AS order_delivered_customer_date")
+
+    def products() -> DataFrame:
+        return star["part"].selectExpr(
+            "p_partkey AS product_id",
+            "CASE WHEN p_partkey % 11 <> 0 THEN p_type END AS product_category_name")
+
+    def translation() -> DataFrame:
+        names = star["part"].select("p_type").distinct().filter("p_type <> 'ECONOMY'")
+        return names.selectExpr("p_type AS product_category_name",
+                                "concat('en_', lower(p_type)) AS product_category_name_english")
+
+    return Tables({
         "customers": customers,
         "orders": orders,
-        "order_items": raw["order_items"].drop("category").withColumnRenamed("item_no", "order_item_id"),
+        "order_items": lambda: raw["order_items"].drop("category").withColumnRenamed(
+            "item_no", "order_item_id"),
         "products": products,
         "translation": translation,
-        "payments": raw["payments"].withColumnRenamed("installments", "payment_installments"),
-        "reviews": raw["reviews"],
-    }
+        "payments": lambda: raw["payments"].withColumnRenamed(
+            "installments", "payment_installments"),
+        "reviews": lambda: raw["reviews"],
+    })
