@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ROWS_IN_A_TASK = 1_000_000
@@ -20,39 +20,37 @@ def exact_medians(df: DataFrame, *columns: str, rows_in_a_task: int = ROWS_IN_A_
     medians = df.agg(*[F.median(c).alias(c) for c in small]).first().asDict() if small else {}
     for c in columns:
         if c not in medians:
-            lower, upper = (counts[c] - 1) // 2, counts[c] // 2
             values = df.filter(F.col(c).isNotNull()).select(F.col(c).cast("double").alias("v"))
-            low, high = _at_ranks(values, counts[c], lower, upper, rows_in_a_task)
-            medians[c] = (low + high) / 2
+            middle = {(counts[c] - 1) // 2, counts[c] // 2}
+            found = [_value_at(values, counts[c], rank, rows_in_a_task) for rank in middle]
+            medians[c] = sum(found) / len(found)
     return medians
 
 
-def _at_ranks(values: DataFrame, n: int, lower: int, upper: int, limit: int) -> tuple:
-    """The values at two 0-based ranks, which are equal or neighbours."""
+def _value_at(values: DataFrame, n: int, rank: int, limit: int) -> float:
+    """The value at a 0-based rank of `n` values, of which `limit` may be sorted in one task.
+
+    Each round keeps only the values strictly between two others around the rank, so
+    few rounds do, and ties at the two ends cannot hold them up.
+    """
     v = F.col("v")
-    while True:
-        # the approximate ranks are off by at most n/ACCURACY
-        margin = 2.0 * max(1.0 / ACCURACY, 1.0 / n)
-        share = (lower + 0.5) / n
+    while n > limit:
+        share, margin = (rank + 0.5) / n, max(2.0 / ACCURACY, 1.0 / n)
         lo, hi = values.agg(F.percentile_approx(
             v, [max(share - margin, 0.0), min(share + margin, 1.0)], ACCURACY)).first()[0]
-        below = values.filter(v < lo).count()
-        values = values.filter(v.between(lo, hi))
-        distinct = values.groupBy("v").agg(F.count("*").alias("n"))
-        size = distinct.agg(F.count("*").alias("distinct"), F.sum("n").alias("n")).first()
-        lower, upper, n = lower - below, upper - below, size["n"]
-        if size["distinct"] <= limit:
-            return _pick(distinct, lower, upper)
-
-
-def _pick(distinct: DataFrame, lower: int, upper: int) -> tuple:
-    """Ranks among at most `limit` distinct values with their counts."""
-    upto = F.sum("n").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    ranked = distinct.select("v", "n", upto.alias("upto"))
-
-    def holds(rank: int) -> Column:
-        return (F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank)
-
-    row = ranked.agg(F.max(F.when(holds(lower), F.col("v"))),
-                     F.max(F.when(holds(upper), F.col("v")))).first()
-    return row[0], row[1]
+        between = (v > lo) & (v < hi)
+        below, at_lo, inside, at_hi = values.agg(
+            F.count(F.when(v < lo, 1)), F.count(F.when(v == lo, 1)),
+            F.count(F.when(between, 1)), F.count(F.when((v == hi) & (v > lo), 1))).first()
+        if rank < below:  # the bracket missed the rank, so it is on one side of it
+            values, n = values.filter(v < lo), below
+        elif rank < below + at_lo:
+            return lo
+        elif rank < below + at_lo + inside:
+            values, n, rank = values.filter(between), inside, rank - below - at_lo
+        elif rank < below + at_lo + inside + at_hi:
+            return hi
+        else:
+            rest = below + at_lo + inside + at_hi
+            values, n, rank = values.filter(v > hi), n - rest, rank - rest
+    return values.agg(F.sort_array(F.collect_list(v))[rank]).first()[0]

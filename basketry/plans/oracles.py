@@ -6,8 +6,8 @@ Sums of money are taken in whole ten-thousandths, as the engine does.
 
 from __future__ import annotations
 
-VIEWS = r"""
-WITH raw_customers AS (
+RAW = r"""
+raw_customers AS (
   SELECT c_custkey AS customer_id, concat('city_', c_nationkey) AS city,
          CASE WHEN c_custkey % 20 = 0 THEN lower(n_name) ELSE n_name END AS state
   FROM customer JOIN nation ON c_nationkey = n_nationkey),
@@ -43,7 +43,11 @@ raw_payments AS (
 raw_reviews AS (
   SELECT o_orderkey AS order_id, CAST(o_orderkey % 7 AS INTEGER) AS review_score
   FROM orders WHERE o_orderkey % 12 <> 0
-  UNION ALL SELECT o_orderkey, 5 FROM orders WHERE o_orderkey % 91 = 0),
+  UNION ALL SELECT o_orderkey, 5 FROM orders WHERE o_orderkey % 91 = 0)
+"""
+
+# From here on only raw_customers, raw_orders, raw_items, raw_payments, raw_reviews are read.
+DERIVED = r"""
 stg_customers AS (SELECT customer_id, city, upper(state) AS state FROM raw_customers),
 stg_orders AS (SELECT DISTINCT * FROM raw_orders),
 stg_payments AS (
@@ -187,7 +191,10 @@ test_scores AS (
 matrix AS (
   SELECT count(*) FILTER (label = 0 AND score < 0.5) AS tn, count(*) FILTER (label = 0 AND score >= 0.5) AS fp,
          count(*) FILTER (label = 1 AND score < 0.5) AS fn, count(*) FILTER (label = 1 AND score >= 0.5) AS tp
-  FROM test_scores),
+  FROM test_scores)
+"""
+
+MARKET = r"""
 market_customers AS (
   SELECT o_orderkey AS customer_id, o_custkey AS customer_unique_id,
          concat('city_', o_orderkey % 50) AS customer_city, n_name AS customer_state
@@ -347,7 +354,7 @@ _AUC = """
       FROM test_scores GROUP BY score))
 """
 
-_BODIES: dict[str, str] = {
+BODIES: dict[str, str] = {
     "stg_customers": "SELECT * FROM stg_customers",
     "stg_orders": "SELECT * FROM stg_orders",
     "stg_order_items": "SELECT order_id, item_no, product_id, seller_id, category, "
@@ -426,4 +433,9 @@ _BODIES: dict[str, str] = {
     "roc_auc": _AUC,
 }
 
-ORACLES: dict[str, str] = {name: VIEWS + body for name, body in _BODIES.items()}
+def with_views(body: str, *parts: str) -> str:
+    return "WITH " + ",".join(parts) + body
+
+
+ORACLES: dict[str, str] = {
+    name: with_views(body, RAW, MARKET, DERIVED) for name, body in BODIES.items()}
