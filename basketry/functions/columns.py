@@ -9,32 +9,35 @@ from pyspark.sql import functions as F
 UNITS = 1e4
 _DIGEST_RANGE = 4294967296.0
 
+# The functions named *_sql take and give SQL text: a plan of long expressions is
+# built much faster from text than from single Column calls.
 
-def to_units(amount: Column) -> Column:
+
+def units_sql(amount: str) -> str:
     """A money amount as the nearest whole number of ten-thousandths."""
-    return F.floor(amount * UNITS + 0.5)
+    return f"floor({amount} * {UNITS}D + 0.5D)"
 
 
-def from_units(units: Column) -> Column:
-    return units.cast("double") / UNITS
+def wide_sql(number: str) -> str:
+    """An integer widened so that sums over a whole table cannot overflow."""
+    return f"CAST({number} AS DECIMAL(25,0))"
 
 
-def wide(number: Column) -> Column:
-    """An integer widened so that sums over a whole table cannot overflow."""
-    return number.cast("decimal(25,0)")
+def from_units(units: Column) -> Column:
+    return units.cast("double") / UNITS
 
 
-def round_ratio(numerator: Column, denominator: Column, digits: int) -> Column:
+def round_ratio(numerator: str, denominator: str, digits: int) -> Column:
     """numerator/denominator rounded half away from zero, in whole numbers.
 
-    The numerator is an integer column, the denominator a positive integer
-    column; NULL where the denominator is 0.
+    The numerator is integer SQL, the denominator SQL for a non-negative integer;
+    NULL where the denominator is 0.
     """
     scale = 10**digits
-    den = F.nullif(denominator, F.lit(0))
-    nearest = F.call_function("div", F.abs(numerator) * (2 * scale) + den, den * 2)
-    rounded = nearest.cast("double") / float(scale)
-    return F.when(numerator < 0, -rounded).otherwise(rounded)
+    num, den = f"({numerator})", f"nullif({denominator}, 0)"
+    nearest = f"((abs({num}) * {2 * scale} + {den}) div ({den} * 2))"
+    return F.expr(f"CAST(CASE WHEN {num} < 0 THEN -{nearest} ELSE {nearest} END AS DOUBLE) "
+                  f"/ {float(scale)}D")
 
 
 def hash_uniform(salt: str, key: Column) -> Column:

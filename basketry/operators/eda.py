@@ -11,7 +11,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.functions.columns import UNITS, ratio, to_units, wide
+from basketry.functions.columns import UNITS, ratio, units_sql, wide_sql
 
 HISTOGRAM_BINS = 40
 CURVE_POINTS = 200
@@ -20,18 +20,17 @@ CURVE_CELLS = 2000
 
 def eda_metrics(weights: DataFrame, customers: DataFrame) -> DataFrame:
     """One row: total revenue, repeat rate and late rate in percent."""
-    n_rows = F.col("n_rows")
-    revenue = F.sum(wide(to_units(F.col("order_value"))) * n_rows)
     repeat_rate = customers.agg(
         ratio(F.sum("is_repeat_customer"), F.count("is_repeat_customer")) * 100).scalar()
+    revenue = f"sum({wide_sql(units_sql('order_value'))} * n_rows)"
     return weights.agg(
-        (F.coalesce(revenue, F.lit(0)).cast("double") / UNITS).alias("total_revenue"),
-        (ratio(F.sum(F.col("was_late") * n_rows), F.sum(n_rows)) * 100).alias("late_rate"),
+        F.expr(f"CAST(coalesce({revenue}, 0) AS DOUBLE) / {UNITS}D").alias("total_revenue"),
+        F.expr("CAST(sum(was_late * n_rows) AS DOUBLE) / nullif(sum(n_rows), 0) * 100").alias("late_rate"),
     ).select("total_revenue", repeat_rate.alias("repeat_rate"), "late_rate")
 
 
 def _valued(weights: DataFrame) -> DataFrame:
-    return weights.filter(F.col("order_value").isNotNull() & (F.col("n_rows") > 0))
+    return weights.filter("order_value IS NOT NULL AND n_rows > 0")
 
 
 def order_histogram(weights: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
@@ -69,7 +68,7 @@ def order_value_kde(weights: DataFrame, points: int = CURVE_POINTS, bins: int =
     spread there is no curve: no rows.
     """
     values = _valued(weights)
-    u, n_rows = wide(to_units(F.col("order_value"))), F.col("n_rows")
+    u, n_rows = F.expr(wide_sql(units_sql("order_value"))), F.col("n_rows")
     n = F.sum(n_rows).cast("double")
     mean, square = F.sum(u * n_rows).cast("double") / n, F.sum(u * u * n_rows).cast("double") / n
     spread = F.sqrt((square - mean * mean) * ratio(n, n - 1.0)) / UNITS

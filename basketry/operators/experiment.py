@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.functions.columns import clip01, hash_uniform, ratio, to_units, from_units, wide
+from basketry.functions.columns import clip01, from_units, hash_uniform, ratio, units_sql, wide_sql
 from basketry.functions.stats import normal_upper_tail_col, t_two_sided_col
 
 SEED = 7
@@ -106,8 +106,8 @@ def z_test(experiment: DataFrame) -> DataFrame:
 
 def business_case(experiment: DataFrame) -> DataFrame:
     """One row: the z-test, modelled revenue against discount cost, and the decision."""
-    value = wide(to_units(F.col("avg_order_value")))
-    lifetime = wide(to_units(F.col("lifetime_value")))
+    value = F.expr(wide_sql(units_sql("avg_order_value")))
+    lifetime = F.expr(wide_sql(units_sql("lifetime_value")))
     rates = _with_z(_rates(
         experiment,
         ratio(F.sum(lifetime), F.count("lifetime_value") * 10_000).alias("mean_lifetime_value"),

@@ -5,29 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.functions.columns import from_units, to_units
+from basketry.functions.columns import UNITS, units_sql
 from basketry.operators.skew import expand_join, number_rows
 
 
 def item_agg(items: DataFrame) -> DataFrame:
     """Per order: rows, price, freight, and price plus freight (NULL freight adds nothing)."""
-    price, freight = to_units(F.col("price")), to_units(F.col("freight_value"))
+    price, freight = units_sql("price"), units_sql("freight_value")
     return items.groupBy("order_id").agg(
         F.count("*").alias("n_items"),
-        from_units(F.sum(price)).alias("merchandise_value"),
-        from_units(F.sum(freight)).alias("freight_value"),
-        from_units(F.sum(price + freight)).alias("order_value"),
+        F.expr(f"sum({price}) / {UNITS}D").alias("merchandise_value"),
+        F.expr(f"sum({freight}) / {UNITS}D").alias("freight_value"),
+        F.expr(f"sum({price} + {freight}) / {UNITS}D").alias("order_value"),
     )
 
 
 def delivered_orders(orders: DataFrame) -> DataFrame:
     """Delivered orders with delivery delta in whole days and the late flag."""
-    delivered, estimate = F.col("delivered_ts"), F.col("estimated_delivery_ts")
-    return orders.filter(F.col("order_status") == "delivered").select(
-        "order_id", "customer_id", "order_status", "purchase_ts",
-        "estimated_delivery_ts", "delivered_ts",
-        F.extract(F.lit("DAY"), delivered - estimate).cast("int").alias("delivery_delta_days"),
-        F.when(delivered.isNotNull() & (delivered > estimate), 1).otherwise(0).alias("was_late"),
+    return orders.filter("order_status = 'delivered'").selectExpr(
+        "order_id", "customer_id", "order_status", "purchase_ts", "estimated_delivery_ts",
+        "delivered_ts",
+        "CAST(extract(DAY FROM delivered_ts - estimated_delivery_ts) AS INT) AS delivery_delta_days",
+        "CASE WHEN delivered_ts > estimated_delivery_ts THEN 1 ELSE 0 END AS was_late",
     )
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.functions.columns import ratio, round_ratio, to_units, wide
+from basketry.functions.columns import ratio, round_ratio, units_sql, wide_sql
 from basketry.operators.intermediate import (
     int_customer_order_sequence,
     int_order_review,
@@ -29,14 +29,14 @@ ORDER_COLUMNS = ("order_id", "customer_id", "order_value", "was_late", "review_s
 
 def review_totals(reviews: DataFrame) -> DataFrame:
     """Per order: number of reviews and sum of scores."""
-    return (reviews.filter(F.col("order_id").isNotNull()).groupBy("order_id")
-            .agg(F.count("*").alias("n_reviews"),
-                 F.sum(F.col("review_score").cast("long")).alias("score_sum")))
+    return reviews.filter("order_id IS NOT NULL").groupBy("order_id").agg(
+        F.count("*").alias("n_reviews"),
+        F.expr("sum(CAST(review_score AS BIGINT))").alias("score_sum"))
 
 
 def payment_counts(payments: DataFrame) -> DataFrame:
-    return (payments.filter(F.col("order_id").isNotNull()).groupBy("order_id")
-            .agg(F.count("*").alias("n_payments")))
+    return payments.filter("order_id IS NOT NULL").groupBy("order_id").agg(
+        F.count("*").alias("n_payments"))
 
 
 # ---------------------------------------------------------------- customer facts
@@ -48,66 +48,67 @@ def fct_customers(customers: DataFrame, economics: DataFrame, reviews: DataFrame
         totals = _customer_totals(economics, reviews)
     else:
         totals = _customer_totals_by_definition(economics, reviews, profile)
-    copies = (customers.filter(F.col("customer_id").isNotNull())
-              .groupBy("customer_id", "state").agg(F.count("*").alias("copies")))
-    value = F.col("value_units")
-    n = F.col("lifetime_order_count")
+    copies = customers.filter("customer_id IS NOT NULL").groupBy("customer_id", "state").agg(
+        F.count("*").alias("copies"))
     return copies.join(totals, "customer_id").select(
-        "customer_id", "state", n,
-        F.when(n > 1, 1).otherwise(0).alias("is_repeat_customer"),
-        round_ratio(value, F.col("value_rows") * 10_000, 2).alias("avg_order_value"),
-        round_ratio(value * F.col("copies"), F.lit(10_000), 2).alias("lifetime_value"),
-        round_ratio(F.col("late_rows") * 100, F.col("all_rows"), 1).alias("pct_orders_late"),
-        round_ratio(F.col("score_sum"), F.col("n_reviews"), 2).alias("avg_review_score"),
+        "customer_id", "state", "lifetime_order_count",
+        F.expr("CASE WHEN lifetime_order_count > 1 THEN 1 ELSE 0 END").alias("is_repeat_customer"),
+        round_ratio("value_units", "value_rows * 10000", 2).alias("avg_order_value"),
+        round_ratio("value_units * copies", "10000", 2).alias("lifetime_value"),
+        round_ratio("late_rows * 100", "all_rows", 1).alias("pct_orders_late"),
+        round_ratio("score_sum", "n_reviews", 2).alias("avg_review_score"),
         "first_purchase_ts", "last_purchase_ts",
     )
 
 
+# Sums per customer over orders that count `n` times each.
+_CUSTOMER_SUMS = {
+    "value_units": f"sum({wide_sql(units_sql('order_value'))} * n)",
+    "value_rows": "sum(CASE WHEN order_value IS NOT NULL THEN n ELSE 0 END)",
+    "late_rows": "sum(was_late * n)",
+    "all_rows": "sum(n)",
+    "first_purchase_ts": "min(CASE WHEN n > 0 THEN purchase_ts END)",
+    "last_purchase_ts": "max(CASE WHEN n > 0 THEN purchase_ts END)",
+}
+
+
+def _sums(expressions: dict[str, str]) -> list[Column]:
+    return [F.expr(sql).alias(name) for name, sql in expressions.items()]
+
+
 def _customer_totals(economics: DataFrame, reviews: DataFrame) -> DataFrame:
-    """Sums per customer; an order counts once per review, as in a join with reviews."""
-    rows = F.when(F.col("order_id").isNotNull(),
-                  F.greatest(F.coalesce("n_reviews", F.lit(0)), F.lit(1))).otherwise(0)
-    units = to_units(F.col("order_value"))
-    joinable = F.col("order_id").isNotNull()
-    return (economics.filter(F.col("customer_id").isNotNull())
-            .join(review_totals(reviews), "order_id", "left")
-            .withColumn("rows", rows)
-            .groupBy("customer_id").agg(
-                F.count("*").alias("lifetime_order_count"),
-                F.sum(F.when(joinable, wide(units) * F.col("rows"))).alias("value_units"),
-                F.sum(F.when(units.isNotNull(), F.col("rows")).otherwise(0)).alias("value_rows"),
-                F.sum(F.col("was_late") * F.col("rows")).alias("late_rows"),
-                F.sum("rows").alias("all_rows"),
-                F.sum("score_sum").alias("score_sum"),
-                F.coalesce(F.sum("n_reviews"), F.lit(0)).alias("n_reviews"),
-                F.min(F.when(joinable, F.col("purchase_ts"))).alias("first_purchase_ts"),
-                F.max(F.when(joinable, F.col("purchase_ts"))).alias("last_purchase_ts"))
-            .filter(F.col("all_rows") > 0))
+    """Sums per customer; an order counts once per review, as in a join with reviews.
+
+    An order without an id is in no join, so it adds to the number of orders only.
+    """
+    counted = (economics.filter("customer_id IS NOT NULL")
+               .join(review_totals(reviews), "order_id", "left")
+               .withColumn("n", F.expr("CASE WHEN order_id IS NULL THEN 0 "
+                                       "ELSE greatest(coalesce(n_reviews, 0), 1) END")))
+    return counted.groupBy("customer_id").agg(*_sums({
+        "lifetime_order_count": "count(*)", **_CUSTOMER_SUMS,
+        "value_units": f"sum(CASE WHEN n > 0 THEN {wide_sql(units_sql('order_value'))} * n END)",
+        "score_sum": "sum(score_sum)",
+        "n_reviews": "coalesce(sum(n_reviews), 0)",
+    })).filter("all_rows > 0")
 
 
 def _customer_totals_by_definition(economics: DataFrame, reviews: DataFrame,
                                    profile: KeyProfile) -> DataFrame:
     """The same sums where an order_id has several rows, each of which meets the others."""
     sequence = int_customer_order_sequence(economics, profile.heavy_customers)
-    lifetimes = (sequence.filter(F.col("order_id").isNotNull())
+    lifetimes = (sequence.filter("order_id IS NOT NULL")
                  .groupBy("order_id", "lifetime_order_count")
                  .agg(F.count("*").alias("matches")))
-    units = to_units(F.col("order_value"))
-    joined = (economics.filter(F.col("customer_id").isNotNull())
-              .join(lifetimes, "order_id")
-              .join(review_totals(reviews), "order_id", "left")
-              .withColumn("rows", F.col("matches")
-                          * F.greatest(F.coalesce("n_reviews", F.lit(0)), F.lit(1))))
-    return joined.groupBy("customer_id", "lifetime_order_count").agg(
-        F.sum(wide(units) * F.col("rows")).alias("value_units"),
-        F.sum(F.when(units.isNotNull(), F.col("rows")).otherwise(0)).alias("value_rows"),
-        F.sum(F.col("was_late") * F.col("rows")).alias("late_rows"),
-        F.sum("rows").alias("all_rows"),
-        F.sum(F.col("score_sum") * F.col("matches")).alias("score_sum"),
-        F.coalesce(F.sum(F.col("n_reviews") * F.col("matches")), F.lit(0)).alias("n_reviews"),
-        F.min("purchase_ts").alias("first_purchase_ts"),
-        F.max("purchase_ts").alias("last_purchase_ts"),
-    )
+    counted = (economics.filter("customer_id IS NOT NULL")
+               .join(lifetimes, "order_id")
+               .join(review_totals(reviews), "order_id", "left")
+               .withColumn("n", F.expr("matches * greatest(coalesce(n_reviews, 0), 1)")))
+    return counted.groupBy("customer_id", "lifetime_order_count").agg(*_sums({
+        **_CUSTOMER_SUMS,
+        "score_sum": "sum(score_sum * matches)",
+        "n_reviews": "coalesce(sum(n_reviews * matches), 0)",
+    }))
 
 
 # ------------------------------------------------------------------- order facts
@@ -129,7 +130,7 @@ def fct_orders(economics: DataFrame, reviews: DataFrame, payments: DataFrame,
         numbered = number_rows(
             economics.select("order_id", "customer_id", "purchase_ts", "order_value", "was_late"),
             "customer_id", "purchase_ts", "order_id", profile.heavy_customers,
-        ).filter(F.col("order_id").isNotNull()).drop(
+        ).filter("order_id IS NOT NULL").drop(
             "purchase_ts", "prev_order_ts", "lifetime_order_count")
         rows = with_reviews_and_payments(numbered, reviews, payments, True,
                                          heavy_reviews, heavy_payments)
@@ -138,8 +139,8 @@ def fct_orders(economics: DataFrame, reviews: DataFrame, payments: DataFrame,
         rows = int_order_review(economics, reviews, payments, False, heavy_reviews,
                                 heavy_payments).join(
             sequence.select("order_id", "order_seq_num"), "order_id")
-    repeat = F.when(F.col("order_seq_num") > 1, 1).otherwise(0).alias("is_repeat_order")
-    return rows.select(*ORDER_COLUMNS[:-1], repeat)
+    return rows.selectExpr(*ORDER_COLUMNS[:-1],
+                           "CASE WHEN order_seq_num > 1 THEN 1 ELSE 0 END AS is_repeat_order")
 
 
 def mean_review(reviews: DataFrame) -> DataFrame:
@@ -151,7 +152,7 @@ def largest_payment(payments: DataFrame) -> DataFrame:
     """Per order the payment of the largest value; ties go to the larger type and installments."""
     best = F.max(F.struct("payment_value", "payment_type", "installments",
                           "payment_quality_flag")).alias("best")
-    return payments.filter(F.col("order_id").isNotNull()).groupBy("order_id").agg(best).select(
+    return payments.filter("order_id IS NOT NULL").groupBy("order_id").agg(best).select(
         "order_id", "best.payment_type", "best.installments", "best.payment_value",
         "best.payment_quality_flag")
 
@@ -166,20 +167,18 @@ def order_weights(economics: DataFrame, reviews: DataFrame, payments: DataFrame,
     """
     if not profile.unique_orders:
         rows = fct_orders(economics, reviews, payments, profile)
-        return rows.select(
-            "order_id", "customer_id", "order_value", "was_late", F.lit(1).cast("long").alias("n_rows"),
-            F.when(F.col("review_score").isNotNull(), 1).otherwise(0).cast("long").alias("score_rows"),
-            F.coalesce("review_score", F.lit(0)).cast("long").alias("score_sum"))
-    n_reviews = F.coalesce("n_reviews", F.lit(0))
-    paid = (F.when(F.col("order_id").isNull(), 0)
-            .otherwise(F.greatest(F.coalesce("n_payments", F.lit(0)), F.lit(1))))
+        return rows.selectExpr(
+            "order_id", "customer_id", "order_value", "was_late", "1L AS n_rows",
+            "CAST(review_score IS NOT NULL AS BIGINT) AS score_rows",
+            "CAST(coalesce(review_score, 0) AS BIGINT) AS score_sum")
+    paid = "CASE WHEN order_id IS NULL THEN 0 ELSE greatest(coalesce(n_payments, 0), 1) END"
     return (economics
             .join(review_totals(reviews), "order_id", "left")
             .join(payment_counts(payments), "order_id", "left")
-            .select("order_id", "customer_id", "purchase_ts", "order_value", "was_late",
-                    (F.greatest(n_reviews, F.lit(1)) * paid).alias("n_rows"),
-                    (n_reviews * paid).alias("score_rows"),
-                    (F.coalesce("score_sum", F.lit(0)) * paid).alias("score_sum")))
+            .selectExpr("order_id", "customer_id", "purchase_ts", "order_value", "was_late",
+                        f"greatest(coalesce(n_reviews, 0), 1) * {paid} AS n_rows",
+                        f"coalesce(n_reviews, 0) * {paid} AS score_rows",
+                        f"coalesce(score_sum, 0) * {paid} AS score_sum"))
 
 
 def first_order(*carry: str) -> Column:
@@ -187,8 +186,8 @@ def first_order(*carry: str) -> Column:
 
     It has a partial step and needs no window, so no customer is too large for it.
     """
-    undated = F.col("purchase_ts").isNull().alias("undated")
-    return F.min(F.struct(undated, "purchase_ts", "order_id", *carry)).alias("first")
+    columns = ", ".join(("purchase_ts", "order_id", *carry))
+    return F.expr(f"min(struct(purchase_ts IS NULL AS undated, {columns}))").alias("first")
 
 
 def late_vs_repeat(economics: DataFrame, reviews: DataFrame, payments: DataFrame,
@@ -205,32 +204,26 @@ def late_vs_repeat(economics: DataFrame, reviews: DataFrame, payments: DataFrame
             F.count("review_score").alias("score_rows"))
     return totals.select(
         "was_late", "customers",
-        round_ratio(F.col("repeats") * 100, F.col("n_rows"), 1).alias("repeat_rate_pct"),
-        round_ratio(F.col("score_sum"), F.col("score_rows"), 2).alias("avg_review_score"))
+        round_ratio("repeats * 100", "n_rows", 1).alias("repeat_rate_pct"),
+        round_ratio("score_sum", "score_rows", 2).alias("avg_review_score"))
 
 
 def _late_totals(weights: DataFrame) -> DataFrame:
     """Fold orders to customers, then customers to the two delivery classes."""
-    classes = [(0, "on_time"), (1, "late")]
-    sums = []
-    for flag, name in classes:
-        here = F.col("was_late") == flag
-        for measure in ("n_rows", "score_rows", "score_sum"):
-            sums.append(F.sum(F.when(here, F.col(measure))).alias(f"{name}_{measure}"))
-    customers = weights.groupBy("customer_id").agg(first_order("was_late", "n_rows"), *sums)
-    per_class = []
-    for flag, name in classes:
-        rows = F.col(f"{name}_n_rows")
-        firsts = F.when(F.col("first.was_late") == flag, F.col("first.n_rows")).otherwise(0)
-        per_class.append(F.struct(
-            F.lit(flag).alias("was_late"),
-            F.count(F.when(rows > 0, F.col("customer_id"))).alias("customers"),
-            (F.sum(rows) - F.sum(firsts)).alias("repeats"),
-            F.sum(rows).alias("n_rows"),
-            F.sum(f"{name}_score_sum").alias("score_sum"),
-            F.coalesce(F.sum(f"{name}_score_rows"), F.lit(0)).alias("score_rows")))
-    return (customers.agg(F.array(*per_class).alias("classes"))
-            .select(F.inline("classes")).filter(F.col("n_rows") > 0))
+    classes = ((0, "on_time"), (1, "late"))
+    customers = weights.groupBy("customer_id").agg(first_order("was_late", "n_rows"), *_sums({
+        f"{name}_{measure}": f"sum(CASE WHEN was_late = {flag} THEN {measure} END)"
+        for flag, name in classes for measure in ("n_rows", "score_rows", "score_sum")}))
+    per_class = [
+        f"named_struct('was_late', {flag}, "
+        f"'customers', count(CASE WHEN {name}_n_rows > 0 THEN customer_id END), "
+        f"'repeats', sum({name}_n_rows) - sum(CASE WHEN first.was_late = {flag} "
+        f"THEN first.n_rows ELSE 0 END), "
+        f"'n_rows', sum({name}_n_rows), 'score_sum', sum({name}_score_sum), "
+        f"'score_rows', coalesce(sum({name}_score_rows), 0))"
+        for flag, name in classes]
+    return (customers.agg(F.expr(f"array({', '.join(per_class)})").alias("classes"))
+            .selectExpr("inline(classes)").filter("n_rows > 0"))
 
 
 # ---------------------------------------------------------- first-order features
@@ -244,26 +237,26 @@ def first_order_features(customers: DataFrame, delivered: DataFrame, items: Data
     away). Equals fct_orders ⋈ fct_customers where order_seq_num = 1, for unique
     order ids.
     """
-    first = (delivered.filter(F.col("customer_id").isNotNull()).groupBy("customer_id")
+    first = (delivered.filter("customer_id IS NOT NULL").groupBy("customer_id")
              .agg(first_order("was_late"), F.count("*").alias("lifetime_order_count"))
              .select("customer_id", "first.order_id", "first.was_late", "lifetime_order_count")
-             .filter(F.col("order_id").isNotNull()))
+             .filter("order_id IS NOT NULL"))
     states = customers.select("customer_id", "state").distinct()
     known = first.join(states, "customer_id")
-    values = item_agg(items.filter(F.col("order_id").isNotNull())).select("order_id", "order_value")
+    values = item_agg(items.filter("order_id IS NOT NULL")).select("order_id", "order_value")
     valued = known.join(values, "order_id", "left")
     # several states per customer repeat an order: no broadcast of the left side
     rows = with_reviews_and_payments(valued, reviews, payments, False,
                                      profile.heavy_reviews, profile.heavy_payments)
-    return rows.select(
+    return rows.selectExpr(
         "order_id", "customer_id", "order_value", "was_late", "review_score", "payment_type",
         "installments", "state",
-        F.when(F.col("lifetime_order_count") > 1, 1).otherwise(0).alias("is_repeat_customer"))
+        "CASE WHEN lifetime_order_count > 1 THEN 1 ELSE 0 END AS is_repeat_customer")
 
 
 def first_order_features_by_definition(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """The same from the two marts, for order ids that repeat."""
-    return (orders.filter(F.col("order_seq_num") == 1)
+    return (orders.filter("order_seq_num = 1")
             .join(customers.select("customer_id", "state", "is_repeat_customer"), "customer_id")
             .select("order_id", "customer_id", "order_value", "was_late", "review_score",
                     "payment_type", "installments", "state", "is_repeat_customer"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ORDER_TIMES = ("purchase_ts", "approved_ts", "estimated_delivery_ts", "delivered_ts")
@@ -17,12 +17,10 @@ def typed_orders(orders: DataFrame, on_bad_ts: str = "raise") -> DataFrame:
     if on_bad_ts not in ("raise", "null"):
         raise ValueError("on_bad_ts is 'raise' or 'null'")
 
-    def timestamp(name: str) -> Column:
-        col = F.col(name)
-        typed = col.cast("timestamp_ntz") if on_bad_ts == "raise" else col.try_cast("timestamp_ntz")
-        return typed.alias(name)
-
-    return orders.select("order_id", "customer_id", "order_status", *map(timestamp, ORDER_TIMES))
+    cast = "CAST" if on_bad_ts == "raise" else "TRY_CAST"
+    return orders.selectExpr(
+        "order_id", "customer_id", "order_status",
+        *[f"{cast}({name} AS TIMESTAMP_NTZ) AS {name}" for name in ORDER_TIMES])
 
 
 def stg_orders(orders: DataFrame, on_bad_ts: str = "raise") -> DataFrame:
@@ -31,23 +29,20 @@ def stg_orders(orders: DataFrame, on_bad_ts: str = "raise") -> DataFrame:
 
 
 def stg_order_items(items: DataFrame) -> DataFrame:
-    return items.select(
+    return items.selectExpr(
         "order_id", "item_no", "product_id", "seller_id", "category",
-        F.col("price").cast("double").alias("price"),
-        F.col("freight_value").cast("double").alias("freight_value"),
+        "CAST(price AS DOUBLE) AS price", "CAST(freight_value AS DOUBLE) AS freight_value",
     )
 
 
 def stg_payments(payments: DataFrame) -> DataFrame:
     """Payments, all kept; doubtful amounts are flagged."""
-    value = F.col("payment_value")
-    flag = (F.when(value.isNull(), "missing_value")
-            .when(value < 0, "negative_value")
-            .otherwise("ok"))
-    return payments.select("order_id", "payment_type", "installments", "payment_value",
-                           flag.alias("payment_quality_flag"))
+    return payments.selectExpr(
+        "order_id", "payment_type", "installments", "payment_value",
+        "CASE WHEN payment_value IS NULL THEN 'missing_value' "
+        "WHEN payment_value < 0 THEN 'negative_value' ELSE 'ok' END AS payment_quality_flag")
 
 
 def stg_reviews(reviews: DataFrame) -> DataFrame:
     """Reviews with a score of 1 to 5; others and NULL are dropped."""
-    return reviews.select("order_id", "review_score").filter(F.col("review_score").between(1, 5))
+    return reviews.select("order_id", "review_score").filter("review_score BETWEEN 1 AND 5")

@@ -71,7 +71,7 @@ def test_payment_flags_and_review_filter(spark):
     (None, 3, 2, None), (0, 3, 2, 0.0)])
 def test_round_ratio(spark, numerator, denominator, digits, expected):
     df = spark.createDataFrame([(numerator, denominator)], "a bigint, b bigint")
-    assert df.select(round_ratio(F.col("a"), F.col("b"), digits)).first()[0] == expected
+    assert df.select(round_ratio("a", "b", digits)).first()[0] == expected
 
 
 def test_hash_uniform_is_uniform_and_stable(spark):
