@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,8 +43,8 @@ def int_order_economics(orders: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def with_reviews_and_payments(orders: DataFrame, reviews: DataFrame, payments: DataFrame,
-                              unique_orders: bool, heavy_reviews: list = [],
-                              heavy_payments: list = []) -> DataFrame:
+                              unique_orders: bool, heavy_reviews: Sequence = (),
+                              heavy_payments: Sequence = ()) -> DataFrame:
     """orders ⟕ reviews ⟕ payments on order_id, each match its own row.
 
     All three joins of an order share one partitioning by order_id.
@@ -54,8 +56,8 @@ def with_reviews_and_payments(orders: DataFrame, reviews: DataFrame, payments: D
 
 
 def int_order_review(economics: DataFrame, reviews: DataFrame, payments: DataFrame,
-                     unique_orders: bool = False, heavy_reviews: list = [],
-                     heavy_payments: list = []) -> DataFrame:
+                     unique_orders: bool = False, heavy_reviews: Sequence = (),
+                     heavy_payments: Sequence = ()) -> DataFrame:
     """Orders with their reviews and payments; the fan-out is kept."""
     orders = economics.select("order_id", "customer_id", "order_value", "was_late")
     return with_reviews_and_payments(orders, reviews, payments, unique_orders, heavy_reviews,
@@ -64,7 +66,7 @@ def int_order_review(economics: DataFrame, reviews: DataFrame, payments: DataFra
         "payment_type", "installments", "payment_quality_flag")
 
 
-def int_customer_order_sequence(economics: DataFrame, heavy_customers: list = []) -> DataFrame:
+def int_customer_order_sequence(economics: DataFrame, heavy_customers: Sequence = ()) -> DataFrame:
     """Each customer's orders numbered by time, with the time before and the count."""
     rows = economics.select("order_id", "customer_id", "purchase_ts", "order_value")
     numbered = number_rows(rows, "customer_id", "purchase_ts", "order_id", heavy_customers)

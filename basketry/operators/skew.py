@@ -6,6 +6,8 @@ each of them is the plain join or window.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,13 +29,13 @@ def heavy_keys(df: DataFrame, key: str, heavy_rows: int = HEAVY_ROWS) -> list:
     return [row[0] for row in heavy.select(key).collect()]
 
 
-def is_heavy(key: str, heavy: list) -> Column:
+def is_heavy(key: str, heavy: Sequence) -> Column:
     """True or false (never NULL): is this row's key one of `heavy`?"""
     found = F.col(key).isin([v for v in heavy if v is not None])
     return F.coalesce(found, F.lit(None in heavy))
 
 
-def expand_join(left: DataFrame, right: DataFrame, key: str, heavy: list,
+def expand_join(left: DataFrame, right: DataFrame, key: str, heavy: Sequence,
                 left_is_unique: bool) -> DataFrame:
     """left ⟕ right, where `heavy` keys have many rows on the right.
 
@@ -53,7 +55,7 @@ def expand_join(left: DataFrame, right: DataFrame, key: str, heavy: list,
     return few.unionByName(many)
 
 
-def lookup_join(left: DataFrame, lookup: DataFrame, key: str, heavy: list) -> DataFrame:
+def lookup_join(left: DataFrame, lookup: DataFrame, key: str, heavy: Sequence) -> DataFrame:
     """left ⟕ lookup, where `heavy` keys have many rows on the left.
 
     `lookup` has one row per key, so its heavy rows number at most len(heavy).
@@ -67,7 +69,7 @@ def lookup_join(left: DataFrame, lookup: DataFrame, key: str, heavy: list) -> Da
     return few.unionByName(many)
 
 
-def number_rows(rows: DataFrame, group: str, time: str, tie: str, heavy: list) -> DataFrame:
+def number_rows(rows: DataFrame, group: str, time: str, tie: str, heavy: Sequence) -> DataFrame:
     """Add order_seq_num, prev_order_ts and lifetime_order_count per `group`.
 
     Rows are ordered by `time` (NULL last), then `tie`.

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import hash_uniform
-from basketry.operators import eda, experiment, features, model, quality
+from basketry.operators import eda, experiment, features, marts, model, quality
 from basketry.plans.views import RetailViews
 from basketry.session import materialize
 from basketry.sources import adapters, files, loader
@@ -140,14 +140,15 @@ def lr_scores(spark, folder):
 
 
 def score_new_orders(spark, folder):
-    """The orders that are not delivered yet, scored by a model of the first orders."""
+    """The orders that are not delivered yet, one score each, by a model of the first orders."""
     v = views(spark, folder)
     _, fitted, _ = _trained(spark, folder)
-    open_orders = v.stg_orders.filter(F.col("order_status") != "delivered").select("order_id")
-    rows = (open_orders.join(v.item_agg.select("order_id", "order_value"), "order_id", "left")
-            .join(v.stg_reviews, "order_id", "left")
-            .join(v.stg_payments.select("order_id", "payment_type", "installments"), "order_id", "left")
-            .withColumn("was_late", F.lit(0)))
+    rows = (v.stg_orders.filter("order_status <> 'delivered'").select("order_id")
+            .join(v.item_agg.select("order_id", "order_value"), "order_id", "left")
+            .join(marts.mean_review(v.stg_reviews), "order_id", "left")
+            .join(marts.largest_payment(v.stg_payments), "order_id", "left")
+            .select("order_id", "order_value", "review_score", "payment_type", "installments",
+                    F.lit(0).alias("was_late")))
     return model.score(fitted.pipeline, rows).select("order_id", "prediction", "probability_repeat")
 
 

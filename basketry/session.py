@@ -54,26 +54,27 @@ def resolve_namespace(spark: SparkSession, session_id: str | None) -> str:
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables, from spark.checkpoint.dir."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="basketry-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    """The shared folder for intermediate tables: the checkpoint folder of the session.
+
+    Where none is set, a local session gets a temporary one and a cluster an error.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="basketry-"))
+        folder = context.getCheckpointDir()
     return folder
 
 
-def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
+def materialize(df: DataFrame) -> DataFrame:
     """Write `df` once to the scratch folder and read it back.
 
     Used where several jobs need the same costly frame: the lineage is cut, the
-    copy survives lost executors, and each later job reads only its columns.
+    copy survives lost executors, and each later job reads only its columns. Like
+    checkpoints, the copies stay until the folder is cleared.
     """
     path = f"{scratch_folder(df.sparkSession).rstrip('/')}/basketry-{uuid.uuid4().hex}"
-    writer = df.write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+    df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
