@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import hash_uniform
-from basketry.operators.quantile import exact_medians
+from basketry.operators.quantile import exact_medians, value_at
 
 NUMBERS = ("order_value", "was_late", "installments", "review_score")
 CATEGORY = "payment_type"
@@ -73,6 +74,24 @@ def split(rows: DataFrame, key: str = "order_id", seed: int = SEED) -> DataFrame
     return rows.withColumn("split", F.when(u < TRAIN_SHARE, "train").otherwise("test"))
 
 
+def split_exactly(rows: DataFrame, label: str = LABEL, key: str = "order_id",
+                  seed: int = SEED) -> DataFrame:
+    """Like `split`, with the train share of each label's rows met exactly.
+
+    The limit on the hash is the exact order statistic of each label (a label has few
+    values); rows with equal keys stay together, so the share is exact for unique keys.
+    """
+    drawn = rows.withColumn("u", hash_uniform(f"{seed}|s|", F.col(key)))
+    sizes = drawn.groupBy(label).agg(F.count("u").alias("n")).collect()
+    limit = F.lit(-1.0)
+    for value, n in sizes:
+        kept = n - math.ceil((1.0 - TRAIN_SHARE) * n)
+        if kept:
+            here = drawn.filter(F.col(label).eqNullSafe(value)).select(F.col("u").alias("v"))
+            limit = F.when(F.col(label).eqNullSafe(value), value_at(here, n, kept - 1)).otherwise(limit)
+    return drawn.withColumn("split", F.when(F.col("u") <= limit, "train").otherwise("test")).drop("u")
+
+
 def moments(train: DataFrame, columns: tuple[str, ...]) -> tuple[dict, dict]:
     """Mean and population standard deviation of each column; a constant one gets 1."""
     row = train.agg(*[F.avg(f"`{c}`").alias(f"m_{c}") for c in columns],

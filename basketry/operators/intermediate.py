@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import UNITS, units_sql
-from basketry.operators.skew import expand_join, number_rows
+from basketry.operators.skew import expand_join, lookup_join, number_rows
 
 
 def item_agg(items: DataFrame) -> DataFrame:
@@ -32,10 +32,11 @@ def delivered_orders(orders: DataFrame) -> DataFrame:
     )
 
 
-def int_order_economics(orders: DataFrame, items: DataFrame) -> DataFrame:
+def int_order_economics(orders: DataFrame, items: DataFrame,
+                        heavy_orders: Sequence = ()) -> DataFrame:
     """Delivered orders with their item totals; orders without items keep NULLs."""
     totals = item_agg(items.filter(F.col("order_id").isNotNull()))
-    return delivered_orders(orders).join(totals, "order_id", "left").select(
+    return lookup_join(delivered_orders(orders), totals, "order_id", heavy_orders).select(
         "order_id", "customer_id", "order_status", "purchase_ts", "estimated_delivery_ts",
         "delivered_ts", "n_items", "merchandise_value", "freight_value", "order_value",
         "delivery_delta_days", "was_late",

@@ -20,7 +20,7 @@ from basketry.operators.intermediate import (
     with_reviews_and_payments,
 )
 from basketry.operators.profile import KeyProfile
-from basketry.operators.skew import number_rows
+from basketry.operators.skew import lookup_join, number_rows
 
 ORDER_COLUMNS = ("order_id", "customer_id", "order_value", "was_late", "review_score",
                  "payment_type", "installments", "payment_quality_flag", "order_seq_num",
@@ -45,7 +45,7 @@ def fct_customers(customers: DataFrame, economics: DataFrame, reviews: DataFrame
                   profile: KeyProfile) -> DataFrame:
     """One row per customer, state and number of delivered orders."""
     if profile.unique_orders:
-        totals = _customer_totals(economics, reviews)
+        totals = _customer_totals(economics, reviews, profile)
     else:
         totals = _customer_totals_by_definition(economics, reviews, profile)
     copies = customers.filter("customer_id IS NOT NULL").groupBy("customer_id", "state").agg(
@@ -76,15 +76,15 @@ def _sums(expressions: dict[str, str]) -> list[Column]:
     return [F.expr(sql).alias(name) for name, sql in expressions.items()]
 
 
-def _customer_totals(economics: DataFrame, reviews: DataFrame) -> DataFrame:
+def _customer_totals(economics: DataFrame, reviews: DataFrame, profile: KeyProfile) -> DataFrame:
     """Sums per customer; an order counts once per review, as in a join with reviews.
 
     An order without an id is in no join, so it adds to the number of orders only.
     """
-    counted = (economics.filter("customer_id IS NOT NULL")
-               .join(review_totals(reviews), "order_id", "left")
-               .withColumn("n", F.expr("CASE WHEN order_id IS NULL THEN 0 "
-                                       "ELSE greatest(coalesce(n_reviews, 0), 1) END")))
+    reviewed = lookup_join(economics.filter("customer_id IS NOT NULL"), review_totals(reviews),
+                           "order_id", profile.heavy_orders)
+    counted = reviewed.withColumn("n", F.expr(
+        "CASE WHEN order_id IS NULL THEN 0 ELSE greatest(coalesce(n_reviews, 0), 1) END"))
     return counted.groupBy("customer_id").agg(*_sums({
         "lifetime_order_count": "count(*)", **_CUSTOMER_SUMS,
         "value_units": f"sum(CASE WHEN n > 0 THEN {wide_sql(units_sql('order_value'))} * n END)",
@@ -172,9 +172,8 @@ def order_weights(economics: DataFrame, reviews: DataFrame, payments: DataFrame,
             "CAST(review_score IS NOT NULL AS BIGINT) AS score_rows",
             "CAST(coalesce(review_score, 0) AS BIGINT) AS score_sum")
     paid = "CASE WHEN order_id IS NULL THEN 0 ELSE greatest(coalesce(n_payments, 0), 1) END"
-    return (economics
-            .join(review_totals(reviews), "order_id", "left")
-            .join(payment_counts(payments), "order_id", "left")
+    reviewed = lookup_join(economics, review_totals(reviews), "order_id", profile.heavy_orders)
+    return (lookup_join(reviewed, payment_counts(payments), "order_id", profile.heavy_orders)
             .selectExpr("order_id", "customer_id", "purchase_ts", "order_value", "was_late",
                         f"greatest(coalesce(n_reviews, 0), 1) * {paid} AS n_rows",
                         f"coalesce(n_reviews, 0) * {paid} AS score_rows",

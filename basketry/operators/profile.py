@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -38,6 +39,19 @@ class KeyProfile:
                 raise TypeError(f"no such fact: {name}")
             self.__dict__[name] = value
 
+    def measure(self, *facts: str) -> None:
+        """Measure several facts at once; their jobs are independent, so they overlap."""
+        missing = [fact for fact in facts if fact not in self.__dict__]
+        if len(missing) > 1:
+            with ThreadPoolExecutor(len(missing)) as pool:
+                list(pool.map(lambda fact: getattr(self, fact), missing))
+
+    @cached_property
+    def heavy_orders(self) -> list:
+        """[None] if very many orders have no id, else []; other ids have few rows each."""
+        unidentified = self._delivered.filter("order_id IS NULL").count()
+        return [None] if unidentified >= self._heavy_rows else []
+
     @cached_property
     def unique_orders(self) -> bool:
         return order_ids_are_unique(self._delivered)

@@ -22,13 +22,13 @@ def exact_medians(df: DataFrame, *columns: str, rows_in_a_task: int = ROWS_IN_A_
         if c not in medians:
             values = df.filter(F.col(c).isNotNull()).select(F.col(c).cast("double").alias("v"))
             middle = {(counts[c] - 1) // 2, counts[c] // 2}
-            found = [_value_at(values, counts[c], rank, rows_in_a_task) for rank in middle]
+            found = [value_at(values, counts[c], rank, rows_in_a_task) for rank in middle]
             medians[c] = sum(found) / len(found)
     return medians
 
 
-def _value_at(values: DataFrame, n: int, rank: int, limit: int) -> float:
-    """The value at a 0-based rank of `n` values, of which `limit` may be sorted in one task.
+def value_at(values: DataFrame, n: int, rank: int, limit: int = ROWS_IN_A_TASK) -> float:
+    """The value at a 0-based rank of the `n` values `v`, of which `limit` may be sorted in one task.
 
     Each round keeps only the values strictly between two others around the rank, so
     few rounds do, and ties at the two ends cannot hold them up.

@@ -28,6 +28,10 @@ EMPTY = {
 }
 
 
+# Models by application and session, each dropped when its session's data is replaced.
+_models: dict[tuple[str, str | None], model.RepeatModel] = {}
+
+
 def ingest(spark: SparkSession, paths: list[str], session_id: str | None = None,
            on_bad_ts: str = "raise") -> DataFrame:
     """Load CSV files into the session's database and build its marts.
@@ -42,6 +46,7 @@ def store(spark: SparkSession, raw: dict[str, DataFrame], session_id: str | None
           on_bad_ts: str = "raise") -> DataFrame:
     """Write the raw tables and the marts; the marts replace those of an earlier upload."""
     database = create_namespace(spark, session_id)
+    _models.pop((spark.sparkContext.applicationId, session_id), None)
     replace_tables(raw, database)
     stored = read_tables(spark, database, list(raw))
     views = RetailViews(stored, on_bad_ts)
@@ -76,9 +81,17 @@ def ab_test(spark: SparkSession, lift_pp: float = experiment.DEFAULT_LIFT_PP,
         experiment.simulate_outcome(experiment.assign_groups(customers), lift_pp))
 
 
+def session_model(spark: SparkSession, session_id: str | None = None) -> model.RepeatModel:
+    """The model of the session's first orders, trained once per upload."""
+    key = (spark.sparkContext.applicationId, session_id)
+    if key not in _models:
+        _models[key], _ = model.train(load_mart(spark, "first_order_features", session_id))
+    return _models[key]
+
+
 def train_model(spark: SparkSession, path: str, session_id: str | None = None) -> model.RepeatModel:
     """Train on the session's first orders and save the pipeline under `path`."""
-    fitted, _ = model.train(load_mart(spark, "first_order_features", session_id))
+    fitted = session_model(spark, session_id)
     fitted.pipeline.write().overwrite().save(path)
     return fitted
 

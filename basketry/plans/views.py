@@ -59,21 +59,25 @@ class RetailViews:
 
     @cached_property
     def int_order_economics(self) -> DataFrame:
-        return intermediate.int_order_economics(self.stg_orders, self.stg_order_items)
+        return intermediate.int_order_economics(self.stg_orders, self.stg_order_items,
+                                                self.profile.heavy_orders)
 
     @cached_property
     def int_order_review(self) -> DataFrame:
+        self.profile.measure("unique_orders", "heavy_orders", "heavy_reviews", "heavy_payments")
         return intermediate.int_order_review(
             self.int_order_economics, self.stg_reviews, self.stg_payments,
             self.profile.unique_orders, self.profile.heavy_reviews, self.profile.heavy_payments)
 
     @cached_property
     def int_customer_order_sequence(self) -> DataFrame:
+        self.profile.measure("heavy_orders", "heavy_customers")
         return intermediate.int_customer_order_sequence(
             self.int_order_economics, self.profile.heavy_customers)
 
     @cached_property
     def fct_customers(self) -> DataFrame:
+        self.profile.measure("unique_orders", "heavy_orders")
         return marts.fct_customers(self.stg_customers, self.int_order_economics,
                                    self.stg_reviews, self.profile)
 
@@ -82,21 +86,28 @@ class RetailViews:
         return self.fct_orders_at("row")
 
     def fct_orders_at(self, grain: str) -> DataFrame:
+        facts = ["unique_orders", "heavy_orders", "heavy_customers"]
+        if grain == "row":
+            facts += ["heavy_reviews", "heavy_payments"]
+        self.profile.measure(*facts)
         return marts.fct_orders(self.int_order_economics, self.stg_reviews, self.stg_payments,
                                 self.profile, grain)
 
     @cached_property
     def order_weights(self) -> DataFrame:
+        self.profile.measure("unique_orders", "heavy_orders")
         return marts.order_weights(self.int_order_economics, self.stg_reviews,
                                    self.stg_payments, self.profile)
 
     @cached_property
     def late_vs_repeat(self) -> DataFrame:
+        self.profile.measure("unique_orders", "heavy_orders")
         return marts.late_vs_repeat(self.int_order_economics, self.stg_reviews,
                                     self.stg_payments, self.profile)
 
     @cached_property
     def first_order_features(self) -> DataFrame:
+        self.profile.measure("unique_orders", "heavy_reviews", "heavy_payments")
         if not self.profile.unique_orders:
             return marts.first_order_features_by_definition(self.fct_orders, self.fct_customers)
         delivered = intermediate.delivered_orders(self.stg_orders)

@@ -159,3 +159,10 @@ def test_split_share_and_stability(spark, rows):
     assert all(0.7 < r.s < 0.8 for r in share.collect())
     assert split.filter("split = 'train'").count() == features.split(df.repartition(9)).filter(
         "split = 'train'").count()
+
+
+def test_exact_split(spark, rows):
+    df = spark.createDataFrame(rows, FEATURES)
+    for r in features.split_exactly(df).groupBy("is_repeat_customer").agg(
+            F.count("*").alias("n"), F.count(F.when(F.col("split") == "test", 1)).alias("test")).collect():
+        assert r.test == math.ceil(0.25 * r.n)

@@ -109,6 +109,7 @@ def test_train_save_and_score(spark, upload, tmp_path):
     path = str(tmp_path / "model")
     fitted = pipeline.train_model(spark, path, "model")
     assert fitted.columns[-1] == "payment_type_card"
+    assert pipeline.session_model(spark, "model") is fitted
     new = spark.createDataFrame(
         [(20.0, 1, 5, 0, "card"), (20.0, 1, 5, 0, "boleto"), (20.0, 1, 5, 0, "never seen"),
          (None, None, None, None, None)],
@@ -117,6 +118,8 @@ def test_train_save_and_score(spark, upload, tmp_path):
     assert all(0 < s < 1 for s in scores)
     assert scores[1] == scores[2] != scores[0]  # unseen counts as the first category
     assert scores == [r.probability_repeat for r in model.score(fitted.pipeline, new).collect()]
+    pipeline.ingest(spark, upload, "model")  # new data, so a new model
+    assert pipeline.session_model(spark, "model") is not fitted
 
 
 def test_views_can_be_registered(spark, upload):
