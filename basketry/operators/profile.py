@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
@@ -11,6 +12,9 @@ from pyspark.sql import functions as F
 from basketry.operators.skew import HEAVY_ROWS, heavy_keys
 
 
+Source = Callable[[], DataFrame] | None
+
+
 def order_ids_are_unique(orders: DataFrame) -> bool:
     """Is every non-NULL order_id of these typed orders one row, exact copies aside?
 
@@ -27,11 +31,12 @@ def order_ids_are_unique(orders: DataFrame) -> bool:
 class KeyProfile:
     """Measured facts about the keys; each is measured at its first use.
 
+    The sources are functions that give delivered typed orders, reviews and payments.
     Pass known facts as keywords to skip their measurement.
     """
 
-    def __init__(self, delivered: DataFrame | None = None, reviews: DataFrame | None = None,
-                 payments: DataFrame | None = None, heavy_rows: int = HEAVY_ROWS, **known):
+    def __init__(self, delivered: Source = None, reviews: Source = None,
+                 payments: Source = None, heavy_rows: int = HEAVY_ROWS, **known):
         self._delivered, self._reviews, self._payments = delivered, reviews, payments
         self._heavy_rows = heavy_rows
         for name, value in known.items():
@@ -49,21 +54,21 @@ class KeyProfile:
     @cached_property
     def heavy_orders(self) -> list:
         """[None] if very many orders have no id, else []; other ids have few rows each."""
-        unidentified = self._delivered.filter("order_id IS NULL").count()
+        unidentified = self._delivered().filter("order_id IS NULL").count()
         return [None] if unidentified >= self._heavy_rows else []
 
     @cached_property
     def unique_orders(self) -> bool:
-        return order_ids_are_unique(self._delivered)
+        return order_ids_are_unique(self._delivered())
 
     @cached_property
     def heavy_customers(self) -> list:
-        return heavy_keys(self._delivered, "customer_id", self._heavy_rows)
+        return heavy_keys(self._delivered(), "customer_id", self._heavy_rows)
 
     @cached_property
     def heavy_reviews(self) -> list:
-        return heavy_keys(self._reviews, "order_id", self._heavy_rows)
+        return heavy_keys(self._reviews(), "order_id", self._heavy_rows)
 
     @cached_property
     def heavy_payments(self) -> list:
-        return heavy_keys(self._payments, "order_id", self._heavy_rows)
+        return heavy_keys(self._payments(), "order_id", self._heavy_rows)

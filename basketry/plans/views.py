@@ -29,9 +29,12 @@ class RetailViews:
     def profile(self) -> KeyProfile:
         if self._profile is not None:
             return self._profile
-        delivered = staging.typed_orders(self.raw["orders"], self._on_bad_ts)
-        return KeyProfile(delivered.filter("order_status = 'delivered'"), self.stg_reviews,
-                          self.stg_payments, self._heavy_rows)
+        return KeyProfile(self._delivered, lambda: self.stg_reviews, lambda: self.stg_payments,
+                          self._heavy_rows)
+
+    def _delivered(self) -> DataFrame:
+        orders = staging.typed_orders(self.raw["orders"], self._on_bad_ts)
+        return orders.filter("order_status = 'delivered'")
 
     @cached_property
     def stg_customers(self) -> DataFrame:
