@@ -8,7 +8,6 @@ import datetime as dt
 import random
 
 import duckdb
-import pandas as pd
 import pytest
 
 from basketry.operators.profile import KeyProfile
