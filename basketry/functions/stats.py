@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import math
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Workers get these functions with the job and need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def normal_upper_tail(z: float) -> float:
     """P(Z > z) for a standard normal Z."""
