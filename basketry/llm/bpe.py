@@ -4,30 +4,38 @@ Texts are cut into blocks of about BLOCK_CHARS characters. A block keeps, per te
 positions of its pre-tokens as numbers into the block's own list of distinct words; only that
 list is exploded and shuffled, by word. Each distinct word of the corpus is then encoded once,
 the ids go back to the blocks that hold the word, and each text is put together by position. A
-word that is frequent everywhere has one row per block, not one per use.
+word that is frequent everywhere is sent once per block, not once per use.
 """
 
 from __future__ import annotations
 
 import base64
 import re
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm.common import shuffle_partitions, ship
 
 ship(__name__)
 
-BLOCK_CHARS = 8_000_000
-_WORDS_A_ROW = 4096
+BLOCK_CHARS = 16_000_000
+# texts in a row of a block
+ROW_TEXTS = 256
+# parts of the words per shuffle partition, so that partitions come out even
+PARTS_EACH = 4
+# words whose ids a task remembers at a time
+REMEMBERED = 2_000_000
 _TWO_SPACES = re.compile(r"\s\s")
+_BLOCK_SCHEMA = ("block bigint, doc_ids array<{0}>, sizes array<bigint>, codes binary, "
+                 "part int, numbers binary, lengths binary, words binary")
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -36,16 +44,60 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+def _pack(data: bytes) -> bytes:
+    """Compressed bytes after their length."""
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _unpack(data: bytes) -> bytes:
+    size = int.from_bytes(data[:8], "little")
+    return pa.decompress(data[8:], size, codec="zstd", asbytes=True) if size else b""
+
+
+def pack_numbers(values: np.ndarray) -> bytes:
+    """Non-negative numbers in seven bits a byte, low bits first, compressed."""
+    rest = values.astype(np.uint64)
+    digits, more = [], []
+    while True:
+        digits.append((rest & np.uint64(127)).astype(np.uint8))
+        rest = rest >> np.uint64(7)
+        more.append(rest > 0)
+        if not more[-1].any():
+            break
+    table = np.stack([d | (m.astype(np.uint8) << 7) for d, m in zip(digits, more)], axis=1)
+    used = np.stack([np.ones(len(values), bool), *more[:-1]], axis=1)
+    return _pack(table[used].tobytes())
+
+
+def unpack_numbers(data: bytes) -> np.ndarray:
+    digits = np.frombuffer(_unpack(data), dtype=np.uint8)
+    last = np.flatnonzero(digits < 128)
+    first = np.concatenate([[0], last[:-1] + 1]) if len(last) else last
+    length = last - first + 1
+    values = (digits[first] & 127).astype(np.int64)
+    for k in range(1, int(length.max(initial=1))):
+        has = length > k
+        values[has] |= (digits[first[has] + k] & 127).astype(np.int64) << (7 * k)
+    return values
+
+
+def _slices(data: bytes, sizes: Iterable[int]) -> list[bytes]:
+    out, at = [], 0
+    for size in sizes:
+        out.append(data[at:at + size])
+        at += size
+    return out
+
+
 class _Block:
-    """Distinct words of some texts in order of first use, and the texts as their numbers."""
+    """Distinct words of some texts, and the texts as numbers of their words."""
 
     def __init__(self, pattern):
         self.pattern = pattern
         self.words: dict[str, int] = {}
         self.chunks: dict[str, tuple[int, ...]] = {}
         self.ids: list = []
-        self.codes: list[bytes] = []
-        self.lengths: list[int] = []
+        self.texts: list[np.ndarray] = []
         self.chars = 0
 
     def _numbers(self, piece: str) -> tuple[int, ...]:
@@ -66,35 +118,46 @@ class _Block:
                 if found is None:
                     found = chunks[piece] = self._numbers(" " + piece)
                 numbers += found
-        array = np.array(numbers, dtype="<u4")
         self.ids.append(doc_id)
-        self.lengths.append(len(array))
-        self.codes.append(pa.compress(array.tobytes(), codec="zstd", asbytes=True))
+        self.texts.append(np.array(numbers, dtype=np.uint32))
         self.chars += len(text) + 64
 
-    def rows(self, block: int, id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
-        n = len(self.ids)
-        for at in range(0, n, 512):
-            part = slice(at, at + 512)
-            size = len(self.ids[part])
-            yield pa.RecordBatch.from_arrays([
-                pa.array([block] * size, pa.int64()), pa.array(self.ids[part], id_type),
-                pa.array(self.lengths[part], pa.int64()), pa.array(self.codes[part], pa.binary()),
-                pa.nulls(size, pa.list_(pa.string()))], _BLOCK_COLUMNS)
-        words = list(self.words)
-        for at in range(0, len(words), _WORDS_A_ROW):
-            yield pa.RecordBatch.from_arrays([
-                pa.array([block], pa.int64()), pa.nulls(1, id_type), pa.array([at], pa.int64()),
-                pa.nulls(1, pa.binary()),
-                pa.array([words[at:at + _WORDS_A_ROW]], pa.list_(pa.string()))], _BLOCK_COLUMNS)
-
-
-# number: length of a text in words, or place of the first of `words` in the block's list
-_BLOCK_COLUMNS = ["block", "doc_id", "number", "codes", "words"]
+    def rows(self, block: int, id_type: pa.DataType, parts: int) -> Iterator[pa.RecordBatch]:
+        # frequent words get small numbers, which take fewer bytes
+        uses = np.bincount(np.concatenate(self.texts), minlength=len(self.words))
+        by_use = np.argsort(-uses, kind="stable")
+        place = np.empty(len(by_use), dtype=np.uint32)
+        place[by_use] = np.arange(len(by_use), dtype=np.uint32)
+        for at in range(0, len(self.ids), ROW_TEXTS):
+            texts = self.texts[at:at + ROW_TEXTS]
+            yield self._row(block, id_type, doc_ids=self.ids[at:at + ROW_TEXTS],
+                            sizes=[len(t) for t in texts],
+                            codes=pack_numbers(place[np.concatenate(texts)]))
+        listed = [w.encode() for w in self.words]
+        part = np.array([zlib.crc32(w) % parts for w in listed], dtype=np.int64)[by_use]
+        order = np.argsort(part, kind="stable")
+        for members in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
+            if len(members):
+                words = [listed[by_use[k]] for k in members]
+                yield self._row(block, id_type, part=int(part[members[0]]),
+                                numbers=pack_numbers(np.diff(members, prepend=0)),
+                                lengths=pack_numbers(np.array([len(w) for w in words])),
+                                words=_pack(b"".join(words)))
+
+    @staticmethod
+    def _row(block: int, id_type: pa.DataType, **values) -> pa.RecordBatch:
+        types = {"block": pa.int64(), "doc_ids": pa.list_(id_type), "sizes": pa.list_(pa.int64()),
+                 "codes": pa.binary(), "part": pa.int32(), "numbers": pa.binary(),
+                 "lengths": pa.binary(), "words": pa.binary()}
+        row = {"block": block} | values
+        return pa.RecordBatch.from_arrays(
+            [pa.array([row.get(c)], t) for c, t in types.items()], list(types))
 
 
 def pre_tokens(docs: DataFrame, pattern: str, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """Blocks of texts: a row per text with its words' numbers, and rows with the words."""
+    """Blocks of texts: rows with texts as numbers of words, and rows with words of one part."""
+    parts = PARTS_EACH * shuffle_partitions(docs.sparkSession)
+
     def cut(batches):
         compiled = regex.compile(pattern)
         task, n = TaskContext.get().partitionId(), 0
@@ -104,71 +167,57 @@ def pre_tokens(docs: DataFrame, pattern: str, block_chars: int = BLOCK_CHARS) ->
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 block.add(doc_id, text.as_py() or "")
                 if block.chars >= block_chars:
-                    yield from block.rows((task << 32) + n, id_type)
+                    yield from block.rows((task << 32) + n, id_type, parts)
                     block, n = _Block(compiled), n + 1
         if block.ids:
-            yield from block.rows((task << 32) + n, id_type)
+            yield from block.rows((task << 32) + n, id_type, parts)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
-        cut, f"block bigint, doc_id {kind}, number bigint, codes binary, words array<string>")
+    return docs.select("doc_id", "text").mapInArrow(cut, _BLOCK_SCHEMA.format(kind))
 
 
 def explode_words(blocks: DataFrame) -> DataFrame:
-    """block, number, word: each distinct word of each block."""
+    """block, part, numbers, lengths, words: a block's distinct words, by part."""
+    columns = ["block", "part", "numbers", "lengths", "words"]
+
     def explode(batches):
         for batch in batches:
-            words = batch.column(4)
-            for i in np.flatnonzero(words.is_valid().to_numpy(zero_copy_only=False)):
-                values = words[int(i)].values
-                start = batch.column(2)[int(i)].as_py()
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(values), batch.column(0)[int(i)].as_py())),
-                    pa.array(np.arange(start, start + len(values), dtype="<i4")), values],
-                    ["block", "number", "word"])
+            kept = pa.Table.from_batches([batch]).select(columns)
+            yield from kept.filter(pc.is_valid(kept["part"])).to_batches()
 
-    return blocks.mapInArrow(explode, "block bigint, number int, word string")
+    return blocks.mapInArrow(
+        explode, "block bigint, part int, numbers binary, lengths binary, words binary")
 
 
 def encode_words(words: DataFrame, ranks) -> DataFrame:
     """block, numbers, lengths, ids: the words' ids, joined back to the blocks that hold them.
 
-    Words are partitioned and sorted, so that a word is encoded once and a task holds one batch.
-    `ranks` is a broadcast of the vocabulary. Numbers and lengths are 32-bit, ids too, as bytes.
+    All uses of a word are in one part and so in one task, which encodes it when it first comes.
+    `ranks` is a broadcast of the vocabulary.
     """
     def encode(batches):
         import tiktoken
 
         whole = tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=ranks.value,
                                   special_tokens={})
-        last, last_ids = None, None
+        known: dict[bytes, list[int]] = {}
         for batch in batches:
-            coded = batch.column(2).dictionary_encode()
-            distinct = coded.dictionary.to_pylist()
-            ids = [last_ids if w == last else np.array(whole.encode_ordinary(w), dtype="<u4")
-                   for w in distinct]
-            if distinct:
-                last, last_ids = distinct[-1], ids[-1]
-            which = coded.indices.to_numpy()
-            block = batch.column(0).to_numpy()
-            number = batch.column(1).to_numpy()
-            order = np.argsort(block, kind="stable")
-            cuts = np.flatnonzero(np.diff(block[order])) + 1
-            out = []
-            for part in np.split(order, cuts):
-                if len(part):
-                    found = [ids[k] for k in which[part]]
-                    out.append((int(block[part[0]]), number[part].astype("<i4").tobytes(),
-                                np.array([len(x) for x in found], dtype="<i4").tobytes(),
-                                np.concatenate(found).tobytes()))
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(column, kind) for column, kind in zip(
-                        zip(*out), (pa.int64(), pa.binary(), pa.binary(), pa.binary()))],
+            for row in batch.to_pylist():
+                found = []
+                for word in _slices(_unpack(row["words"]), unpack_numbers(row["lengths"]).tolist()):
+                    ids = known.get(word)
+                    if ids is None:
+                        if len(known) >= REMEMBERED:
+                            known.clear()
+                        ids = known[word] = whole.encode_ordinary(word.decode())
+                    found.append(ids)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([row["block"]], pa.int64()), pa.array([row["numbers"]], pa.binary()),
+                    pa.array([pack_numbers(np.array([len(x) for x in found]))], pa.binary()),
+                    pa.array([pack_numbers(np.array([k for x in found for k in x]))], pa.binary())],
                     ["block", "numbers", "lengths", "ids"])
 
-    parts = shuffle_partitions(words.sparkSession)
-    return (words.repartition(parts, "word").sortWithinPartitions("word")
+    return (words.repartition(shuffle_partitions(words.sparkSession), "part")
             .mapInArrow(encode, "block bigint, numbers binary, lengths binary, ids binary"))
 
 
@@ -182,23 +231,22 @@ def _gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray, which:
 
 def reassemble(blocks: DataFrame, coded: DataFrame) -> DataFrame:
     """doc_id, ids: each text's ids (little-endian 32-bit) by the positions of its words."""
-    kind = blocks.schema["doc_id"].dataType.simpleString()
+    kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
 
     def put(texts: pa.Table, words: pa.Table) -> pa.Table:
-        texts = texts.filter(pc.is_valid(texts["codes"]))
-        numbers, lengths, ids = (
-            np.frombuffer(b"".join(words[c].to_pylist()), dtype=t)
-            for c, t in (("numbers", "<i4"), ("lengths", "<i4"), ("ids", "<u4")))
-        n = int(numbers.max()) + 1 if len(numbers) else 0
-        length, start = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
+        texts = texts.filter(pc.is_valid(texts["doc_ids"]))
+        none = [np.zeros(0, dtype=np.int64)]
+        numbers = np.concatenate([np.cumsum(unpack_numbers(x)) for x in words["numbers"].to_pylist()] or none)
+        lengths = np.concatenate([unpack_numbers(x) for x in words["lengths"].to_pylist()] or none)
+        ids = np.concatenate([unpack_numbers(x) for x in words["ids"].to_pylist()] or none).astype("<u4")
+        length, start = np.zeros((2, len(numbers)), dtype=np.int64)
         length[numbers] = lengths
         start[numbers] = np.cumsum(lengths) - lengths
         out = []
-        for size, packed in zip(texts["number"].to_pylist(), texts["codes"]):
-            codes = np.frombuffer(pa.decompress(packed.as_py(), 4 * size, codec="zstd", asbytes=True)
-                                  if size else b"", dtype="<u4")
-            out.append(_gather(ids, start, length, codes).astype("<u4").tobytes())
-        return pa.table({"doc_id": texts["doc_id"], "ids": pa.array(out, pa.binary())})
+        for sizes, packed in zip(texts["sizes"].to_pylist(), texts["codes"].to_pylist()):
+            for codes in np.split(unpack_numbers(packed), np.cumsum(sizes)[:-1]):
+                out.append(_gather(ids, start, length, codes).tobytes())
+        return pa.table({"doc_id": pc.list_flatten(texts["doc_ids"]), "ids": pa.array(out, pa.binary())})
 
     return blocks.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(
         put, f"doc_id {kind}, ids binary")
