@@ -26,7 +26,7 @@ from basketry.llm.common import shuffle_partitions, ship
 
 ship(__name__)
 
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 8_000_000
 # texts in a row of a block
 ROW_TEXTS = 256
 # parts of the words per shuffle partition, so that partitions come out even
@@ -123,6 +123,7 @@ class _Block:
         self.chars += len(text) + 64
 
     def rows(self, block: int, id_type: pa.DataType, parts: int) -> Iterator[pa.RecordBatch]:
+        self.chunks.clear()
         # frequent words get small numbers, which take fewer bytes
         uses = np.bincount(np.concatenate(self.texts), minlength=len(self.words))
         by_use = np.argsort(-uses, kind="stable")
