@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from basketry.session import materialize, scratch_folder
 
-__all__ = ["count_in_order", "draw", "materialize", "read", "salted_join", "scratch_folder",
+__all__ = ["count_in_order", "draw", "join_counted", "materialize", "read", "salted_join", "scratch_folder",
            "ship", "shuffle_partitions", "words_in"]
 
 # ASCII white space; words are what lies between.
@@ -58,6 +58,25 @@ def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], spread: Co
     return many.join(few, [*keys, "__salt"], "left").drop(*keys, "__salt")
 
 
+# A key with at least one in HEAVY of all rows is joined by broadcast; there are at most HEAVY such.
+HEAVY = 1000
+
+
+def join_counted(left: DataFrame, right: DataFrame, on: Sequence[str], rows: str) -> DataFrame:
+    """left ⋈ right, where right has one row per key and in `rows` its number of left rows.
+
+    Keys that hold much of the left, of which there are few, are broadcast; the others meet in a
+    plain join. Both sides are read twice, so pass stored frames. Keys must not be NULL.
+    """
+    total = right.agg(F.sum(rows)).first()[0] or 0
+    is_heavy = F.col(rows) * HEAVY >= F.lit(total)
+    heavy = F.broadcast(right.filter(is_heavy))
+    few = left.join(heavy, list(on))
+    others = left.join(heavy.select(*on), list(on), "left_anti").join(
+        right.filter(~is_heavy), list(on))
+    return few.unionByName(others)
+
+
 def count_in_order(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     """Adds the row's place (from 0) in a total order, without one task that sees all rows.
 

@@ -10,7 +10,7 @@ the next level of a tree of groups until one is left per source.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.llm.common import count_in_order, draw, materialize, salted_join, words_in
@@ -101,19 +101,9 @@ def _round_groups(rows: DataFrame, level: int) -> DataFrame:
 _SOURCE = ("source", "n", "source_size", "target", "rate")
 
 
-def mix(docs: DataFrame, size: Column | None = None, weights: tuple[int, ...] = WEIGHTS,
-        most_times: int = MOST_TIMES) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies, taken, i: one row per document row.
-
-    i numbers rows that are equal in doc_id, source and size, from 1.
-
-    Reads doc_id, source and `size` (words of the text if not given). NULL source is a source of
-    its own, the last; NULL text has size 0. Repeated rows are first counted: m equal rows share
-    m times the mass and get copies that differ by one at most. Documents without words and NULL
-    ids are rounded like others, the former each on its own as they hold no words to move.
-    Draws are hashes of ids and sizes: the same rows give the same result in any partitioning.
-    No rows give no rows. Copies never exceed `most_times`.
-    """
+def decide(docs: DataFrame, size: Column | None = None, weights: tuple[int, ...] = WEIGHTS,
+           most_times: int = MOST_TIMES) -> DataFrame:
+    """doc_id, source, size, source_size, target, m, all: how often m equal rows are taken in all."""
     sized = materialize(docs.select("doc_id", "source", (
         words_in(F.col("text")) if size is None else size).alias("size"))
         .groupBy("doc_id", "source", "size").agg(F.count("*").alias("m")))
@@ -146,13 +136,41 @@ def mix(docs: DataFrame, size: Column | None = None, weights: tuple[int, ...] =
     for part in decided[1:]:
         out = out.unionByName(part)
     copies = F.floor(F.col("m") * F.col("rate")) + F.col("f")
-    return _deal(out.withColumn("all", copies.cast("long")), most_times)
+    return out.select("doc_id", "source", "size", "source_size", "target", "m",
+                      copies.cast("long").alias("all"))
+
 
+def _share(place: Column) -> Column:
+    """Copies of the row at a place (from 1) among m equal ones."""
+    return (F.floor(F.col("all") / F.col("m")) + (place <= F.col("all") % F.col("m")).cast("int")).cast("long")
 
-def _deal(decided: DataFrame, most_times: int) -> DataFrame:
-    """Splits the copies of m equal rows among them."""
-    each = F.floor(F.col("all") / F.col("m")) + (F.col("i") <= F.col("all") % F.col("m")).cast("int")
-    return (decided.withColumn("i", F.explode(F.sequence(F.lit(1), F.col("m"))))
-            .withColumn("copies", F.least(each, F.lit(most_times)).cast("long"))
-            .select("doc_id", "source", "size", "source_size", "target", "copies",
-                    (F.col("copies") * F.col("size")).alias("taken"), "i"))
+
+def mix(docs: DataFrame, size: Column | None = None, weights: tuple[int, ...] = WEIGHTS,
+        most_times: int = MOST_TIMES) -> DataFrame:
+    """doc_id, source, size, source_size, target, copies, taken: one row per document row.
+
+    Reads doc_id, source and `size` (words of the text if not given). NULL source is a source of
+    its own, the last; NULL text has size 0. Repeated rows (equal in doc_id, source and size) are
+    first counted: m of them share m times the mass and get copies that differ by one at most.
+    Documents without words are rounded each on its own, as they hold no words to move. Draws are
+    hashes of ids and sizes: the same rows give the same result in any partitioning. No rows give
+    no rows. Copies never exceed `most_times`.
+    """
+    rows = decide(docs, size, weights, most_times).withColumn(
+        "__place", F.explode(F.sequence(F.lit(1), F.col("m").cast("int"))))
+    return rows.withColumn("copies", _share(F.col("__place"))).select(
+        "doc_id", "source", "size", "source_size", "target", "copies",
+        (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def take(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_times: int = MOST_TIMES) -> DataFrame:
+    """Whole rows of `docs`, each as many times as the mix takes it."""
+    key = F.struct("doc_id", "source", "size")
+    decided = decide(docs, None, weights, most_times).filter(F.col("all") > 0).select(
+        key.alias("__key"), "m", "all")
+    keyed = docs.withColumn("__key", F.struct("doc_id", "source", words_in(F.col("text")).alias("size")))
+    place = F.row_number().over(Window.partitionBy("__key").orderBy(F.xxhash64("text")))
+    return (keyed.join(decided, "__key").withColumn("__copies", _share(place))
+            .filter("__copies > 0")
+            .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
+            .select(*(F.col(f"`{c}`") for c in docs.columns)))

@@ -8,16 +8,42 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import bpe, merkle, mixing, simhash
+from basketry.llm import (
+    ann, bpe, merkle, mixing, quality, sharding, simhash, token_counts, toxicity, url_templates,
+)
 from basketry.llm.common import read
 
 MULTI_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op1_url_templates(spark: SparkSession, folder: str) -> DataFrame:
+    return url_templates.judge(read(spark, folder, "pages"))
+
+
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    scored = toxicity.score(docs, toxicity.train(docs, read(spark, folder, "labels")))
+    return scored.withColumn("toxic", (F.col("p_toxic") >= toxicity.THRESHOLD).cast("int"))
+
+
+def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count_tokens(read(spark, folder, "documents"),
+                                     token_counts.read_vocabulary(PIECES))
+
+
+def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.assign(read(spark, folder, "documents"))
 
 
 def op5_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.compare_with_edits(read(spark, folder, "documents"))
 
 
+def op6_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.search(read(spark, folder, "embeddings"), F.col("id") % 20 == 0)
+
+
 def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(read(spark, folder, "documents"), MULTI_BPE, public_tokenizers.PATTERN)
 
@@ -29,11 +55,17 @@ def op8_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    found = simhash.near_duplicates(read(spark, folder, "documents"))
-    return found.select("doc_id", "fingerprint", "component_id", "n_equal")
+    return simhash.near_duplicates(read(spark, folder, "documents"))
+
+
+def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    return quality.score(docs, quality.train(docs, read(spark, folder, "labels")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op5_document_fingerprints, op7_byte_bpe, op8_source_mixing, op9_simhash_dedup)}
-ORACLES: dict[str, str] = {}
+        op1_url_templates, op2_toxicity, op3_token_counts, op4_sharding, op5_document_fingerprints,
+        op6_nearest_neighbours, op7_byte_bpe, op8_source_mixing, op9_simhash_dedup, op10_quality)}
+
+ORACLES: dict[str, str] = {"op4_sharding": sharding.oracle()}

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import materialize, ship
+from basketry.llm.common import join_counted, materialize, ship
 
 ship(__name__)
 
@@ -25,8 +25,6 @@ DISTANCE = 2
 SEGMENTS = 5
 # Buckets with more fingerprints than this are linked through neighbours instead of pairs.
 PAIRS_UP_TO = 96
-# A fingerprint with at least this share of all rows is joined by broadcast.
-HEAVY_SHARE = 1000
 
 
 def simhash(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -50,16 +48,19 @@ def simhash(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
     return int(np.packbits(2 * ones > len(hashes)).view(">u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long) of every text; NULL and empty texts have 0."""
+def fingerprints(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",), shingle: int = SHINGLE,
+                 seed: int = SEED) -> DataFrame:
+    """Columns `carry` and fp (the 64 bits as a signed long) of every text; without words it is 0."""
     def hash_texts(batches):
         for batch in batches:
-            fp = np.array([simhash(x.as_py(), shingle, seed) for x in batch.column(1)], dtype=np.uint64)
+            texts = batch.column(len(carry))
+            fp = np.array([simhash(x.as_py(), shingle, seed) for x in texts], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+                [*batch.columns[:len(carry)], pa.array(fp.view(np.int64))], [*carry, "fp"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(hash_texts, f"doc_id {kind}, fp bigint")
+    carried = docs.select(*carry, "text")
+    kinds = ", ".join(f"{c} {carried.schema[c].dataType.simpleString()}" for c in carry)
+    return carried.mapInArrow(hash_texts, f"{kinds}, fp bigint")
 
 
 def _signed(bits: int) -> int:
@@ -160,6 +161,18 @@ def _checksum(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.shiftright(h, 20)), F.bit_xor(h)).first())
 
 
+def _linked(prints: DataFrame, distance: int, segments: int, pairs_up_to: int) -> DataFrame:
+    """The rows of `prints` (doc_id, fp, …) with root, component_id and n_equal of their fp."""
+    classes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first"),
+                                                   F.count("*").alias("n_equal")))
+    joined = components(links(classes.select("fp"), distance, segments, pairs_up_to))
+    rooted = materialize(classes.join(joined.withColumnRenamed("node", "fp"), "fp", "left")
+                         .withColumn("root", F.coalesce("root", "fp")))
+    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    named = materialize(rooted.join(smallest, "root").select("fp", "root", "component_id", "n_equal"))
+    return join_counted(prints, named, ["fp"], "n_equal")
+
+
 def near_duplicates(docs: DataFrame, distance: int = DISTANCE, segments: int = SEGMENTS,
                     pairs_up_to: int = PAIRS_UP_TO) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id, n_equal: one row per document row.
@@ -167,22 +180,26 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, segments: int = S
     component_id is the smallest doc_id reachable by links, itself included. Texts without words
     have fingerprint 0 and are linked like others; NULL texts are without words. Rows with a NULL
     id take part; their component_id is NULL only if no linked row has an id. Repeated rows have
-    equal fingerprints. n_equal counts rows of the same fingerprint. No rows give no rows.
+    equal fingerprints. n_equal counts rows of the same fingerprint. No rows give no rows. Columns
+    other than doc_id and text are not read.
     """
-    prints = materialize(fingerprints(docs))
-    classes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first"),
-                                                   F.count("*").alias("n_equal")))
-    joined = components(links(classes.select("fp"), distance, segments, pairs_up_to))
-    rooted = materialize(classes.join(joined.withColumnRenamed("node", "fp"), "fp", "left")
-                         .withColumn("root", F.coalesce("root", "fp")))
-    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(smallest, "root").select("fp", "component_id", "n_equal")
-    named = materialize(named)
-    total = named.agg(F.sum("n_equal")).first()[0] or 0
-    is_heavy = F.col("n_equal") * HEAVY_SHARE >= total
-    heavy = named.filter(is_heavy)  # at most HEAVY_SHARE rows, as their n_equal add up to total
-    few = prints.join(F.broadcast(heavy), "fp")
-    others = prints.join(F.broadcast(heavy.select("fp")), "fp", "left_anti").join(
-        named.filter(~is_heavy), "fp")
-    return few.unionByName(others).select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "n_equal")
+    found = _linked(materialize(fingerprints(docs)), distance, segments, pairs_up_to)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                        "component_id", "n_equal")
+
+
+def keep_first(docs: DataFrame, distance: int = DISTANCE, segments: int = SEGMENTS,
+               pairs_up_to: int = PAIRS_UP_TO) -> DataFrame:
+    """Whole rows of `docs`: one of each component, that with the smallest doc_id, NULL last.
+
+    Of rows with equal ids the one with the smallest hash of its columns stays, of wholly equal
+    rows one. No rows give no rows.
+    """
+    row = F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns))
+    keyed = docs.withColumns({"__row": row, "__id": F.coalesce("doc_id", F.lit(-1))})
+    prints = materialize(fingerprints(keyed, ("doc_id", "__id", "__row")))
+    first = (_linked(prints, distance, segments, pairs_up_to).groupBy("root")
+             .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row", "__id")).alias("kept"))
+             .select("kept.__id", "kept.__row"))
+    return (keyed.dropDuplicates(["__id", "__row"]).join(first, ["__id", "__row"], "left_semi")
+            .select(*(F.col(f"`{c}`") for c in docs.columns)))
