@@ -10,6 +10,7 @@ word that is frequent everywhere is sent once per block, not once per use.
 from __future__ import annotations
 
 import base64
+import hashlib
 import re
 import zlib
 from collections.abc import Iterable, Iterator
@@ -19,8 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from basketry.llm.common import shuffle_partitions, ship
 
@@ -144,6 +144,7 @@ class _Block:
                                 numbers=pack_numbers(np.diff(members, prepend=0)),
                                 lengths=pack_numbers(np.array([len(w) for w in words])),
                                 words=_pack(b"".join(words)))
+        pa.default_memory_pool().release_unused()
 
     @staticmethod
     def _row(block: int, id_type: pa.DataType, **values) -> pa.RecordBatch:
@@ -230,11 +231,13 @@ def _gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray, which:
     return values[np.arange(total) + np.repeat(starts[which] - (ends - sizes), sizes)]
 
 
-def reassemble(blocks: DataFrame, coded: DataFrame) -> DataFrame:
-    """doc_id, ids: each text's ids (little-endian 32-bit) by the positions of its words."""
+def reassemble(blocks: DataFrame, coded: DataFrame, make, columns: str) -> DataFrame:
+    """doc_id and `columns`: what make()(ids) gives of each text's ids, by the positions of its words."""
     kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
+    names = [c.split()[0] for c in columns.split(", ")]
 
     def put(texts: pa.Table, words: pa.Table) -> pa.Table:
+        finish = make()
         texts = texts.filter(pc.is_valid(texts["doc_ids"]))
         none = [np.zeros(0, dtype=np.int64)]
         numbers = np.concatenate([np.cumsum(unpack_numbers(x)) for x in words["numbers"].to_pylist()] or none)
@@ -246,11 +249,21 @@ def reassemble(blocks: DataFrame, coded: DataFrame) -> DataFrame:
         out = []
         for sizes, packed in zip(texts["sizes"].to_pylist(), texts["codes"].to_pylist()):
             for codes in np.split(unpack_numbers(packed), np.cumsum(sizes)[:-1]):
-                out.append(_gather(ids, start, length, codes).tobytes())
-        return pa.table({"doc_id": pc.list_flatten(texts["doc_ids"]), "ids": pa.array(out, pa.binary())})
+                out.append(finish(_gather(ids, start, length, codes)))
+        pa.default_memory_pool().release_unused()
+        return pa.table({"doc_id": pc.list_flatten(texts["doc_ids"]), **dict(zip(names, zip(*out)))})
 
     return blocks.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(
-        put, f"doc_id {kind}, ids binary")
+        put, f"doc_id {kind}, {columns}")
+
+
+def _encoded(docs: DataFrame, ranks_path: str, pattern: str, block_chars: int, make,
+             columns: str) -> DataFrame:
+    spark = docs.sparkSession
+    ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))
+    # both uses below read all columns of one exchange, so Spark runs it once
+    blocks = pre_tokens(docs, pattern, block_chars).repartition(shuffle_partitions(spark), "block")
+    return reassemble(blocks, encode_words(explode_words(blocks), ranks), make, columns)
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -260,27 +273,28 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, block_chars: int = BL
     of any length are encoded whole; a longer one than a block is a block of its own. No rows give
     no rows. Columns other than doc_id and text are not read.
     """
-    spark = docs.sparkSession
-    ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))
-    # both uses below read all columns of one exchange, so Spark runs it once
-    blocks = pre_tokens(docs, pattern, block_chars).repartition(shuffle_partitions(spark), "block")
-    return reassemble(blocks, encode_words(explode_words(blocks), ranks))
+    return _encoded(docs, ranks_path, pattern, block_chars,
+                    lambda: lambda ids: (ids.tobytes(),), "ids binary")
 
 
-def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
-    """Adds `decoded`, the bytes of `ids`: a join with the token table, which is broadcast.
+def _token_table(spark, ranks_path: str):
+    """Broadcast of the bytes of each id: one entry per token, whatever the corpus holds."""
+    return spark.sparkContext.broadcast({rank: t for t, rank in read_ranks(ranks_path).items()})
 
-    The table has one row per token of the vocabulary, whatever the corpus holds.
-    """
-    table = encoded.sparkSession.sparkContext.broadcast(
-        {rank: token for token, rank in read_ranks(ranks_path).items()})
+
+def decode_ids(ids: np.ndarray, table: dict[int, bytes]) -> bytes:
+    return b"".join(map(table.__getitem__, ids.tolist()))
+
+
+def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
+    """Adds `decoded`, the bytes of `ids` (NULL of NULL): a join with the token table, which is broadcast."""
+    table = _token_table(encoded.sparkSession, ranks_path)
     columns = encoded.columns
 
     def join(batches):
-        token = table.value.__getitem__
         for batch in batches:
             ids = batch.column(columns.index("ids"))
-            decoded = [None if x is None else b"".join(map(token, np.frombuffer(x, "<u4").tolist()))
+            decoded = [None if x is None else decode_ids(np.frombuffer(x, "<u4"), table.value)
                        for x in (y.as_py() for y in ids)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())],
                                              [*columns, "decoded"])
@@ -289,13 +303,20 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     return encoded.mapInArrow(join, f"{fields}, decoded binary")
 
 
-def n_tokens(ids: Column) -> Column:
-    return (F.length(ids) / 4).cast("long")
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str,
+               block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text: encoded, and decoded again.
+
+    Both digests are made where a text's ids are put together, so ids and bytes go no further.
+    """
+    table = _token_table(docs.sparkSession, ranks_path)
+
+    def make():
+        def digest(ids: np.ndarray) -> tuple[int, str, str]:
+            return (len(ids), hashlib.sha256(ids.tobytes()).hexdigest(),
+                    hashlib.sha256(decode_ids(ids, table.value)).hexdigest())
 
+        return digest
 
-def round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text."""
-    decoded = decode(encode(docs, ranks_path, pattern), ranks_path)
-    return decoded.select("doc_id", n_tokens(F.col("ids")).alias("n_tokens"),
-                          F.sha2("ids", 256).alias("ids_sha256"),
-                          F.sha2("decoded", 256).alias("decoded_sha256"))
+    return _encoded(docs, ranks_path, pattern, block_chars, make,
+                    "n_tokens bigint, ids_sha256 string, decoded_sha256 string")
