@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 # Money is summed as whole ten-thousandths, so sums do not depend on row order.
 UNITS = 1e4
-_DIGEST_RANGE = 4294967296.0
+# 13 hex digits of a digest: 52 bits, which a double holds exactly
+_DIGITS = 13
+_DIGEST_RANGE = 4503599627370496.0
 
 # The functions named *_sql take and give SQL text: a plan of long expressions is
 # built much faster from text than from single Column calls.
@@ -43,7 +45,7 @@ def round_ratio(numerator: str, denominator: str, digits: int) -> Column:
 def hash_uniform(salt: str, key: Column) -> Column:
     """A number in [0, 1) that depends on the salt and the key only."""
     digest = F.md5(F.concat(F.lit(salt), key.cast("string")))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / _DIGEST_RANGE
+    return F.conv(F.substring(digest, 1, _DIGITS), 16, 10).cast("double") / _DIGEST_RANGE
 
 
 def clip01(p: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import hash_uniform
-from basketry.operators.quantile import exact_medians, value_at
+from basketry.operators.quantile import RankedValues, exact_medians
 
 NUMBERS = ("order_value", "was_late", "installments", "review_score")
 CATEGORY = "payment_type"
@@ -19,7 +19,6 @@ FILL = {"installments": 1.0, "was_late": 0.0}
 FILL_CATEGORY = "unknown"
 TRAIN_SHARE = 0.75
 SEED = 42
-MAX_CATEGORIES = 1000
 
 
 @dataclass(frozen=True)
@@ -51,10 +50,8 @@ def impute(features: DataFrame, fill: dict[str, float]) -> DataFrame:
 
 
 def categories(imputed: DataFrame) -> tuple[str, ...]:
-    """The payment types in alphabetical order; they become columns, so must be few."""
-    found = imputed.select(CATEGORY).distinct().limit(MAX_CATEGORIES + 1).collect()
-    if len(found) > MAX_CATEGORIES:
-        raise ValueError(f"more than {MAX_CATEGORIES} payment types cannot become columns")
+    """The payment types in alphabetical order; each becomes a column of the model."""
+    found = imputed.select(CATEGORY).distinct().collect()
     return tuple(sorted(row[0] for row in found))
 
 
@@ -88,7 +85,7 @@ def split_exactly(rows: DataFrame, label: str = LABEL, key: str = "order_id",
         kept = n - math.ceil((1.0 - TRAIN_SHARE) * n)
         if kept:
             here = drawn.filter(F.col(label).eqNullSafe(value)).select(F.col("u").alias("v"))
-            limit = F.when(F.col(label).eqNullSafe(value), value_at(here, n, kept - 1)).otherwise(limit)
+            limit = F.when(F.col(label).eqNullSafe(value), RankedValues(here).at(kept - 1)).otherwise(limit)
     return drawn.withColumn("split", F.when(F.col("u") <= limit, "train").otherwise("test")).drop("u")
 
 

@@ -163,12 +163,13 @@ def order_weights(economics: DataFrame, reviews: DataFrame, payments: DataFrame,
 
     Every sum over fct_orders that needs neither payment columns nor the sequence
     can be taken from these few columns, without the fan-out. An order without an
-    id is in no row of fct_orders and has n_rows = 0.
+    id is in no row of fct_orders and has n_rows = 0. purchase_ts is NULL where ids repeat.
     """
     if not profile.unique_orders:
         rows = fct_orders(economics, reviews, payments, profile)
         return rows.selectExpr(
-            "order_id", "customer_id", "order_value", "was_late", "1L AS n_rows",
+            "order_id", "customer_id", "CAST(NULL AS TIMESTAMP_NTZ) AS purchase_ts", "order_value",
+            "was_late", "1L AS n_rows",
             "CAST(review_score IS NOT NULL AS BIGINT) AS score_rows",
             "CAST(coalesce(review_score, 0) AS BIGINT) AS score_sum")
     paid = "CASE WHEN order_id IS NULL THEN 0 ELSE greatest(coalesce(n_payments, 0), 1) END"

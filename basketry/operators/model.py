@@ -51,6 +51,10 @@ def train(features: DataFrame) -> tuple[RepeatModel, DataFrame]:
     L2 penalty with C = 1 and balanced class weights: the mean of weighted losses
     plus |w|²/(2n). `features` is read several times, so pass a stored frame.
     """
+    classes = features.groupBy(F.coalesce(F.col(LABEL), F.lit(0))).count().collect()
+    if len(classes) < 2:
+        raise ValueError("no first orders to learn from" if not classes
+                         else "all first orders have the same label")
     encoded, prep = prepare(features)
     encoder = _encoder(prep)
     assembler = VectorAssembler(inputCols=[f"scaled_{c}" for c in prep.columns],

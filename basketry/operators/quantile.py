@@ -1,56 +1,46 @@
-"""Exact medians of columns too long for one task."""
+"""Exact medians and order statistics, by one path for all sizes."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_IN_A_TASK = 1_000_000
-ACCURACY = 10_000
+from basketry.session import materialize
 
 
-def exact_medians(df: DataFrame, *columns: str, rows_in_a_task: int = ROWS_IN_A_TASK) -> dict:
-    """Median of each column (mean of the middle two), NULL values aside.
-
-    Up to `rows_in_a_task` values Spark's own median is used. Beyond, an
-    approximate quantile brackets the middle, and only the bracket is ordered.
-    """
-    counts = df.agg(*[F.count(c).alias(c) for c in columns]).first()
-    small = [c for c in columns if counts[c] <= rows_in_a_task]
-    medians = df.agg(*[F.median(c).alias(c) for c in small]).first().asDict() if small else {}
+def exact_medians(df: DataFrame, *columns: str) -> dict:
+    """Median of each column (mean of the middle two), NULL values aside; None without values."""
+    medians = {}
     for c in columns:
-        if c not in medians:
-            values = df.filter(F.col(c).isNotNull()).select(F.col(c).cast("double").alias("v"))
-            middle = {(counts[c] - 1) // 2, counts[c] // 2}
-            found = [value_at(values, counts[c], rank, rows_in_a_task) for rank in middle]
-            medians[c] = sum(found) / len(found)
+        ranked = RankedValues(df.select(F.col(c).cast("double").alias("v")))
+        middle = {(ranked.n - 1) // 2, ranked.n // 2}
+        found = [ranked.at(rank) for rank in middle] if ranked.n else []
+        medians[c] = sum(found) / len(found) if found else None
     return medians
 
 
-def value_at(values: DataFrame, n: int, rank: int, limit: int = ROWS_IN_A_TASK) -> float:
-    """The value at a 0-based rank of the `n` values `v`, of which `limit` may be sorted in one task.
+class RankedValues:
+    """The values `v` of a frame by rank.
 
-    Each round keeps only the values strictly between two others around the rank, so
-    few rounds do, and ties at the two ends cannot hold them up.
+    Equal values are counted, and the different ones range-partitioned and stored with their
+    counts. The driver gets one total per range; a rank then needs a look into one range.
     """
-    v = F.col("v")
-    while n > limit:
-        share, margin = (rank + 0.5) / n, max(2.0 / ACCURACY, 1.0 / n)
-        lo, hi = values.agg(F.percentile_approx(
-            v, [max(share - margin, 0.0), min(share + margin, 1.0)], ACCURACY)).first()[0]
-        between = (v > lo) & (v < hi)
-        below, at_lo, inside, at_hi = values.agg(
-            F.count(F.when(v < lo, 1)), F.count(F.when(v == lo, 1)),
-            F.count(F.when(between, 1)), F.count(F.when((v == hi) & (v > lo), 1))).first()
-        if rank < below:  # the bracket missed the rank, so it is on one side of it
-            values, n = values.filter(v < lo), below
-        elif rank < below + at_lo:
-            return lo
-        elif rank < below + at_lo + inside:
-            values, n, rank = values.filter(between), inside, rank - below - at_lo
-        elif rank < below + at_lo + inside + at_hi:
-            return hi
-        else:
-            rest = below + at_lo + inside + at_hi
-            values, n, rank = values.filter(v > hi), n - rest, rank - rest
-    return values.agg(F.sort_array(F.collect_list(v))[rank]).first()[0]
+
+    def __init__(self, values: DataFrame):
+        spark = values.sparkSession
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self._stored = materialize(
+            values.filter("v IS NOT NULL").groupBy("v").agg(F.count("*").alias("n"))
+            .repartitionByRange(parts, "v").withColumn("part", F.spark_partition_id()))
+        self._sizes = sorted(self._stored.groupBy("part").agg(F.sum("n")).collect())
+        self.n = sum(size for _, size in self._sizes)
+
+    def at(self, rank: int) -> float:
+        """The value at a rank from 0 to n - 1."""
+        for part, size in self._sizes:
+            if rank < size:
+                here = self._stored.filter(F.col("part") == part)
+                up_to = F.sum("n").over(Window.partitionBy("part").orderBy("v"))
+                return here.withColumn("up_to", up_to).filter(F.col("up_to") > rank).agg(F.min("v")).first()[0]
+            rank -= size
+        raise ValueError("no such rank")

@@ -13,19 +13,22 @@ from pyspark.sql import functions as F
 
 from basketry.session import materialize
 
-HEAVY_ROWS = 1_000_000
-MAX_HEAVY = 10_000
+# A key is heavy with at least this many rows and one in HEAVY_SHARE of all rows.
+HEAVY_ROWS = 10_000
+HEAVY_SHARE = 1000
 
 
 def heavy_keys(df: DataFrame, key: str, heavy_rows: int = HEAVY_ROWS) -> list:
-    """Values of `key` with at least `heavy_rows` rows, the heaviest MAX_HEAVY of them.
+    """Values of `key` with at least `heavy_rows` rows and 1/HEAVY_SHARE of the table.
 
-    Counted with a partial aggregate per input split. A key left out has fewer
-    than heavy_rows rows or less than 1/MAX_HEAVY of the table, so the list is
-    bounded whatever the table holds, and no task gets a large share by one key.
+    Counted with a partial aggregate per input split. There are at most HEAVY_SHARE such
+    keys, and a key left out is a small share of the table or has few rows.
     """
-    counts = df.groupBy(key).agg(F.count("*").alias("n"))
-    heavy = counts.filter(F.col("n") >= heavy_rows).orderBy(F.desc("n")).limit(MAX_HEAVY)
+    counts = df.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") >= heavy_rows)
+    if counts.isEmpty():
+        return []
+    least = df.count() / HEAVY_SHARE
+    heavy = counts.filter(F.col("n") >= least).orderBy(F.desc("n"))
     return [row[0] for row in heavy.select(key).collect()]
 
 

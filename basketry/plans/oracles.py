@@ -110,10 +110,10 @@ bounds AS (
          CAST(max(order_value) AS DOUBLE) + CASE WHEN min(order_value) = max(order_value)
            THEN 0.5 ELSE 0 END AS hi FROM orders_mart),
 assigned AS (
-  SELECT *, CASE WHEN CAST(CAST(concat('0x', substr(md5(concat('7|g|', customer_id)), 1, 8)) AS BIGINT)
-                           AS DOUBLE) / 4294967296e0 < 5e-1 THEN 'control' ELSE 'treatment' END AS "group",
-         CAST(CAST(concat('0x', substr(md5(concat('7|o|', customer_id)), 1, 8)) AS BIGINT)
-              AS DOUBLE) / 4294967296e0 AS u
+  SELECT *, CASE WHEN CAST(CAST(concat('0x', substr(md5(concat('7|g|', customer_id)), 1, 13)) AS BIGINT)
+                           AS DOUBLE) / 4503599627370496e0 < 5e-1 THEN 'control' ELSE 'treatment' END AS "group",
+         CAST(CAST(concat('0x', substr(md5(concat('7|o|', customer_id)), 1, 13)) AS BIGINT)
+              AS DOUBLE) / 4503599627370496e0 AS u
   FROM customers_mart),
 base AS (SELECT CAST(sum(is_repeat_customer) AS DOUBLE) / count(*) AS p FROM customers_mart),
 outcome AS (
@@ -180,13 +180,13 @@ onehot AS (
          CAST(payment_type = 'voucher' AS DOUBLE) AS payment_type_voucher, is_repeat_customer
   FROM imputed),
 splitted AS (
-  SELECT *, CASE WHEN CAST(CAST(concat('0x', substr(md5(concat('42|s|', order_id)), 1, 8)) AS BIGINT)
-                           AS DOUBLE) / 4294967296e0 < 75e-2 THEN 'train' ELSE 'test' END AS split
+  SELECT *, CASE WHEN CAST(CAST(concat('0x', substr(md5(concat('42|s|', order_id)), 1, 13)) AS BIGINT)
+                           AS DOUBLE) / 4503599627370496e0 < 75e-2 THEN 'train' ELSE 'test' END AS split
   FROM onehot),
 test_scores AS (
   SELECT was_late AS label,
-         floor((8e-1 * (CAST(CAST(concat('0x', substr(md5(concat('9|a|', order_id)), 1, 8)) AS BIGINT)
-                             AS DOUBLE) / 4294967296e0) + 2e-1 * was_late) * 1000) / 1e3 AS score
+         floor((8e-1 * (CAST(CAST(concat('0x', substr(md5(concat('9|a|', order_id)), 1, 13)) AS BIGINT)
+                             AS DOUBLE) / 4503599627370496e0) + 2e-1 * was_late) * 1000) / 1e3 AS score
   FROM economics),
 matrix AS (
   SELECT count(*) FILTER (label = 0 AND score < 0.5) AS tn, count(*) FILTER (label = 0 AND score >= 0.5) AS fp,

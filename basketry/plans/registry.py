@@ -143,7 +143,7 @@ def score_new_orders(spark, folder):
     """The orders that are not delivered yet, one score each, by a model of the first orders."""
     v = views(spark, folder)
     _, fitted, _ = _trained(spark, folder)
-    rows = (v.stg_orders.filter("order_status <> 'delivered'").select("order_id")
+    rows = (v.stg_orders.filter("order_status IS DISTINCT FROM 'delivered'").select("order_id")
             .join(v.item_agg.select("order_id", "order_value"), "order_id", "left")
             .join(marts.mean_review(v.stg_reviews), "order_id", "left")
             .join(marts.largest_payment(v.stg_payments), "order_id", "left")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import re
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,25 +55,38 @@ def resolve_namespace(spark: SparkSession, session_id: str | None) -> str:
 def scratch_folder(spark: SparkSession) -> str:
     """The shared folder for intermediate tables: the checkpoint folder of the session.
 
-    Where none is set, a local session gets a temporary one and a cluster an error.
+    Where none is set, a local session has one in its warehouse and a cluster an error.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="basketry-"))
-        folder = context.getCheckpointDir()
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return folder
 
 
+# paths written by materialize, by application
+_written: dict[str, list[str]] = {}
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write `df` once to the scratch folder and read it back.
 
     Used where several jobs need the same costly frame: the lineage is cut, the
-    copy survives lost executors, and each later job reads only its columns. Like
-    checkpoints, the copies stay until the folder is cleared.
+    copy survives lost executors, and each later job reads only its columns. The
+    copies stay until `clear_scratch`, as a lazy result may read them at any time.
     """
-    path = f"{scratch_folder(df.sparkSession).rstrip('/')}/basketry-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{scratch_folder(spark).rstrip('/')}/basketry-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables; call it when results are written."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for name in _written.pop(spark.sparkContext.applicationId, []):
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(conf).delete(path, True)

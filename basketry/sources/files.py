@@ -52,22 +52,25 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool | None = None) ->
     """A CSV file or folder with a header, all columns text, null tokens as NULL.
 
     A file without line breaks inside fields is read in splits by many tasks; one
-    with such fields can only be read whole, so they are looked for first.
+    with such fields can only be read whole, so they are looked for first. Files of a
+    folder must have one header; another one raises.
     """
     if multi_line is None:
         multi_line = has_line_breaks_in_fields(spark, path)
     raw = spark.read.csv(path, header=True, multiLine=multi_line, quote='"', escape='"',
                          ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
-                         mode="FAILFAST")
+                         mode="FAILFAST", enforceSchema=False)
     return raw.select(*[
         F.when(F.col(f"`{c}`").isin(*NULL_TOKENS), None).otherwise(F.col(f"`{c}`")).alias(c)
         for c in raw.columns])
 
 
 def as_type(text: Column, data_type: T.DataType) -> Column:
-    """Text as the type; whole numbers may be written with a fraction of zero."""
+    """Text as the type; whole numbers may be written with a fraction of zero, another raises."""
     if isinstance(data_type, T.IntegerType):
-        return text.cast("double").cast("int")
+        number = text.cast("double")
+        return F.when(number == F.floor(number), number.cast("int")).when(
+            number.isNotNull(), F.raise_error(F.concat(F.lit("not a whole number: "), text)))
     return text.cast(data_type)
 
 

@@ -137,7 +137,6 @@ def test_exact_median(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v double")
     expected = statistics.median([v for v in values if v is not None])
     assert exact_medians(df, "v")["v"] == expected
-    assert exact_medians(df, "v", rows_in_a_task=1)["v"] == expected
 
 
 def test_median_of_nothing(spark):
