@@ -128,8 +128,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: dict[int, int] = SAMPLE,
           features: int = FEATURES) -> Chain:
     """A chain from the labelled rows with the smallest hashes of ids, `sample` of each class at most.
 
-    Of several labels of a document the largest counts, of several texts the smallest. The driver
-    gets the best `features` features and the numbers of each sampled text's.
+    Of several labels of a document the largest counts, of several texts the smallest. Without
+    labelled rows nothing is toxic. The driver gets the best
+    `features` features and the numbers of each sampled text's.
     """
     labelled = (labels.select("doc_id", F.col("toxic").cast("int").alias("toxic"))
                 .filter("doc_id IS NOT NULL AND toxic IN (0, 1)")
@@ -177,6 +178,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: dict[int, int] = SAMPLE,
     for i, row in enumerate(rows):
         x[i, row.found] = 1
     marks = np.array([row.marks for row in rows], dtype=np.float64).reshape(len(rows), len(CATEGORIES))
+    if not len(rows):  # nothing is known to be toxic
+        return Chain({}, [np.append(np.zeros(c), -20.0) for c in range(len(CATEGORIES))])
     return Chain(number, fit_chain(x, marks, np.arange(len(rows)) % FOLDS))
 
 

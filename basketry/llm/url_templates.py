@@ -105,11 +105,17 @@ def _generalise(tree: DataFrame, level: int) -> DataFrame:
 
 
 def _merge(tree: DataFrame, level: int) -> DataFrame:
-    """Siblings that differ at one level only and have similar shares of labels become one."""
-    has = tree.filter(F.size("template") >= level).withColumn(
-        "family", _set(level, F.lit(MERGED)))
-    member = _sums(has, "host", "family", "template")
-    family = _sums(member, "host", "family").toDF("host", "family", *(f"{c}_all" for c in _COUNTS))
+    """Siblings that differ at one level only and have similar shares of labels become one.
+
+    Those with shares in the same quarters form a family; a member whose shares still differ from
+    the rest of its family by more than chance stays apart.
+    """
+    has = tree.filter(F.size("template") >= level)
+    shares = _sums(has, "host", "template")
+    quarter = F.concat(*(F.floor(4 * F.col(c) / F.col("n")).cast("string") for c in ("bad", "good")))
+    family = _set(level, F.concat(F.lit(MERGED), F.when(quarter != "00", quarter).otherwise("")))
+    member = shares.withColumn("family", family)
+    whole = _sums(member, "host", "family").toDF("host", "family", *(f"{c}_all" for c in _COUNTS))
 
     def similar(c: str) -> Column:
         rest_n = F.col("n_all") - F.col("n")
@@ -118,11 +124,11 @@ def _merge(tree: DataFrame, level: int) -> DataFrame:
         error = F.sqrt(share * (1 - share) * (1 / F.col("n") + 1 / rest_n))
         return F.abs(F.col(c) / F.col("n") - rest / rest_n) <= ERRORS * error
 
-    alike = (member.join(family.filter("n_all > 0"), ["host", "family"])
+    alike = (member.join(whole, ["host", "family"])
              .filter(F.col("n_all") > F.col("n")).filter(similar("bad") & similar("good"))
-             .select("host", "template", F.lit(True).alias("alike")))
+             .select("host", "template", F.col("family").alias("merged")))
     changed = (has.join(alike, ["host", "template"], "left")
-               .withColumn("template", F.when(F.col("alike"), F.col("family")).otherwise(F.col("template"))))
+               .withColumn("template", F.coalesce("merged", "template")))
     return materialize(changed.select(*tree.columns).unionByName(
         tree.filter(F.size("template") < level)))
 
