@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 # Money is summed as whole ten-thousandths, so sums do not depend on row order.
 UNITS = 1e4
+_LARGEST = 9e14
 # 13 hex digits of a digest: 52 bits, which a double holds exactly
 _DIGITS = 13
 _DIGEST_RANGE = 4503599627370496.0
@@ -16,8 +17,13 @@ _DIGEST_RANGE = 4503599627370496.0
 
 
 def units_sql(amount: str) -> str:
-    """A money amount as the nearest whole number of ten-thousandths."""
-    return f"floor({amount} * {UNITS}D + 0.5D)"
+    """A money amount as the nearest whole number of ten-thousandths, halves away from zero.
+
+    NaN, infinity and what does not fit a long raise an error.
+    """
+    return (f"CASE WHEN abs({amount}) <= {_LARGEST}D "
+            f"THEN CAST(sign({amount}) AS BIGINT) * floor(abs({amount}) * {UNITS}D + 0.5D) "
+            f"WHEN {amount} IS NOT NULL THEN raise_error(concat('not an amount: ', {amount})) END")
 
 
 def wide_sql(number: str) -> str:

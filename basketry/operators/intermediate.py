@@ -13,7 +13,7 @@ from basketry.operators.skew import expand_join, lookup_join, number_rows
 
 def item_agg(items: DataFrame) -> DataFrame:
     """Per order: rows, price, freight, and price plus freight (NULL freight adds nothing)."""
-    price, freight = units_sql("price"), units_sql("freight_value")
+    price, freight = f"({units_sql('price')})", f"({units_sql('freight_value')})"
     return items.groupBy("order_id").agg(
         F.count("*").alias("n_items"),
         F.expr(f"sum({price}) / {UNITS}D").alias("merchandise_value"),

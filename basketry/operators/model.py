@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions.columns import ratio
 from basketry.operators.features import CATEGORY, FILL_CATEGORY, LABEL, Preparation, prepare, split
+from basketry.session import materialize
 
 CLASSES = ("not_repeat", "repeat")
 
@@ -80,6 +81,28 @@ def train(features: DataFrame) -> tuple[RepeatModel, DataFrame]:
     return model, score(model.pipeline, with_split.filter(F.col("split") == "test"))
 
 
+@dataclass
+class Evaluation:
+    matrix: DataFrame
+    report: DataFrame
+    roc_auc: float
+
+
+def evaluate(scored: DataFrame) -> Evaluation:
+    """Confusion matrix, report per class and ROC-AUC of scored rows, which are stored once."""
+    rows = materialize(scored.select(F.coalesce(F.col(LABEL), F.lit(0)).alias(LABEL), "prediction",
+                                     "probability_repeat"))
+    matrix = confusion_matrix(rows)
+    return Evaluation(matrix, classification_report(matrix), roc_auc(rows))
+
+
+def headline(model: RepeatModel) -> str:
+    """The strongest driver of a repeat purchase and its direction, as a sentence."""
+    name, value = min(zip(model.columns, model.coefficients), key=lambda c: (-abs(c[1]), c[0]))
+    return (f"{name} is the strongest driver: a higher value "
+            f"{'increases' if value > 0 else 'decreases'} the chance of a repeat purchase.")
+
+
 def score(pipeline: PipelineModel, rows: DataFrame) -> DataFrame:
     """Add prediction (0/1 at one half) and probability_repeat to raw feature rows."""
     scored = pipeline.transform(rows)

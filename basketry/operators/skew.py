@@ -16,6 +16,8 @@ from basketry.session import materialize
 # A key is heavy with at least this many rows and one in HEAVY_SHARE of all rows.
 HEAVY_ROWS = 10_000
 HEAVY_SHARE = 1000
+# Rows that one slice of a heavy group's sequence holds, about.
+SLICE_ROWS = 1_000_000
 
 
 def heavy_keys(df: DataFrame, key: str, heavy_rows: int = HEAVY_ROWS) -> list:
@@ -43,19 +45,25 @@ def expand_join(left: DataFrame, right: DataFrame, key: str, heavy: Sequence,
     """left ⟕ right, where `heavy` keys have many rows on the right.
 
     If the left has one row per key, its heavy rows number at most len(heavy), so
-    they are broadcast and the right side's heavy rows stay where they are.
+    they are broadcast and the right side's heavy rows stay where they are. Else they
+    are salted: a heavy row of the right goes to one of as many parts as there are
+    shuffle partitions, those of the left to each part. That is less than the join gives.
     """
     heavy = [v for v in heavy if v is not None]  # NULL keys never match
     if not heavy:
         return left.join(right.filter(F.col(key).isNotNull()), key, "left")
     few = left.filter(~is_heavy(key, heavy)).join(
         right.filter(~is_heavy(key, heavy) & F.col(key).isNotNull()), key, "left")
-    left_heavy = left.filter(is_heavy(key, heavy))
-    if left_is_unique:
-        left_heavy = F.broadcast(left_heavy)
+    left_heavy, right_heavy = (side.filter(is_heavy(key, heavy)) for side in (left, right))
     # every heavy key occurs on the right, so inner and left join agree here
-    many = right.filter(is_heavy(key, heavy)).join(left_heavy, key)
-    return few.unionByName(many)
+    if left_is_unique:
+        return few.unionByName(right_heavy.join(F.broadcast(left_heavy), key))
+    n = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # with the number of the input split, so that equal rows do not all meet in one part
+    salted = right_heavy.withColumn("part", F.pmod(
+        F.xxhash64(*right.columns) + F.spark_partition_id(), F.lit(n)).cast("int"))
+    repeated = left_heavy.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    return few.unionByName(salted.join(repeated, [key, "part"]).drop("part"))
 
 
 def lookup_join(left: DataFrame, lookup: DataFrame, key: str, heavy: Sequence) -> DataFrame:
@@ -103,7 +111,9 @@ def _number_by_slices(rows: DataFrame, group: str, time: str, tie: str) -> DataF
     A slice is one range partition, so there are at most (partitions + groups)
     pairs of group and slice, and the totals per pair are small.
     """
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = materialize(rows)
+    n = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+            rows.count() // SLICE_ROWS)
     cut = materialize(
         rows.repartitionByRange(n, F.col(group), F.asc_nulls_last(time), F.asc(tie))
         .withColumn("slice", F.spark_partition_id()))

@@ -383,6 +383,19 @@ BODIES: dict[str, str] = {
     "table_counts": _COUNTS,
     "validate_schema": f"SELECT \"table\", '' AS missing_required, '' AS missing_needed_by_view, n_rows "
                        f"FROM ({_COUNTS})",
+    "validate_schema_missing":
+        "SELECT \"table\", CASE \"table\" WHEN 'payments' THEN 'payment_value' WHEN 'reviews' THEN '*' "
+        "ELSE '' END AS missing_required, CASE \"table\" WHEN 'orders' THEN 'delivered_ts' ELSE '' END "
+        "AS missing_needed_by_view, CASE \"table\" WHEN 'reviews' THEN 0 ELSE n_rows END AS n_rows "
+        f"FROM ({_COUNTS})",
+    "csv_orders": "SELECT * REPLACE (CAST(order_id AS VARCHAR) AS order_id, "
+                  "CAST(customer_id AS VARCHAR) AS customer_id) FROM stg_orders",
+    "market_payments": "SELECT CAST(order_id AS VARCHAR) AS order_id, payment_type, installments, "
+                       "payment_value FROM raw_payments",
+    "market_reviews": "SELECT CAST(order_id AS VARCHAR) AS order_id, review_score FROM raw_reviews",
+    "market_customers": "SELECT CAST(customer_unique_id AS VARCHAR) AS customer_id, customer_city AS city, "
+                        "customer_state AS state FROM market_customers QUALIFY row_number() OVER "
+                        "(PARTITION BY customer_unique_id ORDER BY customer_id) = 1",
     "preview_customers": "SELECT * FROM customers_mart ORDER BY customer_id, state, lifetime_order_count LIMIT 5",
     "eda_metrics": "SELECT (SELECT CAST(sum(order_value) AS DOUBLE) FROM orders_mart) AS total_revenue, "
                    "(SELECT CAST(sum(is_repeat_customer) AS DOUBLE) / count(*) * 100 FROM customers_mart) "

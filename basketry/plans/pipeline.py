@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import OrderedDict
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,8 +12,9 @@ from basketry.operators import experiment, model
 from basketry.operators.eda import eda_records
 from basketry.operators.quality import table_counts
 from basketry.plans.views import RetailViews
-from basketry.session import create_namespace, resolve_namespace
+from basketry.session import drop_version, new_version, publish, resolve_namespace
 from basketry.sources.files import read_upload
+from basketry.sources.loader import read_marketplace
 from basketry.sources.tables import read_tables, replace_table, replace_tables
 
 MARTS = ("fct_customers", "fct_orders", "order_weights", "first_order_features")
@@ -28,8 +31,9 @@ EMPTY = {
 }
 
 
-# Models by application and session, each dropped when its session's data is replaced.
-_models: dict[tuple[str, str | None], model.RepeatModel] = {}
+# The models used last, with their scored test rows, by application and upload. Others are trained anew.
+_models: OrderedDict[tuple[str, str], tuple[model.RepeatModel, DataFrame]] = OrderedDict()
+MODELS_KEPT = 32
 
 
 def ingest(spark: SparkSession, paths: list[str], session_id: str | None = None,
@@ -42,20 +46,33 @@ def ingest(spark: SparkSession, paths: list[str], session_id: str | None = None,
     return store(spark, raw, session_id, on_bad_ts)
 
 
+def ingest_marketplace(spark: SparkSession, paths: list[str], session_id: str | None = None,
+                       on_bad_ts: str = "raise") -> DataFrame:
+    """The same for the CSV files of a marketplace, which are brought to the raw model."""
+    return store(spark, read_marketplace(spark, paths), session_id, on_bad_ts)
+
+
 def store(spark: SparkSession, raw: dict[str, DataFrame], session_id: str | None = None,
           on_bad_ts: str = "raise") -> DataFrame:
-    """Write the raw tables and the marts; the marts replace those of an earlier upload."""
-    database = create_namespace(spark, session_id)
-    _models.pop((spark.sparkContext.applicationId, session_id), None)
-    replace_tables(raw, database)
-    stored = read_tables(spark, database, list(raw))
-    views = RetailViews(stored, on_bad_ts)
-    economics = f"`{database}`.`int_order_economics`"
-    replace_table(views.int_order_economics, economics)
-    # every mart starts from the stored economics instead of computing it again
-    views.int_order_economics = spark.table(economics)
-    for name in MARTS:
-        replace_table(getattr(views, name), f"`{database}`.`{name}`")
+    """Write the raw tables and the marts to a new database and make it the session's current one.
+
+    If anything fails, the earlier upload stays as it is.
+    """
+    database = new_version(spark)
+    try:
+        replace_tables(raw, database)
+        stored = read_tables(spark, database, list(raw))
+        views = RetailViews(stored, on_bad_ts)
+        economics = f"`{database}`.`int_order_economics`"
+        replace_table(views.int_order_economics, economics)
+        # every mart starts from the stored economics instead of computing it again
+        views.int_order_economics = spark.table(economics)
+        for name in MARTS:
+            replace_table(getattr(views, name), f"`{database}`.`{name}`")
+    except Exception:
+        drop_version(spark, database)
+        raise
+    publish(spark, session_id, database)
     return table_counts(stored)
 
 
@@ -81,14 +98,26 @@ def ab_test(spark: SparkSession, lift_pp: float = experiment.DEFAULT_LIFT_PP,
         experiment.simulate_outcome(experiment.assign_groups(customers), lift_pp))
 
 
-def session_model(spark: SparkSession, session_id: str | None = None) -> model.RepeatModel:
-    """The model of the session's first orders, trained once per upload."""
-    key = (spark.sparkContext.applicationId, session_id)
+def _trained(spark: SparkSession, session_id: str | None) -> tuple[model.RepeatModel, DataFrame]:
+    key = (spark.sparkContext.applicationId, resolve_namespace(spark, session_id))
     if key not in _models:
-        _models[key], _ = model.train(load_mart(spark, "first_order_features", session_id))
+        _models[key] = model.train(load_mart(spark, "first_order_features", session_id))
+    _models.move_to_end(key)
+    while len(_models) > MODELS_KEPT:
+        _models.popitem(last=False)
     return _models[key]
 
 
+def session_model(spark: SparkSession, session_id: str | None = None) -> model.RepeatModel:
+    """The model of the session's first orders, trained once per upload."""
+    return _trained(spark, session_id)[0]
+
+
+def evaluate_model(spark: SparkSession, session_id: str | None = None) -> model.Evaluation:
+    """Metrics of the session's model on the test rows, which it has not learned from."""
+    return model.evaluate(_trained(spark, session_id)[1])
+
+
 def train_model(spark: SparkSession, path: str, session_id: str | None = None) -> model.RepeatModel:
     """Train on the session's first orders and save the pipeline under `path`."""
     fitted = session_model(spark, session_id)

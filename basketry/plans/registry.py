@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from basketry.functions.columns import hash_uniform
 from basketry.operators import eda, experiment, features, marts, model, quality
 from basketry.plans.views import RetailViews
-from basketry.session import materialize
+from basketry.session import materialize, scratch_folder
 from basketry.sources import adapters, files, loader
 
 DIGITS = 6
@@ -196,6 +197,32 @@ def item_category(spark, folder):
         market["products"], market["translation"]))
 
 
+def _market(spark, folder) -> dict[str, DataFrame]:
+    return loader.load_marketplace(adapters.marketplace_files(spark, folder))
+
+
+def validate_schema_missing(spark, folder):
+    """The column check on tables of which one is missing and two lack a column."""
+    raw = views(spark, folder).raw
+    return files.check_report({
+        "customers": raw["customers"], "orders": raw["orders"].drop("delivered_ts"),
+        "order_items": raw["order_items"], "payments": raw["payments"].drop("payment_value")})
+
+
+def csv_orders(spark, folder):
+    """Orders written as CSV text and read from it, to staged rows."""
+    raw = views(spark, folder).raw["orders"]
+    path = f"{scratch_folder(spark).rstrip('/')}/basketry-{uuid.uuid4().hex}"
+    raw.select(*[F.col(c).cast("string") for c in raw.columns]).write.csv(path, header=True)
+    return RetailViews({"orders": files.typed(files.read_csv(spark, path), "orders")}).stg_orders
+
+
+def lr_report(spark, folder):
+    """Report of the trained model on its test rows."""
+    return _rounded(model.evaluate(_trained(spark, folder)[2]).report,
+                    "precision", "recall", "f1_score", digits=9)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **{name: _view(name) for name in (
         "stg_customers", "stg_orders", "stg_order_items", "stg_payments", "stg_reviews",
@@ -206,6 +233,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "data_tests": data_tests,
     "table_counts": lambda s, f: quality.table_counts(views(s, f).raw),
     "validate_schema": lambda s, f: files.check_report(views(s, f).raw),
+    "validate_schema_missing": validate_schema_missing,
+    "csv_orders": csv_orders,
     "preview_customers": preview_customers,
     "eda_metrics": eda_metrics,
     "eda_json": eda_json,
@@ -218,6 +247,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedup_customers": dedup_customers,
     "rekey_orders": rekey_orders,
     "item_category": item_category,
+    "market_payments": lambda s, f: _market(s, f)["payments"],
+    "market_reviews": lambda s, f: _market(s, f)["reviews"],
+    "market_customers": lambda s, f: _market(s, f)["customers"],
     "ab_assignment": lambda s, f: _assigned(s, f).select("customer_id", "group"),
     "ab_outcome": ab_outcome,
     "ab_balance": ab_balance,
@@ -233,6 +265,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "features_scaled": features_scaled,
     "lr_coefficients": lr_coefficients,
     "lr_scores": lr_scores,
+    "lr_report": lr_report,
     "score_new_orders": score_new_orders,
     "confusion_matrix": confusion_matrix,
     "classification_report": classification_report,

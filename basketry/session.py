@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SHARED_NAMESPACE = "default"
+# property of a session's database: the database that holds its current upload
+_CURRENT = "basketry_current"
 _SESSION_NAME = re.compile(r"[A-Za-z0-9_]{1,64}")
 
 
@@ -46,10 +48,37 @@ def create_namespace(spark: SparkSession, session_id: str | None) -> str:
     return name
 
 
+def current_version(spark: SparkSession, database: str) -> str:
+    """The database of the current upload of a session's database, else that database itself."""
+    described = spark.sql(f"DESCRIBE DATABASE EXTENDED `{database}`").collect()
+    found = re.search(rf"\({_CURRENT},(\w+)\)", " ".join(str(row[1]) for row in described))
+    return found.group(1) if found else database
+
+
 def resolve_namespace(spark: SparkSession, session_id: str | None) -> str:
-    """The session's database if it exists, else the shared one."""
+    """The database of the session's current upload if there is one, else the shared one's."""
     name = namespace(session_id)
-    return name if spark.catalog.databaseExists(name) else SHARED_NAMESPACE
+    return current_version(spark, name if spark.catalog.databaseExists(name) else SHARED_NAMESPACE)
+
+
+def new_version(spark: SparkSession) -> str:
+    """A new database for an upload, not seen by readers before `publish`."""
+    version = f"upload_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE `{version}`")
+    return version
+
+
+def drop_version(spark: SparkSession, version: str) -> None:
+    spark.sql(f"DROP DATABASE IF EXISTS `{version}` CASCADE")
+
+
+def publish(spark: SparkSession, session_id: str | None, version: str) -> None:
+    """Make a version the session's current upload in one step, then drop the one before."""
+    name = create_namespace(spark, session_id)
+    earlier = current_version(spark, name)
+    spark.sql(f"ALTER DATABASE `{name}` SET DBPROPERTIES ('{_CURRENT}' = '{version}')")
+    if earlier != name:
+        drop_version(spark, earlier)
 
 
 def scratch_folder(spark: SparkSession) -> str:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Collection
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +28,8 @@ class InputError(ValueError):
         self.errors = errors
 
 
-def route(paths: list[str]) -> tuple[dict[str, str], list[str]]:
+def route(paths: list[str],
+          names: Collection[str] = tuple(RAW_TABLES)) -> tuple[dict[str, str], list[str]]:
     """Table of each file by the longest table name in its file name, and the errors.
 
     A later file for the same table replaces an earlier one.
@@ -33,33 +37,49 @@ def route(paths: list[str]) -> tuple[dict[str, str], list[str]]:
     tables, errors = {}, []
     for path in paths:
         name = path.rstrip("/").rsplit("/", 1)[-1].lower()
-        matches = sorted((t for t in RAW_TABLES if t in name), key=len)
+        matches = sorted((t for t in names if t in name), key=len)
         if matches:
             tables[matches[-1]] = path
         else:
             errors.append(f"no table matches the file name {name!r}; "
-                          f"it must contain one of {', '.join(RAW_TABLES)}")
+                          f"it must contain one of {', '.join(names)}")
     return tables, errors
 
 
-def has_line_breaks_in_fields(spark: SparkSession, path: str) -> bool:
-    """Does a quoted field span lines? Then some line has an odd number of quotes."""
+def files_with_line_breaks(spark: SparkSession, path: str) -> list[str]:
+    """Files in which a quoted field spans lines: some line has an odd number of quotes."""
     quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    return bool(spark.read.text(path).filter(quotes % 2 == 1).head(1))
+    odd = spark.read.text(path).filter(quotes % 2 == 1).select("_metadata.file_path").distinct()
+    return sorted(unquote(row[0]) for row in odd.collect())
+
+
+def has_line_breaks_in_fields(spark: SparkSession, path: str) -> bool:
+    return bool(files_with_line_breaks(spark, path))
 
 
 def read_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
     """A CSV file or folder with a header, all columns text, null tokens as NULL.
 
     A file without line breaks inside fields is read in splits by many tasks; one
-    with such fields can only be read whole, so they are looked for first. Files of a
-    folder must have one header; another one raises.
+    with such fields can only be read whole, so they are looked for first, file by file.
+    Files of a folder must have one header; another one raises.
     """
-    if multi_line is None:
-        multi_line = has_line_breaks_in_fields(spark, path)
-    raw = spark.read.csv(path, header=True, multiLine=multi_line, quote='"', escape='"',
-                         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
-                         mode="FAILFAST", enforceSchema=False)
+    def read(paths: str | list[str], whole: bool) -> DataFrame:
+        return spark.read.csv(paths, header=True, multiLine=whole, quote='"', escape='"',
+                              ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+                              mode="FAILFAST", enforceSchema=False)
+
+    if multi_line is not None:
+        raw = read(path, multi_line)
+    elif whole := files_with_line_breaks(spark, path):
+        # both names are URIs, in spellings (file:/ and file:///) that may differ
+        known = {re.sub("^([a-z0-9]+):/+", r"\1:/", name) for name in whole}
+        every = [unquote(name) for name in spark.read.text(path).inputFiles()]
+        rest = [n for n in every if re.sub("^([a-z0-9]+):/+", r"\1:/", n) not in known]
+        raw = read(whole, True)
+        raw = raw.unionByName(read(rest, False)) if rest else raw
+    else:
+        raw = read(path, False)
     return raw.select(*[
         F.when(F.col(f"`{c}`").isin(*NULL_TOKENS), None).otherwise(F.col(f"`{c}`")).alias(c)
         for c in raw.columns])

@@ -2,14 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.operators.skew import heavy_keys, lookup_join
 from basketry.schemas import RAW_TABLES
-from basketry.sources.files import as_type
+from basketry.sources.files import InputError, as_type, read_csv, route
 
 NO_CATEGORY = "other"
+# Columns that the loader needs of each marketplace file (fixed values).
+MARKETPLACE_COLUMNS: dict[str, tuple[str, ...]] = {
+    "customers": ("customer_id", "customer_unique_id"),
+    "orders": ("order_id", "customer_id", "order_status"),
+    "order_items": ("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value"),
+    "payments": ("order_id", "payment_type", "payment_installments", "payment_value"),
+    "reviews": ("order_id", "review_score"),
+    "products": ("product_id", "product_category_name"),
+    "translation": ("product_category_name", "product_category_name_english"),
+}
+OPTIONAL_FILES = {"products", "translation"}
 
 
 def identity_map(customers: DataFrame) -> DataFrame:
@@ -78,6 +89,25 @@ def reviews(source: DataFrame) -> DataFrame:
     return source.select("order_id", "review_score")
 
 
+def read_marketplace(spark: SparkSession, paths: list[str]) -> dict[str, DataFrame]:
+    """The raw model from a marketplace's CSV files; raises InputError with all reasons at once.
+
+    Products and translation may be absent, but not one without the other.
+    """
+    routed, errors = route(paths, tuple(MARKETPLACE_COLUMNS))
+    files = {name: read_csv(spark, path) for name, path in routed.items()}
+    optional = set() if OPTIONAL_FILES & set(files) else OPTIONAL_FILES
+    for name, columns in MARKETPLACE_COLUMNS.items():
+        if name in files:
+            errors += [f"{routed[name]} lacks the column {c}" for c in columns
+                       if c not in files[name].columns]
+        elif name not in optional:
+            errors.append(f"no file for the table {name}")
+    if errors:
+        raise InputError(errors)
+    return load_marketplace(files)
+
+
 def load_marketplace(files: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The raw model from the marketplace tables.
 

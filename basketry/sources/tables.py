@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from basketry.operators.quality import table_counts
+from basketry.session import current_version
 
 
 def replace_table(df: DataFrame, name: str) -> None:
@@ -21,7 +22,11 @@ def read_tables(spark: SparkSession, database: str, names: list[str]) -> dict[st
 
 
 def copy_tables(spark: SparkSession, source: str, target: str) -> DataFrame:
-    """Copy every table of one database to another; returns the rows of each copy."""
+    """Copy every table of one database to another; returns the rows of each copy.
+
+    Of a session's database the tables of its current upload are copied.
+    """
+    source = current_version(spark, source)
     names = sorted(t.name for t in spark.catalog.listTables(source) if not t.isTemporary)
     replace_tables(read_tables(spark, source, names), target)
     return table_counts(read_tables(spark, target, names))

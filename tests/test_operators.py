@@ -235,3 +235,24 @@ def test_t_tail_equals_integral(dof):
     density = [front * (1 + (t * k / steps) ** 2 / dof) ** (-(dof + 1) / 2) for k in range(steps + 1)]
     area = (density[0] + density[-1] + 4 * sum(density[1:-1:2]) + 2 * sum(density[2:-1:2])) * t / steps / 3
     assert stats.t_two_sided(t, dof) == pytest.approx(1 - 2 * area, abs=1e-8)
+
+
+@pytest.mark.parametrize("amount", [float("nan"), float("inf"), float("-inf"), 1e18])
+def test_what_is_no_amount_raises(spark, amount):
+    items = spark.createDataFrame([("o", amount, 1.0)], "order_id string, price double, freight_value double")
+    with pytest.raises(Exception, match="not an amount"):
+        intermediate.item_agg(items).collect()
+
+
+def test_halves_of_amounts_go_away_from_zero(spark):
+    items = spark.createDataFrame([("a", 0.00005, None), ("b", -0.00005, 0.0), ("c", None, 1.0)],
+                                  "order_id string, price double, freight_value double")
+    got = {r.order_id: r.merchandise_value for r in intermediate.item_agg(items).collect()}
+    assert got == {"a": 0.0001, "b": -0.0001, "c": None}
+
+
+def test_salted_join_keeps_every_match_of_equal_rows(spark):
+    left = spark.createDataFrame([("a", i) for i in range(3)] + [("b", 9)], "k string, x int")
+    right = spark.createDataFrame([("a", 1)] * 50 + [("b", 2)], "k string, y int")
+    got = skew.expand_join(left, right, "k", ["a"], False).groupBy("k", "x").count().collect()
+    assert {tuple(r) for r in got} == {("a", 0, 50), ("a", 1, 50), ("a", 2, 50), ("b", 9, 1)}

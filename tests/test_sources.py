@@ -165,3 +165,68 @@ def test_marketplace_loader(spark):
     del market["products"], market["translation"]
     plain = loader.load_marketplace(market)["order_items"]
     assert plain.select(F.count_distinct("category"), F.max("category")).first() == (1, "other")
+
+
+def test_only_files_with_line_breaks_are_read_whole(spark, tmp_path):
+    folder = tmp_path / "two files"
+    folder.mkdir()
+    write(folder, a='a,b\n"x\ny",1\n', b="a,b\nz,2\n")
+    broken = files.files_with_line_breaks(spark, str(folder))
+    assert len(broken) == 1 and broken[0].endswith("/two files/a.csv")
+    got = {tuple(r) for r in files.read_csv(spark, str(folder)).collect()}
+    assert got == {("x\ny", "1"), ("z", "2")}
+
+
+def test_a_failed_upload_keeps_the_earlier_one(spark, upload, tmp_path):
+    pipeline.ingest(spark, upload, "kept")
+    before = session.resolve_namespace(spark, "kept")
+    bad = [p for p in upload if "my_orders" not in p]
+    bad += write(tmp_path, bad_orders=ORDERS.replace("2020-01-01 10:00:00", "soon"))
+    with pytest.raises(Exception, match="soon"):
+        pipeline.ingest(spark, bad, "kept")
+    assert session.resolve_namespace(spark, "kept") == before
+    assert spark.table(f"{before}.orders").count() == 60
+    assert pipeline.load_mart(spark, "fct_customers", "kept").count() == 40
+    pipeline.ingest(spark, upload, "kept")
+    uploads = {d.name for d in spark.catalog.listDatabases()}
+    assert session.resolve_namespace(spark, "kept") in uploads and before not in uploads
+
+
+def test_marketplace_upload(spark, tmp_path):
+    paths = write(
+        tmp_path,
+        olist_customers="customer_id,customer_unique_id,customer_city,customer_state\nk1,p1,t,sp\nk2,p1,t,sp\n",
+        olist_orders="order_id,customer_id,order_status,order_purchase_timestamp,order_approved_at,"
+                     "order_estimated_delivery_date,order_delivered_customer_date\n"
+                     "o1,k1,delivered,2020-01-01,,2020-01-09,2020-01-05\n"
+                     "o2,k2,delivered,2020-02-01,,2020-02-09,2020-02-15\n",
+        olist_order_items="order_id,order_item_id,product_id,seller_id,price,freight_value\n"
+                          "o1,1,x,s,1.5,0.5\no2,1,y,s,3,1\n",
+        olist_payments="order_id,payment_type,payment_installments,payment_value\no1,card,1,2\no2,card,1,4\n",
+        olist_reviews="order_id,review_score\no1,5\no2,1\n",
+        olist_products="product_id,product_category_name\nx,moveis\n",
+        name_translation="product_category_name,product_category_name_english\nmoveis,furniture\n")
+    with pytest.raises(files.InputError, match="no file for the table translation"):
+        loader.read_marketplace(spark, paths[:-1])
+    pipeline.ingest_marketplace(spark, paths, "market")
+    row = pipeline.load_mart(spark, "fct_customers", "market").first()
+    assert (row.customer_id, row.lifetime_order_count, row.lifetime_value) == ("p1", 2, 6.0)
+    stored = spark.table(f"{session.resolve_namespace(spark, 'market')}.order_items")
+    assert {r.product_id: r.category for r in stored.collect()} == {"x": "furniture", "y": "other"}
+    plain = loader.read_marketplace(spark, paths[:-2])  # both may be absent
+    assert {r.category for r in plain["order_items"].collect()} == {"other"}
+
+
+def test_metrics_of_the_session_model(spark, upload):
+    pipeline.ingest(spark, upload, "metrics")
+    got = pipeline.evaluate_model(spark, "metrics")
+    fitted, scored = model.train(pipeline.load_mart(spark, "first_order_features", "metrics"))
+    rows = scored.select("is_repeat_customer", "prediction", "probability_repeat").collect()
+    m = got.matrix.first()
+    assert m.tp == sum(r[0] == 1 and r[1] == 1 for r in rows) and m.fp == sum(r[0] == 0 and r[1] == 1 for r in rows)
+    assert m.tn + m.fp + m.fn + m.tp == len(rows)
+    good, poor = ([r[2] for r in rows if r[0] == k] for k in (1, 0))
+    wins = sum((g > p) + 0.5 * (g == p) for g in good for p in poor)
+    assert got.roc_auc == pytest.approx(wins / (len(good) * len(poor)))
+    strongest = model.coefficients(spark, fitted).first()
+    assert model.headline(fitted).startswith(strongest.feature) and strongest.direction in model.headline(fitted)
