@@ -111,8 +111,10 @@ def review_by_delivery(weights: DataFrame) -> DataFrame:
 
 
 def to_records(section: str, df: DataFrame) -> DataFrame:
-    """Each row as a JSON record of the named section."""
-    return df.select(F.lit(section).alias("section"), F.to_json(F.struct("*")).alias("record"))
+    """Each row as a JSON record of the named section, fractions with six digits."""
+    plain = df.select(*[F.col(c).cast("decimal(38,6)").alias(c) if t == "double" else F.col(c)
+                        for c, t in df.dtypes])
+    return plain.select(F.lit(section).alias("section"), F.to_json(F.struct("*")).alias("record"))
 
 
 def eda_records(weights: DataFrame, customers: DataFrame) -> DataFrame:

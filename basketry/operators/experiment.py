@@ -141,32 +141,34 @@ def lift_sweep(assigned: DataFrame, lifts_pp: tuple[float, ...] = SWEEP_PP,
 
 
 def report(experiment: DataFrame) -> DataFrame:
-    """(line_no, section, line): hypothesis, balance, result and recommendation."""
+    """(line_no, section, name, value): the figures of balance, result and decision as text."""
     balance = balance_test(experiment).agg(F.first(F.struct("*"))).scalar()
     one = business_case(experiment).select("*", balance.alias("balance"))
-    text = F.format_string
-    balanced = F.when(F.col("balance.balanced"), "balanced").otherwise("imbalanced, flagged")
-    money = [F.col("incremental_revenue"), F.col("discount_cost")]
-    advice = F.when(
-        F.col("recommend_ship"),
-        text("SHIP: the lift of %.2f pp is significant (p=%.4f) and modelled revenue (R$%,.0f) "
-             "exceeds the modelled discount cost (R$%,.0f).",
-             F.col("absolute_lift_pp"), F.col("p_value"), *money),
-    ).otherwise(
-        text("DO NOT SHIP: the lift is not significant (p=%.4f) or modelled revenue (R$%,.0f) does "
-             "not exceed the modelled discount cost (R$%,.0f). Test a smaller discount or a "
-             "high-value segment.", F.col("p_value"), *money))
-    lines = [
-        ("Hypothesis", F.lit("H0: the discount has no effect on the repeat-purchase rate.")),
-        ("Hypothesis", F.lit("H1: the discount increases the repeat-purchase rate.")),
-        ("Sample balance", text("t=%.3f, p=%.3f on avg_order_value before treatment (%s)",
-                                F.col("balance.t_stat"), F.col("balance.p_value"), balanced)),
-        ("Result", text("Treatment repeat rate: %.4f", F.col("treatment_rate"))),
-        ("Result", text("Control repeat rate: %.4f", F.col("control_rate"))),
-        ("Result", text("Absolute lift: %.2f percentage points", F.col("absolute_lift_pp"))),
-        ("Result", text("z=%.3f, one-sided p=%.4f", F.col("z_stat"), F.col("p_value"))),
-        ("Recommendation", advice),
+
+    def digits(column: str, n: int) -> Column:
+        return F.format_string(f"%.{n}f", F.col(column))
+
+    figures = [
+        ("balance", "t_stat", digits("balance.t_stat", 3)),
+        ("balance", "p_value", digits("balance.p_value", 3)),
+        ("balance", "groups_alike", F.col("balance.balanced").cast("string")),
+        ("result", "treatment_rate", digits("treatment_rate", 4)),
+        ("result", "control_rate", digits("control_rate", 4)),
+        ("result", "lift_pp", digits("absolute_lift_pp", 2)),
+        ("result", "z_stat", digits("z_stat", 3)),
+        ("result", "p_value", digits("p_value", 4)),
+        ("decision", "revenue", digits("incremental_revenue", 0)),
+        ("decision", "cost", digits("discount_cost", 0)),
+        ("decision", "ship", F.col("recommend_ship").cast("string")),
     ]
     entries = F.array(*[F.struct(F.lit(i).alias("line_no"), F.lit(section).alias("section"),
-                                 line.alias("line")) for i, (section, line) in enumerate(lines, 1)])
+                                 F.lit(name).alias("name"), value.alias("value"))
+                        for i, (section, name, value) in enumerate(figures, 1)])
     return one.select(F.inline(entries))
+
+
+def write_report(figures: DataFrame, path: str) -> None:
+    """The report as one text file in a folder, a figure a line; there are a dozen."""
+    line = F.concat_ws(" ", "section", F.concat("name", F.lit(":")), F.coalesce("value", F.lit("-")))
+    (figures.coalesce(1).sortWithinPartitions("line_no").select(line.alias("value"))
+     .write.mode("overwrite").text(path))

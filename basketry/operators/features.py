@@ -23,10 +23,11 @@ SEED = 42
 
 @dataclass(frozen=True)
 class Preparation:
-    """Constants learned from data: fill values, categories, means and deviations."""
+    """Constants learned from data: fill values, categories, split limits, means and deviations."""
 
     fill: dict[str, float]
     categories: tuple[str, ...]
+    limits: dict[int | None, float]
     means: dict[str, float]
     deviations: dict[str, float]
 
@@ -49,6 +50,11 @@ def impute(features: DataFrame, fill: dict[str, float]) -> DataFrame:
                            F.coalesce(F.col(CATEGORY), F.lit(FILL_CATEGORY)).alias(CATEGORY), *label)
 
 
+def with_label(features: DataFrame) -> DataFrame:
+    """A missing label counts as 0."""
+    return features.withColumn(LABEL, F.coalesce(F.col(LABEL), F.lit(0)))
+
+
 def categories(imputed: DataFrame) -> tuple[str, ...]:
     """The payment types in alphabetical order; each becomes a column of the model."""
     found = imputed.select(CATEGORY).distinct().collect()
@@ -71,22 +77,39 @@ def split(rows: DataFrame, key: str = "order_id", seed: int = SEED) -> DataFrame
     return rows.withColumn("split", F.when(u < TRAIN_SHARE, "train").otherwise("test"))
 
 
+def split_limits(rows: DataFrame, label: str = LABEL, key: str = "order_id",
+                 seed: int = SEED) -> dict[int | None, float]:
+    """Per label the largest hash of the train share: the exact order statistic.
+
+    A label has few values. A label with one row has it in the test part (limit -1).
+    """
+    drawn = rows.select(label, hash_uniform(f"{seed}|s|", F.col(key)).alias("v"))
+    limits = {}
+    for (value,) in drawn.select(label).distinct().collect():
+        ranked = RankedValues(drawn.filter(F.col(label).eqNullSafe(value)))
+        kept = ranked.n - math.ceil((1.0 - TRAIN_SHARE) * ranked.n)
+        limits[value] = ranked.at(kept - 1) if kept else -1.0
+    return limits
+
+
+def split_by_limits(rows: DataFrame, limits: dict[int | None, float], label: str = LABEL,
+                    key: str = "order_id", seed: int = SEED) -> DataFrame:
+    """Add `split`, for limits that `split_limits` found; rows without a key are for the test."""
+    limit = F.lit(-1.0)
+    for value, largest in limits.items():
+        limit = F.when(F.col(label).eqNullSafe(value), largest).otherwise(limit)
+    u = hash_uniform(f"{seed}|s|", F.col(key))
+    return rows.withColumn("split", F.when(u <= limit, "train").otherwise("test"))
+
+
 def split_exactly(rows: DataFrame, label: str = LABEL, key: str = "order_id",
                   seed: int = SEED) -> DataFrame:
     """Like `split`, with the train share of each label's rows met exactly.
 
-    The limit on the hash is the exact order statistic of each label (a label has few
-    values); rows with equal keys stay together, so the share is exact for unique keys.
+    Rows with equal keys stay together, so the share is exact for unique keys. `rows` is read
+    several times.
     """
-    drawn = rows.withColumn("u", hash_uniform(f"{seed}|s|", F.col(key)))
-    sizes = drawn.groupBy(label).agg(F.count("u").alias("n")).collect()
-    limit = F.lit(-1.0)
-    for value, n in sizes:
-        kept = n - math.ceil((1.0 - TRAIN_SHARE) * n)
-        if kept:
-            here = drawn.filter(F.col(label).eqNullSafe(value)).select(F.col("u").alias("v"))
-            limit = F.when(F.col(label).eqNullSafe(value), RankedValues(here).at(kept - 1)).otherwise(limit)
-    return drawn.withColumn("split", F.when(F.col("u") <= limit, "train").otherwise("test")).drop("u")
+    return split_by_limits(rows, split_limits(rows, label, key, seed), label, key, seed)
 
 
 def moments(train: DataFrame, columns: tuple[str, ...]) -> tuple[dict, dict]:
@@ -110,7 +133,8 @@ def prepare(features: DataFrame) -> tuple[DataFrame, Preparation]:
     fill = fill_values(features)
     imputed = impute(features, fill)
     names = categories(imputed)
-    encoded = split(one_hot(imputed, names))
+    limits = split_limits(imputed)
+    encoded = split_by_limits(one_hot(imputed, names), limits)
     columns = NUMBERS + tuple(f"{CATEGORY}_{c}" for c in names[1:])
     means, deviations = moments(encoded.filter(F.col("split") == "train"), columns)
-    return encoded, Preparation(fill, names, means, deviations)
+    return encoded, Preparation(fill, names, limits, means, deviations)

@@ -13,7 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import ratio
-from basketry.operators.features import CATEGORY, FILL_CATEGORY, LABEL, Preparation, prepare, split
+from basketry.operators.features import (
+    CATEGORY, FILL_CATEGORY, LABEL, Preparation, prepare, split_by_limits,
+    with_label,
+)
 from basketry.session import materialize
 
 CLASSES = ("not_repeat", "repeat")
@@ -47,7 +50,7 @@ def _encoder(prep: Preparation) -> SQLTransformer:
 
 
 def train(features: DataFrame) -> tuple[RepeatModel, DataFrame]:
-    """Fit on the training split; returns the model and the scored test rows.
+    """Fit on the training part of a stratified split; returns the model and the scored test rows.
 
     L2 penalty with C = 1 and balanced class weights: the mean of weighted losses
     plus |w|²/(2n). `features` is read several times, so pass a stored frame.
@@ -66,12 +69,11 @@ def train(features: DataFrame) -> tuple[RepeatModel, DataFrame]:
     weight = F.lit(None).cast("double")
     for label, size in sizes.items():
         weight = F.when(F.col(LABEL) == label, n / (len(sizes) * size)).otherwise(weight)
-    with_split = split(features)
-    train_rows = with_split.filter(F.col("split") == "train").withColumn(
-        LABEL, F.coalesce(F.col(LABEL), F.lit(0)))
+    with_split = split_by_limits(with_label(features), prep.limits)
+    train_rows = with_split.filter(F.col("split") == "train")
     regression = LogisticRegression(
         labelCol=LABEL, weightCol="class_weight", regParam=1.0 / n, elasticNetParam=0.0,
-        standardization=False, maxIter=1000, tol=1e-9)
+        standardization=False, maxIter=1000, tol=1e-13)
     vectors = assembler.transform(encoder.transform(train_rows)).select(
         LABEL, "features", weight.alias("class_weight"))
     fitted = regression.fit(vectors)

@@ -183,6 +183,17 @@ splitted AS (
   SELECT *, CASE WHEN CAST(CAST(concat('0x', substr(md5(concat('42|s|', order_id)), 1, 13)) AS BIGINT)
                            AS DOUBLE) / 4503599627370496e0 < 75e-2 THEN 'train' ELSE 'test' END AS split
   FROM onehot),
+drawn AS (
+  SELECT *, CAST(CAST(concat('0x', substr(md5(concat('42|s|', order_id)), 1, 13)) AS BIGINT)
+                 AS DOUBLE) / 4503599627370496e0 AS u FROM onehot),
+limits AS (
+  SELECT is_repeat_customer, coalesce(max(u) FILTER (k <= n - ceil(0.25e0 * n)), -1) AS largest FROM (
+    SELECT is_repeat_customer, u, row_number() OVER (PARTITION BY is_repeat_customer ORDER BY u) AS k,
+           count(*) OVER (PARTITION BY is_repeat_customer) AS n FROM drawn)
+  GROUP BY is_repeat_customer),
+stratified AS (
+  SELECT drawn.* EXCLUDE (u), CASE WHEN u <= largest THEN 'train' ELSE 'test' END AS split
+  FROM drawn JOIN limits USING (is_repeat_customer)),
 test_scores AS (
   SELECT was_late AS label,
          floor((8e-1 * (CAST(CAST(concat('0x', substr(md5(concat('9|a|', order_id)), 1, 13)) AS BIGINT)
@@ -214,43 +225,98 @@ def _scaled() -> str:
     learned = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _SCALED)
     columns = ", ".join(
         f"round(({c} - m_{c}) / CASE WHEN s_{c} = 0 THEN 1 ELSE s_{c} END, 6) AS {c}" for c in _SCALED)
-    return (f"SELECT order_id, customer_id, split, {columns} FROM splitted, "
-            f"(SELECT {learned} FROM splitted WHERE split = 'train')")
+    return (f"SELECT order_id, customer_id, split, {columns} FROM stratified, "
+            f"(SELECT {learned} FROM stratified WHERE split = 'train')")
+
+
+_DESCENTS = 500
+
+
+def _fitted() -> str:
+    """`fitted` (b, w0 …): gradient descent on weighted losses plus |w|²/2; `probability(rows)`."""
+    k = range(len(_SCALED))
+    learned = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _SCALED)
+    x = ", ".join(f"x{i}" for i in k)
+    w = ", ".join(f"w{i}" for i in k)
+    moved = ", ".join(f"w{i} - eta * (sum(g * x{i}) + w{i})" for i in k)
+    return f""",
+learned AS MATERIALIZED (SELECT {learned} FROM stratified WHERE split = 'train'),
+sizes AS (SELECT is_repeat_customer, count(*) AS n, sum(count(*)) OVER () AS total
+          FROM stratified WHERE split = 'train' GROUP BY is_repeat_customer),
+learning AS MATERIALIZED (
+  SELECT is_repeat_customer AS y, CAST(total AS DOUBLE) / (2 * n) AS c, 1e0 / (75e-2 * total + 1) AS eta, {_inputs()}
+  FROM stratified JOIN sizes USING (is_repeat_customer), learned WHERE split = 'train'),
+descent AS (
+  SELECT 0 AS i, 0e0 AS b, {", ".join(f"0e0 AS w{i}" for i in k)}
+  UNION ALL
+  SELECT i + 1, b - eta * sum(g), {moved} FROM (
+    SELECT i, b, {w}, {x}, eta, c * (1e0 / (1e0 + exp(-({_LINEAR}))) - y) AS g
+    FROM descent, learning WHERE i < {_DESCENTS}) GROUP BY i, b, {w}, eta),
+fitted AS MATERIALIZED (SELECT * FROM descent WHERE i = {_DESCENTS})
+"""
+
+
+_LINEAR = "b + " + " + ".join(f"w{i} * x{i}" for i in range(len(_SCALED)))
+
+
+def _inputs() -> str:
+    return ", ".join(f"({c} - m_{c}) / CASE WHEN s_{c} = 0 THEN 1 ELSE s_{c} END AS x{i}"
+                     for i, c in enumerate(_SCALED))
+
+
+def _probability(rows: str, columns: str) -> str:
+    return (f"SELECT {columns}, CAST(p > 0.5 AS INTEGER) AS prediction, round(p, 3) AS probability_repeat "
+            f"FROM (SELECT {columns}, 1e0 / (1e0 + exp(-({_LINEAR}))) AS p "
+            f"FROM (SELECT *, {_inputs()} FROM {rows}, learned), fitted)")
+
+
+def _coefficients() -> str:
+    listed = " UNION ALL ".join(f"SELECT '{c}' AS feature, w{i} AS w FROM fitted"
+                                for i, c in enumerate(_SCALED))
+    return ("SELECT CAST(row_number() OVER (ORDER BY abs(w) DESC, feature) AS INTEGER) AS rank, feature, "
+            "round(w, 3) AS coefficient, CASE WHEN w > 0 THEN 'increases' ELSE 'decreases' END AS direction "
+            f"FROM ({listed})")
+
+
+_TEST_ROWS = "(SELECT * FROM stratified WHERE split = 'test')"
+
+_NEW_ORDERS = """(
+  SELECT o.order_id, coalesce(CAST(i.order_value AS DOUBLE), v) AS order_value, 0e0 AS was_late,
+         CAST(coalesce(p.installments, 1) AS DOUBLE) AS installments, coalesce(r.review_score, m) AS review_score,
+         CAST(coalesce(payment_type, 'unknown') = 'credit_card' AS DOUBLE) AS payment_type_credit_card,
+         CAST(coalesce(payment_type, 'unknown') = 'debit_card' AS DOUBLE) AS payment_type_debit_card,
+         CAST(coalesce(payment_type, 'unknown') = 'unknown' AS DOUBLE) AS payment_type_unknown,
+         CAST(coalesce(payment_type, 'unknown') = 'voucher' AS DOUBLE) AS payment_type_voucher
+  FROM (SELECT order_id FROM stg_orders WHERE order_status IS DISTINCT FROM 'delivered') o
+  LEFT JOIN items_of_order i ON i.order_id = o.order_id
+  LEFT JOIN (SELECT order_id, CAST(sum(review_score) AS DOUBLE) / count(*) AS review_score
+             FROM stg_reviews GROUP BY order_id) r ON r.order_id = o.order_id
+  LEFT JOIN (SELECT * FROM stg_payments QUALIFY row_number() OVER (
+               PARTITION BY order_id ORDER BY payment_value DESC NULLS LAST,
+               payment_type DESC NULLS LAST, installments DESC NULLS LAST) = 1) p ON p.order_id = o.order_id,
+  (SELECT median(order_value) AS v, median(review_score) AS m FROM features))"""
+
+
+_FIGURES = (
+    ("balance", "t_stat", "printf('%.3f', t)"),
+    ("balance", "p_value", "printf('%.3f', p_balance)"),
+    ("balance", "groups_alike", "CAST(p_balance > 0.05 AS VARCHAR)"),
+    ("result", "treatment_rate", "printf('%.4f', treatment_rate)"),
+    ("result", "control_rate", "printf('%.4f', control_rate)"),
+    ("result", "lift_pp", "printf('%.2f', absolute_lift_pp)"),
+    ("result", "z_stat", "printf('%.3f', z_stat)"),
+    ("result", "p_value", "printf('%.4f', p_value)"),
+    ("decision", "revenue", "printf('%.0f', incremental_revenue)"),
+    ("decision", "cost", "printf('%.0f', discount_cost)"),
+    ("decision", "ship", "CAST(p_value < 0.05 AND incremental_revenue > discount_cost AS VARCHAR)"),
+)
 
 
 def _report() -> str:
-    lines = (
-        "SELECT n_control, t, p_value AS p_balance FROM ttest",
-        "SELECT * FROM business",
-    )
-    return f"""
-      SELECT CAST(line_no AS INTEGER) AS line_no, section, line FROM (
-        SELECT unnest([
-          {{'line_no': 1, 'section': 'Hypothesis',
-            'line': 'H0: the discount has no effect on the repeat-purchase rate.'}},
-          {{'line_no': 2, 'section': 'Hypothesis',
-            'line': 'H1: the discount increases the repeat-purchase rate.'}},
-          {{'line_no': 3, 'section': 'Sample balance',
-            'line': printf('t=%.3f, p=%.3f on avg_order_value before treatment (%s)', t, p_balance,
-                           CASE WHEN p_balance > 0.05 THEN 'balanced' ELSE 'imbalanced, flagged' END)}},
-          {{'line_no': 4, 'section': 'Result', 'line': printf('Treatment repeat rate: %.4f', treatment_rate)}},
-          {{'line_no': 5, 'section': 'Result', 'line': printf('Control repeat rate: %.4f', control_rate)}},
-          {{'line_no': 6, 'section': 'Result',
-            'line': printf('Absolute lift: %.2f percentage points', absolute_lift_pp)}},
-          {{'line_no': 7, 'section': 'Result', 'line': printf('z=%.3f, one-sided p=%.4f', z_stat, p_value)}},
-          {{'line_no': 8, 'section': 'Recommendation',
-            'line': CASE WHEN p_value < 0.05 AND incremental_revenue > discount_cost
-              THEN printf('SHIP: the lift of %.2f pp is significant (p=%.4f) and modelled revenue (R$', absolute_lift_pp, p_value)
-                   || format('{{:,}}', CAST(round(incremental_revenue) AS BIGINT))
-                   || ') exceeds the modelled discount cost (R$'
-                   || format('{{:,}}', CAST(round(discount_cost) AS BIGINT)) || ').'
-              ELSE printf('DO NOT SHIP: the lift is not significant (p=%.4f) or modelled revenue (R$', p_value)
-                   || format('{{:,}}', CAST(round(incremental_revenue) AS BIGINT))
-                   || ') does not exceed the modelled discount cost (R$'
-                   || format('{{:,}}', CAST(round(discount_cost) AS BIGINT))
-                   || '). Test a smaller discount or a high-value segment.' END}}
-        ], recursive := true)
-        FROM ({lines[0]}), ({lines[1]}))"""
+    source = "(SELECT t, p_value AS p_balance FROM ttest), business"
+    return " UNION ALL ".join(
+        f"SELECT {i} AS line_no, '{section}' AS section, '{name}' AS name, {value} AS value FROM {source}"
+        for i, (section, name, value) in enumerate(_FIGURES, 1))
 
 
 _COUNTS = " UNION ALL ".join(
@@ -440,15 +506,48 @@ BODIES: dict[str, str] = {
     "features_imputed": "SELECT * FROM imputed",
     "features_onehot": "SELECT * FROM onehot",
     "split_train_test": "SELECT order_id, customer_id, is_repeat_customer, split FROM splitted",
+    "split_stratified": "SELECT order_id, customer_id, is_repeat_customer, split FROM stratified",
     "features_scaled": _scaled(),
     "confusion_matrix": "SELECT tn, fp, fn, tp FROM matrix",
     "classification_report": _CLASSES,
     "roc_auc": _AUC,
 }
 
+
+
+def _number(column: str) -> str:
+    return f"CAST(CAST({column} AS DECIMAL(38,6)) AS VARCHAR)"
+
+
+BODIES["eda_json"] = f"""
+  SELECT 'metrics' AS section, concat('{{"total_revenue":', {_number('total_revenue')}, ',"repeat_rate":',
+         {_number('repeat_rate')}, ',"late_rate":', {_number('late_rate')}, '}}') AS record
+  FROM ({BODIES["eda_metrics"]})
+  UNION ALL SELECT 'order_distribution', concat('{{"bin":"', bin, '","count":', "count", '}}')
+  FROM ({_HISTOGRAM})
+  UNION ALL SELECT 'repeat_rate_by_state', concat('{{"state":"', state, '","repeat_rate_pct":',
+         {_number('repeat_rate_pct')}, '}}') FROM ({_STATES})
+  UNION ALL SELECT 'review_by_delivery', concat('{{"delivery":"', delivery, '","avg_review_score":',
+         {_number('avg_review_score')}, '}}') FROM ({BODIES["review_by_delivery"]})
+"""
+
+MODELS: dict[str, str] = {
+    "lr_coefficients": _coefficients(),
+    "lr_scores": _probability(_TEST_ROWS, "order_id, customer_id, is_repeat_customer"),
+    "score_new_orders": _probability(_NEW_ORDERS, "order_id"),
+    "lr_report": _CLASSES.replace("FROM matrix", f"""FROM (
+      SELECT count(*) FILTER (y = 0 AND prediction = 0) AS tn, count(*) FILTER (y = 0 AND prediction = 1) AS fp,
+             count(*) FILTER (y = 1 AND prediction = 0) AS fn, count(*) FILTER (y = 1 AND prediction = 1) AS tp
+      FROM (SELECT is_repeat_customer AS y, prediction FROM (
+        {_probability(_TEST_ROWS, "is_repeat_customer")})))"""),
+}
+
+
 def with_views(body: str, *parts: str) -> str:
     return "WITH " + ",".join(parts) + body
 
 
 ORACLES: dict[str, str] = {
     name: with_views(body, RAW, MARKET, DERIVED) for name, body in BODIES.items()}
+ORACLES |= {name: with_views(_fitted() + body, " RECURSIVE " + RAW, MARKET, DERIVED)
+            for name, body in MODELS.items()}

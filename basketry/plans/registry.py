@@ -15,6 +15,7 @@ from basketry.session import materialize, scratch_folder
 from basketry.sources import adapters, files, loader
 
 DIGITS = 6
+MODEL_DIGITS = 3
 
 
 def views(spark: SparkSession, folder: str) -> RetailViews:
@@ -118,6 +119,11 @@ def split_train_test(spark, folder):
     return rows.select("order_id", "customer_id", features.LABEL, "split")
 
 
+def split_stratified(spark, folder):
+    stored = materialize(features.with_label(views(spark, folder).first_order_features))
+    return features.split_exactly(stored).select("order_id", "customer_id", features.LABEL, "split")
+
+
 def features_scaled(spark, folder):
     stored = materialize(views(spark, folder).first_order_features)
     encoded, prep = features.prepare(stored)
@@ -131,13 +137,14 @@ def _trained(spark, folder):
 
 
 def lr_coefficients(spark, folder):
-    return model.coefficients(spark, _trained(spark, folder)[1])
+    return _rounded(model.coefficients(spark, _trained(spark, folder)[1]), "coefficient",
+                    digits=MODEL_DIGITS)
 
 
 def lr_scores(spark, folder):
     scored = _trained(spark, folder)[2]
-    return scored.select("order_id", "customer_id", features.LABEL, "prediction",
-                         "probability_repeat")
+    return _rounded(scored.select("order_id", "customer_id", features.LABEL, "prediction",
+                                  "probability_repeat"), "probability_repeat", digits=MODEL_DIGITS)
 
 
 def score_new_orders(spark, folder):
@@ -150,7 +157,9 @@ def score_new_orders(spark, folder):
             .join(marts.largest_payment(v.stg_payments), "order_id", "left")
             .select("order_id", "order_value", "review_score", "payment_type", "installments",
                     F.lit(0).alias("was_late")))
-    return model.score(fitted.pipeline, rows).select("order_id", "prediction", "probability_repeat")
+    scored = model.score(fitted.pipeline, rows)
+    return _rounded(scored.select("order_id", "prediction", "probability_repeat"),
+                    "probability_repeat", digits=MODEL_DIGITS)
 
 
 def _test_scores(spark, folder) -> DataFrame:
@@ -262,6 +271,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "features_imputed": features_imputed,
     "features_onehot": features_onehot,
     "split_train_test": split_train_test,
+    "split_stratified": split_stratified,
     "features_scaled": features_scaled,
     "lr_coefficients": lr_coefficients,
     "lr_scores": lr_scores,

@@ -40,7 +40,7 @@ def test_outcome_probability_is_clipped(spark):
     assert none.agg(F.max("outcome")).first()[0] == 0
 
 
-def test_z_test_and_business_case(spark):
+def test_z_test_and_business_case(spark, tmp_path):
     rows = ([("treatment", 1, 10.0, 200.0)] * 60 + [("treatment", 0, 10.0, 200.0)] * 40
             + [("control", 1, 10.0, None)] * 40 + [("control", 0, 10.0, 200.0)] * 60)
     r = experiment.business_case(outcomes(spark, rows)).first()
@@ -50,8 +50,12 @@ def test_z_test_and_business_case(spark):
     assert r.incremental_revenue == pytest.approx(20 * 200.0)
     assert r.discount_cost == pytest.approx(0.1 * 100 * 10.0)
     assert r.recommend_ship is True
-    lines = experiment.report(outcomes(spark, rows)).collect()
-    assert [x.section for x in lines][-1] == "Recommendation" and lines[-1].line.startswith("SHIP")
+    figures = experiment.report(outcomes(spark, rows))
+    found = {(x.section, x.name): x.value for x in figures.collect()}
+    assert found["result", "lift_pp"] == "20.00" and found["decision", "ship"] == "true"
+    experiment.write_report(figures, str(tmp_path / "report"))
+    lines = [r.value for r in spark.read.text(str(tmp_path / "report")).collect()]
+    assert len(lines) == 11 and lines[-1] == "decision ship: true"
 
 
 def test_without_treated_customers_there_is_no_result(spark):
