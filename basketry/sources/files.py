@@ -7,7 +7,7 @@ from collections.abc import Collection
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,10 +46,15 @@ def route(paths: list[str],
     return tables, errors
 
 
+# number of quotes in a line of text, modulo 2
+_ODD = """(length(value) - length(replace(value, '"', ''))) % 2"""
+_FORMAT = {"quote": '"', "escape": '"', "mode": "FAILFAST",
+           "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def files_with_line_breaks(spark: SparkSession, path: str) -> list[str]:
     """Files in which a quoted field spans lines: some line has an odd number of quotes."""
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    odd = spark.read.text(path).filter(quotes % 2 == 1).select("_metadata.file_path").distinct()
+    odd = spark.read.text(path).filter(f"{_ODD} = 1").select("_metadata.file_path").distinct()
     return sorted(unquote(row[0]) for row in odd.collect())
 
 
@@ -57,29 +62,84 @@ def has_line_breaks_in_fields(spark: SparkSession, path: str) -> bool:
     return bool(files_with_line_breaks(spark, path))
 
 
+def records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """file, block, number, record: the text of each CSV record, which may have several lines.
+
+    Files are read in splits. A line starts a record if an even number of quotes is before it in
+    its file: the count within its split plus the parity of the splits before. Lines that are
+    records of their own stay where they are; those of longer records are put together, across
+    splits too. Line ends inside a field become \\n.
+    """
+    lines = spark.read.text(paths).select(
+        "value", F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"), F.expr(_ODD).alias("odd"))
+    split = Window.partitionBy("file", "block")
+    counted = lines.withColumn("before", (F.sum("odd").over(split.orderBy("line")) - F.col("odd")) % 2)
+    # per split: does it change the parity, and how many lines start a record for either parity
+    blocks = counted.groupBy("file", "block").agg(
+        (F.sum("odd") % 2).alias("parity"), F.count(F.when(F.col("before") == 0, 1)).alias("n0"),
+        F.count(F.when(F.col("before") == 1, 1)).alias("n1"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum("parity").over(earlier) % 2, F.lit(0))
+    starts = blocks.withColumn("inside", inside).withColumn(
+        "starts", F.when(F.col("inside") == 0, F.col("n0")).otherwise(F.col("n1")))
+    owner = F.last(F.when(F.col("starts") > 0, F.struct("block", "starts")), ignorenulls=True).over(earlier)
+    known = starts.select("file", "block", "inside", owner.alias("owner"))
+    is_start = (F.col("before") + F.col("inside")) % 2 == 0
+    numbered = (counted.join(known, ["file", "block"]).withColumn("is_start", is_start)
+                .withColumn("number", F.sum(F.col("is_start").cast("long")).over(split.orderBy("line"))))
+    own = F.col("number") > 0
+    placed = numbered.select(
+        "file", F.when(own, F.col("block")).otherwise(F.col("owner.block")).alias("block"),
+        F.when(own, F.col("number")).otherwise(F.col("owner.starts")).alias("number"),
+        F.col("block").alias("at"), "line", "value",
+        (F.col("is_start") & (F.col("odd") == 0)).alias("whole"))
+    in_order = F.transform(F.sort_array(F.collect_list(F.struct("at", "line", "value"))), lambda r: r["value"])
+    joined = (placed.filter(~F.col("whole")).groupBy("file", "block", "number")
+              .agg(F.array_join(in_order, "\n").alias("record")))
+    return placed.filter("whole").select("file", "block", "number", F.col("value").alias("record")).unionByName(
+        joined)
+
+
+def _parsed_records(spark: SparkSession, paths: list[str], names: list[str]) -> DataFrame:
+    """The records of CSV files as text columns; the first of each file must be the header."""
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+    fields = F.from_csv("record", schema.simpleString()[7:-1].replace(":", " "), _FORMAT)
+    found = (records(spark, paths).filter(F.trim("record") != "").withColumn("fields", fields))
+    same = reduce(lambda x, y: x & y, [F.col(f"fields.c{i}").eqNullSafe(name) for i, name in enumerate(names)])
+    wrong = F.raise_error(F.concat(F.lit("another header in "), "file")).cast("boolean")
+    is_row = F.when((F.col("block") > 0) | (F.col("number") > 1), True).otherwise(
+        F.when(same, False).otherwise(wrong))
+    return found.filter(is_row).select(*[F.col(f"fields.c{i}").alias(name) for i, name in enumerate(names)])
+
+
 def read_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
     """A CSV file or folder with a header, all columns text, null tokens as NULL.
 
-    A file without line breaks inside fields is read in splits by many tasks; one
-    with such fields can only be read whole, so they are looked for first, file by file.
-    Files of a folder must have one header; another one raises.
+    All files are read in splits by many tasks. Files with line breaks inside fields need their
+    records put together (see `records`), so they are looked for first, file by file, unless
+    `multi_line` says of all that they have some or none. Files of a folder must have one header;
+    another one raises.
     """
-    def read(paths: str | list[str], whole: bool) -> DataFrame:
-        return spark.read.csv(paths, header=True, multiLine=whole, quote='"', escape='"',
-                              ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
-                              mode="FAILFAST", enforceSchema=False)
+    def read(paths: str | list[str], whole: bool = False) -> DataFrame:
+        return spark.read.csv(paths, header=True, multiLine=whole, enforceSchema=False, **_FORMAT)
+
+    def spanning(paths: list[str]) -> DataFrame:
+        # only the header is taken from this reader
+        return _parsed_records(spark, paths, read(paths, True).columns)
 
     if multi_line is not None:
-        raw = read(path, multi_line)
-    elif whole := files_with_line_breaks(spark, path):
+        raw = spanning([path]) if multi_line else read(path)
+    elif broken := files_with_line_breaks(spark, path):
         # both names are URIs, in spellings (file:/ and file:///) that may differ
-        known = {re.sub("^([a-z0-9]+):/+", r"\1:/", name) for name in whole}
+        known = {re.sub("^([a-z0-9]+):/+", r"\1:/", name) for name in broken}
         every = [unquote(name) for name in spark.read.text(path).inputFiles()]
         rest = [n for n in every if re.sub("^([a-z0-9]+):/+", r"\1:/", n) not in known]
-        raw = read(whole, True)
-        raw = raw.unionByName(read(rest, False)) if rest else raw
+        raw = spanning(broken)
+        raw = raw.unionByName(read(rest)) if rest else raw
     else:
-        raw = read(path, False)
+        raw = read(path)
     return raw.select(*[
         F.when(F.col(f"`{c}`").isin(*NULL_TOKENS), None).otherwise(F.col(f"`{c}`")).alias(c)
         for c in raw.columns])

@@ -1,5 +1,8 @@
 """CSV input, checks, sessions, and the marketplace loader."""
 
+import csv
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -46,7 +49,7 @@ def test_csv_with_line_breaks_quotes_and_null_tokens(spark, tmp_path):
     quoted, plain = write(tmp_path, quoted='a,b\n"x\ny","say ""hi"""\nNA,n/a\n', plain='a,b\n1,"q,r"\n')
     assert files.has_line_breaks_in_fields(spark, quoted)
     assert not files.has_line_breaks_in_fields(spark, plain)
-    assert [tuple(r) for r in files.read_csv(spark, quoted).collect()] == [("x\ny", 'say "hi"'), (None, None)]
+    assert {tuple(r) for r in files.read_csv(spark, quoted).collect()} == {("x\ny", 'say "hi"'), (None, None)}
     assert [tuple(r) for r in files.read_csv(spark, plain).collect()] == [("1", "q,r")]
 
 
@@ -167,7 +170,7 @@ def test_marketplace_loader(spark):
     assert plain.select(F.count_distinct("category"), F.max("category")).first() == (1, "other")
 
 
-def test_only_files_with_line_breaks_are_read_whole(spark, tmp_path):
+def test_files_with_and_without_line_breaks(spark, tmp_path):
     folder = tmp_path / "two files"
     folder.mkdir()
     write(folder, a='a,b\n"x\ny",1\n', b="a,b\nz,2\n")
@@ -177,6 +180,39 @@ def test_only_files_with_line_breaks_are_read_whole(spark, tmp_path):
     assert got == {("x\ny", "1"), ("z", "2")}
 
 
+@pytest.mark.parametrize("bytes_of_a_split", [7, 64, 4096])
+def test_records_across_splits(spark, tmp_path, bytes_of_a_split):
+    r = random.Random(bytes_of_a_split)
+    signs = ["x", "ü", ",", "\n", '"', "\n\n", " ", ""]
+    folder = tmp_path / "many"
+    folder.mkdir()
+    expected = []
+    for name in "abc":
+        rows = [[str(i), "".join(r.choices(signs, k=r.choice([1, 3, 40]))), "end"] for i in range(60)]
+        with open(folder / f"{name}.csv", "w", newline="") as out:
+            csv.writer(out, lineterminator="\n").writerows([["id", "no\nte", "last"], *rows])
+        expected += [(i, note or None, last) for i, note, last in rows]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", bytes_of_a_split)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+    try:
+        got = files.read_csv(spark, str(folder))
+        assert got.columns == ["id", "no\nte", "last"]
+        if bytes_of_a_split < 4096:
+            assert files.records(spark, str(folder)).select("block").distinct().count() > 3
+        assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, expected))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_another_header_raises(spark, tmp_path):
+    folder = tmp_path / "headers"
+    folder.mkdir()
+    write(folder, a='a,b\n"x\ny",1\n', b='b,a\n"z\n",2\n')
+    with pytest.raises(Exception, match="another header"):
+        files.read_csv(spark, str(folder)).collect()
+
+
 def test_a_failed_upload_keeps_the_earlier_one(spark, upload, tmp_path):
     pipeline.ingest(spark, upload, "kept")
     before = session.resolve_namespace(spark, "kept")
