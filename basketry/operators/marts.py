@@ -20,7 +20,7 @@ from basketry.operators.intermediate import (
     with_reviews_and_payments,
 )
 from basketry.operators.profile import KeyProfile
-from basketry.operators.skew import lookup_join, number_rows
+from basketry.operators.skew import expand_join, lookup_join, number_rows
 
 ORDER_COLUMNS = ("order_id", "customer_id", "order_value", "was_late", "review_score",
                  "payment_type", "installments", "payment_quality_flag", "order_seq_num",
@@ -100,10 +100,12 @@ def _customer_totals_by_definition(economics: DataFrame, reviews: DataFrame,
     lifetimes = (sequence.filter("order_id IS NOT NULL")
                  .groupBy("order_id", "lifetime_order_count")
                  .agg(F.count("*").alias("matches")))
-    counted = (economics.filter("customer_id IS NOT NULL")
-               .join(lifetimes, "order_id")
-               .join(review_totals(reviews), "order_id", "left")
-               .withColumn("n", F.expr("matches * greatest(coalesce(n_reviews, 0), 1)")))
+    heavy = profile.repeated_orders
+    # every id has lifetimes, so those without rows here are orders without a customer
+    met = expand_join(lifetimes, economics, "order_id", heavy, left_is_unique=False).filter(
+        "customer_id IS NOT NULL")
+    counted = lookup_join(met, review_totals(reviews), "order_id", heavy).withColumn(
+        "n", F.expr("matches * greatest(coalesce(n_reviews, 0), 1)"))
     return counted.groupBy("customer_id", "lifetime_order_count").agg(*_sums({
         **_CUSTOMER_SUMS,
         "score_sum": "sum(score_sum * matches)",
@@ -136,9 +138,11 @@ def fct_orders(economics: DataFrame, reviews: DataFrame, payments: DataFrame,
                                          heavy_reviews, heavy_payments)
     else:
         sequence = int_customer_order_sequence(economics, profile.heavy_customers)
-        rows = int_order_review(economics, reviews, payments, False, heavy_reviews,
-                                heavy_payments).join(
-            sequence.select("order_id", "order_seq_num"), "order_id")
+        reviewed = int_order_review(economics, reviews, payments, False, heavy_reviews, heavy_payments)
+        # every id is in the sequence, so the left join is the inner one
+        rows = expand_join(reviewed.filter("order_id IS NOT NULL"),
+                           sequence.select("order_id", "order_seq_num"), "order_id",
+                           profile.repeated_orders, left_is_unique=False)
     return rows.selectExpr(*ORDER_COLUMNS[:-1],
                            "CASE WHEN order_seq_num > 1 THEN 1 ELSE 0 END AS is_repeat_order")
 

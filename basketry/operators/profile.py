@@ -53,10 +53,15 @@ class KeyProfile:
 
     @cached_property
     def heavy_orders(self) -> list:
-        """[None] if very many orders have no id, else []; other ids have few rows each."""
+        """[None] if very many orders have no id, else []."""
         unidentified = self._delivered().filter("order_id IS NULL").count()
         return [None] if unidentified >= self._heavy_rows else []
 
+    @cached_property
+    def repeated_orders(self) -> list:
+        """Heavy order ids; asked for only where ids are not unique."""
+        return heavy_keys(self._delivered(), "order_id", self._heavy_rows)
+
     @cached_property
     def unique_orders(self) -> bool:
         return order_ids_are_unique(self._delivered())

@@ -103,6 +103,7 @@ def test_views(spark, seed, unique, heavy_rows):
     if heavy_rows == 4:
         assert views.profile.heavy_customers and views.profile.heavy_reviews
         assert views.profile.heavy_payments and (views.profile.heavy_orders or not unique)
+        assert unique or views.profile.repeated_orders
     for name in VIEW_NAMES:
         assert_same(getattr(views, name), con, BODIES[name])
     assert_same(eda.review_by_delivery(views.order_weights), con, BODIES["review_by_delivery"])
@@ -122,8 +123,8 @@ def test_plans_agree_on_unique_ids(spark):
     frames, _ = both(spark, random_raw(4, True))
     fast = RetailViews(frames)
     general = RetailViews(frames, profile=KeyProfile(
-        unique_orders=False, heavy_orders=[], heavy_customers=[], heavy_reviews=[],
-        heavy_payments=[]))
+        unique_orders=False, repeated_orders=[], heavy_orders=[], heavy_customers=[],
+        heavy_reviews=[], heavy_payments=[]))
     for name in ("fct_customers", "fct_orders", "late_vs_repeat", "first_order_features"):
         a, b = getattr(fast, name), getattr(general, name)
         assert _normal(a.columns, a.collect()) == _normal(b.columns, b.collect())
