@@ -5,8 +5,8 @@ the nearest of those by distance is the one with the largest inner product. A ta
 vector to the cell floor((a·x + b) / w) of PROJECTIONS Gaussian projections. A query visits, in
 each table, cells around its own in the order of the squared distance from its projections to the
 cell (the estimated success order of perturbations), up to a cutoff. The cutoff is set so that,
-for a bounded sample of queries, the cells of RECALL of the true neighbours are visited. The
-candidates of all tables are scored exactly on the original vectors, in blocks, and merged.
+for a bounded sample of queries, the cells of RECALL of the true neighbours are visited. Queries that
+find too few there go on through all other cells. The candidates of all tables are scored exactly on the original vectors, in blocks, and merged.
 """
 
 from __future__ import annotations
@@ -264,7 +264,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str = "
 
     Candidates are all rows but those with the query's id; ties go to smaller ids. Vectors that
     are NULL, empty, zero or hold NULL or non-finite components, and NULL ids, take no part.
-    Equal vectors are looked up once. Rows repeated with one id count once. No rows give no rows.
+    Equal vectors are looked up once. A query that finds fewer than k + 1 ids, itself included, or than
+    there are, up to the cutoff is compared with all vectors, so each gets min(k, all candidates) rows. Rows repeated with one id count once. No rows give no rows.
     Columns other than id and vector are not read.
     """
     spark = vectors.sparkSession
@@ -283,7 +284,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str = "
                 "projections": projections, "width": width}
     hashes = Tables(**settings)
     cutoff = set_cutoff(hashes, sample, _true_neighbours(distinct, sample, k), recall)
-    shared = spark.sparkContext.broadcast({"tables": settings, "cutoff": cutoff})
+    shared = spark.sparkContext.broadcast({"tables": settings})
 
     def index(batches):
         made = Tables(**shared.value["tables"])
@@ -311,35 +312,48 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str = "
         (r.part, r.table, [r[f"low{i}"] for i in range(projections)],
          [r[f"high{i}"] for i in range(projections)]) for r in boxes])
 
-    def reach(batches):
-        """Parts of which a query may visit a cell."""
-        made, cut = Tables(**shared.value["tables"]), shared.value["cutoff"]
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            points = made.queries(_vectors(batch.column(0)))
-            to = [set() for _ in range(len(points))]
-            for t in range(len(made.a)):
-                mine = [c for c in corners.value if c[1] == t]
-                if not mine:
-                    continue
-                near = perturbation(made.places(t, points), np.array([c[2] for c in mine]),
-                                    np.array([c[3] for c in mine])) <= cut
-                for i, j in zip(*np.nonzero(near)):
-                    to[i].add(mine[j][0])
-            rows = [(p, i) for i, parts in enumerate(to) for p in sorted(parts)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([p for p, _ in rows], pa.int32()),
-                 batch.column(0).take(pa.array([i for _, i in rows], pa.int64()))], ["part", "vec"])
-
     none = F.array().cast("array<bigint>")
-    rows = indexed.select("part", F.lit(0).alias("kind"), "table", "vec", "ids").unionByName(
-        wanted.mapInArrow(reach, "part int, vec binary")
-        .select("part", F.lit(1).alias("kind"), F.lit(0).alias("table"), "vec", none.alias("ids")))
-    answers = (rows.repartition(max(n_parts, 1), "part").sortWithinPartitions("part", "kind")
-               .mapInArrow(_search_part(shared, keep), "vec binary, ids array<bigint>, scores array<double>"))
-    merged = (answers.repartition("vec").sortWithinPartitions("vec")
-              .mapInArrow(_merge(keep), "vec binary, ids array<bigint>, scores array<double>"))
+
+    def look_up(asked_vectors: DataFrame, cut: float) -> DataFrame:
+        """vec, ids, scores: the best of the cells up to distance `cut`."""
+        limits = spark.sparkContext.broadcast({"tables": settings, "cutoff": cut})
+
+        def reach(batches):
+            """Parts of which a query may visit a cell."""
+            made = Tables(**limits.value["tables"])
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                points = made.queries(_vectors(batch.column(0)))
+                to = [set() for _ in range(len(points))]
+                for t in range(len(made.a)):
+                    mine = [c for c in corners.value if c[1] == t]
+                    if not mine:
+                        continue
+                    near = perturbation(made.places(t, points), np.array([c[2] for c in mine]),
+                                        np.array([c[3] for c in mine])) <= cut
+                    for i, j in zip(*np.nonzero(near)):
+                        to[i].add(mine[j][0])
+                rows = [(p, i) for i, parts in enumerate(to) for p in sorted(parts)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([p for p, _ in rows], pa.int32()),
+                     batch.column(0).take(pa.array([i for _, i in rows], pa.int64()))], ["part", "vec"])
+
+        # any one table has all vectors
+        indexed_rows = indexed if cut < math.inf else indexed.filter(F.col("table") == 0)
+        rows = indexed_rows.select("part", F.lit(0).alias("kind"), "table", "vec", "ids").unionByName(
+            asked_vectors.mapInArrow(reach, "part int, vec binary")
+            .select("part", F.lit(1).alias("kind"), F.lit(0).alias("table"), "vec", none.alias("ids")))
+        answers = (rows.repartition(max(n_parts, 1), "part").sortWithinPartitions("part", "kind")
+                   .mapInArrow(_search_part(limits, keep), "vec binary, ids array<bigint>, scores array<double>"))
+        return (answers.repartition("vec").sortWithinPartitions("vec")
+                .mapInArrow(_merge(keep), "vec binary, ids array<bigint>, scores array<double>"))
+
+    enough = min(keep, prepared.select("id").distinct().count())
+    merged = materialize(look_up(wanted, cutoff).filter(F.size("ids") >= enough))
+    short = materialize(wanted.join(merged, "vec", "left_anti"))
+    if not short.isEmpty():
+        merged = merged.unionByName(look_up(short, math.inf))
     ranked = salted_join(queries, merged, ["vec"], F.col("id"), salts=8).filter("ids IS NOT NULL")
     others = F.filter(F.arrays_zip("ids", "scores"), lambda x: x["ids"] != F.col("id"))
     return (ranked.select(F.col("id").alias("query_id"), F.posexplode(F.slice(others, 1, k)).alias("rank", "hit"))

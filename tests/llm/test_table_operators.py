@@ -187,6 +187,27 @@ def test_few_or_no_vectors(spark):
         ann.search(vectors_frame(spark, [(20, [1.0, 1.0]), (3, [2.0])]), F.col("id") % 20 == 0).collect()
 
 
+@pytest.mark.parametrize("n", [2, 5, 19])
+def test_tables_below_k_give_all_candidates(spark, n):
+    rng = np.random.default_rng(n)
+    rows = [(20 * i, v.tolist()) for i, v in enumerate(rng.normal(size=(n, 8)))]
+    got = collections.Counter(r.query_id for r in ann.search(vectors_frame(spark, rows), F.col("id") % 20 == 0).collect())
+    assert got == {i: n - 1 for i, _ in rows}
+
+
+def test_lone_queries_among_near_copies_find_k(spark):
+    rng = np.random.default_rng(8)
+    middle = rng.normal(size=(20, 16))
+    x = middle[rng.integers(0, 20, size=1000)] + 0.01 * rng.normal(size=(1000, 16))
+    x[::50] = rng.normal(size=(20, 16))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    want = brute(rows, 20)
+    got = collections.defaultdict(list)
+    for r in ann.search(vectors_frame(spark, rows), F.col("id") % 20 == 0).collect():
+        got[r.query_id].append(r.vec_id)
+    assert {q: len(ids) for q, ids in got.items()} == {q: 20 for q in want}
+
+
 # ------------------------------------------------------------------ URL templates
 
 URLS = [None, "", "no scheme", "http://", "HTTP://WWW.Example.NET/en/1?q=/de/", "http://a.example.net/EN/1",
