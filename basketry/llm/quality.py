@@ -44,7 +44,7 @@ def form(word: str) -> str:
     shape = _RUNS[0][0].sub(_letters, word)
     for pattern, sign in _RUNS[1:]:
         shape = pattern.sub(sign, shape)
-    return shape[:12]
+    return shape
 
 
 class Terms:

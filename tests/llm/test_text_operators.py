@@ -267,6 +267,10 @@ def test_quality_on_held_out_labels(spark, labelled):
     assert auc > 0.98
 
 
+def test_long_forms_that_differ_late_are_different_terms():
+    assert quality.form("a1/b2/c3/d4/e5/f6?x") != quality.form("a1/b2/c3/d4/e5/f6#x")
+
+
 def test_quality_votes_equal_brute_force():
     rng = np.random.default_rng(1)
     space = np.eye(5, dtype=np.float32)
