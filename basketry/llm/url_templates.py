@@ -16,9 +16,6 @@ from pyspark.sql import functions as F
 
 from basketry.llm.common import join_counted, materialize
 
-# a deeper path ends in REST
-DEPTH = 8
-REST = "**"
 WILDCARD = "*"
 MERGED = "+"
 # a node with more branches than this keeps those with at least KEPT_SHARE of its urls
@@ -66,13 +63,11 @@ def by_words(words: Sequence[str] = BAD_WORDS) -> Column:
 
 
 def segments(path_column: Column) -> Column:
-    """The path's segments with numbers as <n> and hexadecimal ids as <x>; all past DEPTH are REST."""
+    """The path's segments with numbers as <n> and hexadecimal ids as <x>."""
     general = F.regexp_replace(F.regexp_replace(
         path_column, "(?i)(?<![0-9a-z])(?=[a-f]*[0-9])(?=[0-9]*[a-f])[0-9a-f]{8,}(?![0-9a-z])", "<x>"),
         "[0-9]+", "<n>")
-    all_of = F.split(F.regexp_replace(general, "^/", ""), "/")
-    return F.when(F.size(all_of) > DEPTH, F.concat(F.slice(all_of, 1, DEPTH), F.array(F.lit(REST)))
-                  ).otherwise(all_of)
+    return F.split(F.regexp_replace(general, "^/", ""), "/")
 
 
 _COUNTS = ("n", "bad", "good")
@@ -85,7 +80,7 @@ def _sums(df: DataFrame, *by: str) -> DataFrame:
 def _set(level: int, value: Column) -> Column:
     """The template with another segment at a level (from 1)."""
     return F.concat(F.slice("template", 1, level - 1), F.array(value),
-                    F.slice("template", level + 1, DEPTH + 1))
+                    F.slice("template", F.lit(level + 1), F.size("template")))
 
 
 def _generalise(tree: DataFrame, level: int) -> DataFrame:
@@ -95,7 +90,7 @@ def _generalise(tree: DataFrame, level: int) -> DataFrame:
     child = has.groupBy("host", "prefix", "segment").agg(F.sum("n").alias("held"))
     node = child.groupBy("host", "prefix").agg(F.sum("held").alias("all"), F.count("*").alias("k"))
     small = (child.join(node.filter(F.col("k") > BRANCHES), ["host", "prefix"])
-             .filter((F.col("held") < KEPT_SHARE * F.col("all")) & (F.col("segment") != REST))
+             .filter(F.col("held") < KEPT_SHARE * F.col("all"))
              .select("host", "prefix", "segment", F.lit(True).alias("small")))
     changed = (has.join(small, ["host", "prefix", "segment"], "left")
                .withColumn("template", F.when(F.col("small"), _set(level, F.lit(WILDCARD)))

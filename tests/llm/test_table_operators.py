@@ -269,6 +269,13 @@ def test_siblings_merge_only_if_alike(spark):
     assert got == {("en", "/+/<n>"), ("fr", "/+/<n>"), ("de", "/+/<n>"), ("xx", "/xx/<n>")}
 
 
+def test_branches_below_the_eighth_segment_stay_apart(spark):
+    urls = [f"x://h.example/a/b/c/d/e/f/g/h/{kind}/{i}" for kind in ("ads", "news") for i in range(40)]
+    bad = F.contains("path", F.lit("/ads/"))
+    got = {(r.path.split("/")[9], r.verdict) for r in url_templates.judge(pages(spark, urls), (), bad).collect()}
+    assert got == {("ads", "block"), ("news", "allow")}
+
+
 # ------------------------------------------------------------------------ pipeline
 
 def test_pipeline_stages(spark):
