@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from basketry.session import materialize, scratch_folder
 
 __all__ = ["count_in_order", "draw", "join_counted", "materialize", "read", "salted_join", "scratch_folder",
-           "ship", "shuffle_partitions", "words_in"]
+           "ship", "shuffle_partitions", "unused", "words_in"]
 
 # ASCII white space; words are what lies between.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -31,6 +31,18 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def unused(columns: Sequence[str], *stems: str) -> list[str]:
+    """A column name for each stem that is not among `columns`, whatever the case of its letters."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for stem in stems:
+        while stem.lower() in taken:
+            stem += "_"
+        taken.add(stem.lower())
+        out.append(stem)
+    return out
+
+
 def words_in(text: Column) -> Column:
     """Number of words of a text, 0 for NULL."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.common import count_in_order, draw, materialize, salted_join, words_in
+from basketry.llm.common import count_in_order, draw, materialize, salted_join, unused, words_in
 
 WEIGHTS = (5, 2, 1)
 MOST_TIMES = 3
@@ -140,9 +140,9 @@ def decide(docs: DataFrame, size: Column | None = None, weights: tuple[int, ...]
                       copies.cast("long").alias("all"))
 
 
-def _share(place: Column) -> Column:
-    """Copies of the row at a place (from 1) among m equal ones."""
-    return (F.floor(F.col("all") / F.col("m")) + (place <= F.col("all") % F.col("m")).cast("int")).cast("long")
+def _share(place: Column, m: str = "m", every: str = "all") -> Column:
+    """Copies of the row at a place (from 1) among m equal ones that are taken `every` times in all."""
+    return (F.floor(F.col(every) / F.col(m)) + (place <= F.col(every) % F.col(m)).cast("int")).cast("long")
 
 
 def mix(docs: DataFrame, size: Column | None = None, weights: tuple[int, ...] = WEIGHTS,
@@ -164,13 +164,19 @@ def mix(docs: DataFrame, size: Column | None = None, weights: tuple[int, ...] =
 
 
 def take(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_times: int = MOST_TIMES) -> DataFrame:
-    """Whole rows of `docs`, each as many times as the mix takes it."""
-    key = F.struct("doc_id", "source", "size")
+    """Whole rows of `docs`, each as many times as the mix takes it.
+
+    Rows are taken as `mix` says: NULL texts have no words, NULL sources are one source, and rows
+    equal in doc_id, source and size share their copies, the ones with the smallest hash of the
+    text first. Columns may have any other names. No rows give no rows.
+    """
+    key, m, every, copies, copy = unused(docs.columns, "key", "m", "every", "copies", "copy")
+    group = F.struct("doc_id", "source", "size")
     decided = decide(docs, None, weights, most_times).filter(F.col("all") > 0).select(
-        key.alias("__key"), "m", "all")
-    keyed = docs.withColumn("__key", F.struct("doc_id", "source", words_in(F.col("text")).alias("size")))
-    place = F.row_number().over(Window.partitionBy("__key").orderBy(F.xxhash64("text")))
-    return (keyed.join(decided, "__key").withColumn("__copies", _share(place))
-            .filter("__copies > 0")
-            .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
+        group.alias(key), F.col("m").alias(m), F.col("all").alias(every))
+    keyed = docs.withColumn(key, F.struct("doc_id", "source", words_in(F.col("text")).alias("size")))
+    place = F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64("text")))
+    return (keyed.join(decided, key).withColumn(copies, _share(place, m, every))
+            .filter(F.col(copies) > 0)
+            .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int"))))
             .select(*(F.col(f"`{c}`") for c in docs.columns)))

@@ -200,7 +200,14 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
 
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """Whole rows of `docs` with a predicted label 1, in one pass without a shuffle."""
+    """Whole rows of `docs` with a predicted label 1, in one pass without a shuffle.
+
+    NULL and empty texts score the share of label 1 among the labelled rows. If all labels are of
+    one class, nothing tells good texts from poor ones and all stay. Repeated rows, NULL ids and
+    further columns of any name stay as they are. No rows give no rows.
+    """
+    if model.base in (0.0, 1.0):
+        return docs
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))
     at = docs.columns.index("text")
 

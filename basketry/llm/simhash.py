@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import join_counted, materialize, ship
+from basketry.llm.common import join_counted, materialize, ship, unused
 
 ship(__name__)
 
@@ -193,13 +193,14 @@ def keep_first(docs: DataFrame, distance: int = DISTANCE, segments: int = SEGMEN
     """Whole rows of `docs`: one of each component, that with the smallest doc_id, NULL last.
 
     Of rows with equal ids the one with the smallest hash of its columns stays, of wholly equal
-    rows one. No rows give no rows.
+    rows one. Columns may have any other names. No rows give no rows.
     """
-    row = F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns))
-    keyed = docs.withColumns({"__row": row, "__id": F.coalesce("doc_id", F.lit(-1))})
-    prints = materialize(fingerprints(keyed, ("doc_id", "__id", "__row")))
+    row, key = unused(docs.columns, "row", "key")
+    keyed = docs.withColumns({row: F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns)),
+                              key: F.coalesce("doc_id", F.lit(-1))})
+    prints = materialize(fingerprints(keyed, ("doc_id", key, row)))
     first = (_linked(prints, distance, segments, pairs_up_to).groupBy("root")
-             .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row", "__id")).alias("kept"))
-             .select("kept.__id", "kept.__row"))
-    return (keyed.dropDuplicates(["__id", "__row"]).join(first, ["__id", "__row"], "left_semi")
+             .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row, key)).alias("kept"))
+             .select(f"kept.{key}", f"kept.{row}"))
+    return (keyed.dropDuplicates([key, row]).join(first, [key, row], "left_semi")
             .select(*(F.col(f"`{c}`") for c in docs.columns)))

@@ -128,9 +128,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: dict[int, int] = SAMPLE,
           features: int = FEATURES) -> Chain:
     """A chain from the labelled rows with the smallest hashes of ids, `sample` of each class at most.
 
-    Of several labels of a document the largest counts, of several texts the smallest. Without
-    labelled rows nothing is toxic. The driver gets the best
-    `features` features and the numbers of each sampled text's.
+    Of several labels of a document the largest counts, of several texts the smallest. If the
+    labelled texts are of one class, or there are none, there is no model and nothing is toxic.
+    The driver gets the best `features` features and the numbers of each sampled text's.
     """
     labelled = (labels.select("doc_id", F.col("toxic").cast("int").alias("toxic"))
                 .filter("doc_id IS NOT NULL AND toxic IN (0, 1)")
@@ -178,7 +178,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: dict[int, int] = SAMPLE,
     for i, row in enumerate(rows):
         x[i, row.found] = 1
     marks = np.array([row.marks for row in rows], dtype=np.float64).reshape(len(rows), len(CATEGORIES))
-    if not len(rows):  # nothing is known to be toxic
+    if len({row.marks[-1] for row in rows}) < 2:  # nothing tells toxic texts from others
         return Chain({}, [np.append(np.zeros(c), -20.0) for c in range(len(CATEGORIES))])
     return Chain(number, fit_chain(x, marks, np.arange(len(rows)) % FOLDS))
 
@@ -225,7 +225,11 @@ def score(docs: DataFrame, chain: Chain, prefix: str = "p_") -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, chain: Chain, threshold: float = THRESHOLD) -> DataFrame:
-    """Whole rows of `docs` whose text is not toxic, in one pass without a shuffle."""
+    """Whole rows of `docs` whose text is not toxic, in one pass without a shuffle.
+
+    NULL and empty texts have no features and stay if the chain's base rate is below the threshold.
+    Repeated rows, NULL ids and further columns of any name stay as they are. No rows give no rows.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(vars(chain))
     at = docs.columns.index("text")
 

@@ -48,7 +48,7 @@ def fitting_rule(rules: Sequence[tuple[str, str]]) -> Column:
     Of equally long rules the one listed first wins.
     """
     out = F.lit(None).cast("struct<rule:string,action:string>")
-    for action, rule in sorted(rules, key=lambda r: len(r[1])):
+    for action, rule in sorted(reversed(rules), key=lambda r: len(r[1])):
         at, _, start = rule.partition("/")
         fits = ((F.col("host") == at) | F.endswith("host", F.lit("." + at))) & F.startswith(
             "path", F.lit("/" + start))

@@ -276,8 +276,42 @@ def test_branches_below_the_eighth_segment_stay_apart(spark):
     assert got == {("ads", "block"), ("news", "allow")}
 
 
+def test_of_equally_long_rules_the_first_wins(spark):
+    rules = (("block", "h.example/a"), ("allow", "example/a.b"))
+    assert len(rules[0][1]) == len(rules[1][1])
+    for given in (rules, rules[::-1]):
+        row = url_templates.judge(pages(spark, ["x://h.example/a.b"]), given).first()
+        assert (row.verdict, row.rule) == given[0]
+
+
 # ------------------------------------------------------------------------ pipeline
 
+CLASHING = ["m", "all", "size", "key", "row", "__id", "__row", "__key", "__key0", "copies", "fp", "node", "p_toxic"]
+
+
+def test_stages_keep_rows_whole_whatever_their_columns(spark):
+    base = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    odd = [(None, None, "en", None, 0), (None, "a text without id", "en", "s", 3), (7, "", "en", "s", 0)]
+    rows = base.unionByName(spark.createDataFrame(odd * 2, base.schema)).withColumns(
+        {c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in CLASHING})
+    for docs in (rows, rows.limit(0)):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            kept = stage(spark, docs, "/root/testdata/sf0.001")
+            assert kept.schema == docs.schema, name
+            found = set(map(str, kept.collect()))
+            assert found <= set(map(str, docs.collect())) and bool(found) == bool(docs.head(1)), name
+
+
+@pytest.mark.parametrize("label", [0, 1])
+def test_labels_of_one_class_drop_nothing(spark, tmp_path, label):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    docs.select("doc_id", F.lit(label).alias("toxic"), F.lit(label).alias("quality")).write.parquet(
+        f"{tmp_path}/labels.parquet")
+    for _, stage in corpus_pipeline.STAGES[:2]:
+        assert stage(spark, docs, str(tmp_path)).count() == docs.count()
+
+
+
 def test_pipeline_stages(spark):
     folder = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{folder}/documents.parquet")
