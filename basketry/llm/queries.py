@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm import (
-    ann, bpe, merkle, mixing, quality, sharding, simhash, token_counts, toxicity, url_templates,
+    ann, bpe, merkle, mixing, quality, sharding, simhash, token_counts, toxicity, url_templates, warc_zip,
 )
 from basketry.llm.common import read
 
@@ -63,9 +63,14 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, read(spark, folder, "labels")))
 
 
+def op12_warc_zip(spark: SparkSession, folder: str) -> DataFrame:
+    return warc_zip.round_trip(read(spark, folder, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_url_templates, op2_toxicity, op3_token_counts, op4_sharding, op5_document_fingerprints,
-        op6_nearest_neighbours, op7_byte_bpe, op8_source_mixing, op9_simhash_dedup, op10_quality)}
+        op6_nearest_neighbours, op7_byte_bpe, op8_source_mixing, op9_simhash_dedup, op10_quality,
+        op12_warc_zip)}
 
-ORACLES: dict[str, str] = {"op4_sharding": sharding.oracle()}
+ORACLES: dict[str, str] = {"op4_sharding": sharding.oracle(), "op12_warc_zip": warc_zip.oracle()}
