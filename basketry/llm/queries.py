@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm import (
-    ann, bpe, merkle, mixing, quality, sharding, simhash, token_counts, toxicity, url_templates, warc_zip,
+    ann, bpe, hard_negatives, merkle, mixing, quality, sharding, simhash, token_counts, toxicity, url_templates,
+    warc_zip,
 )
 from basketry.llm.common import read
 
@@ -63,6 +64,15 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, read(spark, folder, "labels")))
 
 
+# labels of every seventh vector move on by one
+MOVED_LABEL = "CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END"
+
+
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = read(spark, folder, "embeddings").select("vec_id", "embedding", F.expr(MOVED_LABEL).alias("label"))
+    return hard_negatives.mine(vectors, F.col("id") % 100 == 0)
+
+
 def op12_warc_zip(spark: SparkSession, folder: str) -> DataFrame:
     return warc_zip.round_trip(read(spark, folder, "pages"))
 
@@ -71,6 +81,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_url_templates, op2_toxicity, op3_token_counts, op4_sharding, op5_document_fingerprints,
         op6_nearest_neighbours, op7_byte_bpe, op8_source_mixing, op9_simhash_dedup, op10_quality,
-        op12_warc_zip)}
+        op11_hard_negatives, op12_warc_zip)}
 
-ORACLES: dict[str, str] = {"op4_sharding": sharding.oracle(), "op12_warc_zip": warc_zip.oracle()}
+ORACLES: dict[str, str] = {
+    "op4_sharding": sharding.oracle(),
+    "op11_hard_negatives": hard_negatives.oracle("a.vec_id % 100 = 0", MOVED_LABEL),
+    "op12_warc_zip": warc_zip.oracle()}
