@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm import (
-    ann, bpe, hard_negatives, merkle, mixing, quality, sharding, simhash, token_counts, toxicity, url_templates,
-    warc_zip,
+    ann, bpe, hard_negatives, merkle, mixing, quality, sharding, simhash, token_alignment, token_counts, toxicity,
+    url_templates, warc_zip,
 )
 from basketry.llm.common import read
 
 MULTI_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -77,11 +78,16 @@ def op12_warc_zip(spark: SparkSession, folder: str) -> DataFrame:
     return warc_zip.round_trip(read(spark, folder, "pages"))
 
 
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return token_alignment.summarize(read(spark, folder, "documents"),
+                                     token_alignment.Tokenizers.read(BYTE_BPE, PIECES))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_url_templates, op2_toxicity, op3_token_counts, op4_sharding, op5_document_fingerprints,
         op6_nearest_neighbours, op7_byte_bpe, op8_source_mixing, op9_simhash_dedup, op10_quality,
-        op11_hard_negatives, op12_warc_zip)}
+        op11_hard_negatives, op12_warc_zip, op13_token_alignment)}
 
 ORACLES: dict[str, str] = {
     "op4_sharding": sharding.oracle(),
