@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import re
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -95,27 +98,55 @@ def scratch_folder(spark: SparkSession) -> str:
     return folder
 
 
-# paths written by materialize, by application
+# paths written by materialize, by application, and those of each open temporary_scratch
 _written: dict[str, list[str]] = {}
+_temporary: ContextVar[tuple[list[str], ...]] = ContextVar("temporary", default=())
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, keep: bool = False) -> DataFrame:
     """Write `df` once to the scratch folder and read it back.
 
     Used where several jobs need the same costly frame: the lineage is cut, the
     copy survives lost executors, and each later job reads only its columns. The
-    copies stay until `clear_scratch`, as a lazy result may read them at any time.
+    copies stay until `clear_scratch`, as a lazy result may read them at any time; those
+    made inside `temporary_scratch` go with it, or if they are to be kept, with the one around it.
     """
     spark = df.sparkSession
     path = f"{scratch_folder(spark).rstrip('/')}/basketry-{uuid.uuid4().hex}"
-    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    scopes = [_written.setdefault(spark.sparkContext.applicationId, []), *_temporary.get()]
+    scopes[-2 if keep and len(scopes) > 1 else -1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def clear_scratch(spark: SparkSession) -> None:
-    """Delete this application's intermediate tables; call it when results are written."""
+def _delete(spark: SparkSession, paths: list[str]) -> None:
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for name in _written.pop(spark.sparkContext.applicationId, []):
+    for name in paths:
         path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(conf).delete(path, True)
+
+
+@contextmanager
+def temporary_scratch(spark: SparkSession) -> Iterator[None]:
+    """Copies that this thread materializes inside are deleted at the end; only kept ones outlive it."""
+    paths: list[str] = []
+    token = _temporary.set((*_temporary.get(), paths))
+    try:
+        yield
+    finally:
+        _temporary.reset(token)
+        _delete(spark, paths)
+
+
+def delete_copy(df: DataFrame) -> None:
+    """Delete the copy that `materialize` made of this frame; nothing may read it any more."""
+    spark = df.sparkSession
+    mine = _written.get(spark.sparkContext.applicationId, [])
+    gone = {p for p in mine if any(f"/{p.rpartition('/')[2]}/" in f for f in df.inputFiles())}
+    mine[:] = [p for p in mine if p not in gone]
+    _delete(spark, sorted(gone))
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables; call it when results are written."""
+    _delete(spark, _written.pop(spark.sparkContext.applicationId, []))
