@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketry.session import materialize, scratch_folder
 
-__all__ = ["count_in_order", "draw", "join_counted", "materialize", "read", "salted_join", "scratch_folder",
+__all__ = ["count_in_order", "draw", "join_counted", "materialize", "read", "release_memory", "salted_join", "scratch_folder",
            "ship", "shuffle_partitions", "unused", "words_in"]
 
+# This module's functions are used inside tasks too.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # ASCII white space; words are what lies between.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -23,6 +28,15 @@ def ship(module: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module])
 
 
+def release_memory() -> None:
+    """Give what a task no longer uses back to the system; workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # a C library without it
+        pass
+
+
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 

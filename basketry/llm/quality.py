@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import materialize, ship
+from basketry.llm.common import materialize, release_memory, ship
 
 ship(__name__)
 
@@ -216,5 +216,7 @@ def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> Da
         for batch in batches:
             scores = _scores(known, batch.column(at), counter)
             yield batch.filter(pa.array(scores >= threshold, pa.bool_()))
+        del counter, known
+        release_memory()
 
     return docs.mapInArrow(apply, docs.schema)

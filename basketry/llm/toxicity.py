@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import materialize, ship
+from basketry.llm.common import materialize, release_memory, ship
 
 ship(__name__)
 
@@ -238,5 +238,7 @@ def keep_clean(docs: DataFrame, chain: Chain, threshold: float = THRESHOLD) -> D
         for batch in batches:
             clean = [probabilities(t.as_py())[-1] < threshold for t in batch.column(at)]
             yield batch.filter(pa.array(clean, pa.bool_()))
+        del probabilities
+        release_memory()
 
     return docs.mapInArrow(apply, docs.schema)
