@@ -104,10 +104,11 @@ def rows():
 def test_coefficients_solve_the_penalised_problem(spark, rows):
     df = spark.createDataFrame(rows, FEATURES)
     fitted, scored = model.train(df)
-    encoded, prep = features.prepare(df)
+    prep = features.learn(df)
+    encoded = features.encode(df, prep)
     assert prep.categories == ("boleto", "card", "unknown", "voucher")
     assert fitted.columns == prep.columns
-    train = features.standardise(encoded, prep.means, prep.deviations).filter("split = 'train'").toPandas()
+    train = features.standardise(encoded, *features.moments(prep)).filter("split = 'train'").toPandas()
     x = np.column_stack([np.ones(len(train)), train[list(prep.columns)].to_numpy()])
     assert np.allclose(x[:, 1:].mean(axis=0), 0, atol=1e-9) and np.allclose(x[:, 1:].std(axis=0), 1)
     y = train["is_repeat_customer"].to_numpy().astype(float)
@@ -156,6 +157,38 @@ def test_constant_feature_and_single_category(spark, rows):
     assert constant["was_late"] == 0.0 and constant["installments"] == 0.0
 
 
+def test_unseen_categories_score_like_the_first(spark, rows, tmp_path):
+    fitted, _ = model.train(spark.createDataFrame(rows, FEATURES))
+    new = spark.createDataFrame([(f"n{i}", 90.0, 0, 4, pay, 1, 0) for i, pay in enumerate(["boleto", "new", None, "card"])],
+                                FEATURES)
+    model.save(fitted, str(tmp_path / "a"))
+    (tmp_path / "a").rename(tmp_path / "moved")
+    for pipeline in (fitted.pipeline, model.load(str(tmp_path / "moved"))):
+        p = {r.order_id: r.probability_repeat for r in model.score(pipeline, new).collect()}
+        assert p["n0"] == p["n1"] and len(set(p.values())) == 3
+
+
+def test_any_number_of_categories(spark, rows, monkeypatch):
+    """100,000 categories are sparse vectors: the plan is that of four, and no names reach the driver."""
+    few = spark.createDataFrame(rows, FEATURES)
+    many = spark.range(150_000).selectExpr(
+        "concat('o', id) AS order_id", "double(pmod(xxhash64(id), 1000)) AS order_value", "int(id % 3 = 0) AS was_late",
+        "int(id % 5 + 1) AS review_score", "concat('type', id % 100000) AS payment_type", "int(id % 4) AS installments",
+        "int(pmod(xxhash64(id, 1), 3) = 0) AS is_repeat_customer")
+    monkeypatch.setattr(model, "TOLERANCE", 1e-3)
+    size = {}
+    for name, df in (("few", few), ("many", many)):
+        fitted, scored = model.train(df)
+        size[name] = len(scored._jdf.queryExecution().optimizedPlan().toString())
+        assert len(fitted.coefficients) == len(features.NUMBERS) + fitted.prep.n_slots
+    assert fitted.prep.n_slots == 99_999
+    assert size["many"] < 1.2 * size["few"]
+    with pytest.raises(ValueError, match="do not become columns"):
+        fitted.columns
+    ranked = model.coefficients(spark, fitted)
+    assert ranked.count() == 100_003 and ranked.filter("rank = 1").first().feature is not None
+
+
 def test_split_share_and_stability(spark, rows):
     df = spark.createDataFrame(rows, FEATURES)
     split = features.split(df)
