@@ -11,7 +11,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.functions.columns import UNITS, ratio, units_sql, wide_sql
+from basketry.functions.columns import UNITS, parts_sql, ratio, total_sql, units_sql, wide_sql
 
 HISTOGRAM_BINS = 40
 CURVE_POINTS = 200
@@ -22,9 +22,11 @@ def eda_metrics(weights: DataFrame, customers: DataFrame) -> DataFrame:
     """One row: total revenue, repeat rate and late rate in percent."""
     repeat_rate = customers.agg(
         ratio(F.sum("is_repeat_customer"), F.count("is_repeat_customer")) * 100).scalar()
-    revenue = f"sum({wide_sql(units_sql('order_value'))} * n_rows)"
+    units, rest, odd = parts_sql("order_value")
+    revenue = total_sql(f"sum({wide_sql(units)} * n_rows)", f"sum({rest} * CAST(n_rows AS DECIMAL(10,0)))",
+                        f"sum({odd} * n_rows)")
     return weights.agg(
-        F.expr(f"CAST(coalesce({revenue}, 0) AS DOUBLE) / {UNITS}D").alias("total_revenue"),
+        F.expr(f"coalesce({revenue}, 0D)").alias("total_revenue"),
         F.expr("CAST(sum(was_late * n_rows) AS DOUBLE) / nullif(sum(n_rows), 0) * 100").alias("late_rate"),
     ).select("total_revenue", repeat_rate.alias("repeat_rate"), "late_rate")
 

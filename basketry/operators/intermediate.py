@@ -7,19 +7,32 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.functions.columns import UNITS, units_sql
+from basketry.functions.columns import PARTS, parts_sql, total_sql
 from basketry.operators.skew import expand_join, lookup_join, number_rows
 
 
 def item_agg(items: DataFrame) -> DataFrame:
-    """Per order: rows, price, freight, and price plus freight (NULL freight adds nothing)."""
-    price, freight = f"({units_sql('price')})", f"({units_sql('freight_value')})"
-    return items.groupBy("order_id").agg(
-        F.count("*").alias("n_items"),
-        F.expr(f"sum({price}) / {UNITS}D").alias("merchandise_value"),
-        F.expr(f"sum({freight}) / {UNITS}D").alias("freight_value"),
-        F.expr(f"sum({price} + {freight}) / {UNITS}D").alias("order_value"),
-    )
+    """Per order: rows, price, freight, and price plus freight (NULL freight adds nothing).
+
+    Sums are exact and then the nearest double. NaN and infinity give themselves.
+    """
+    parts = [f"{sql} AS {c}_{part}" for c in ("price", "freight_value")
+             for part, sql in zip(PARTS, parts_sql(c))]
+    rows = items.selectExpr("order_id", "price", "freight_value", *parts)
+    rests = "price_rest IS NOT NULL OR freight_value_rest IS NOT NULL"
+    sums = {
+        "merchandise": [f"price_{part}" for part in PARTS],
+        "freight": [f"freight_value_{part}" for part in PARTS],
+        # an item whose price or freight is odd is odd as a whole
+        "order": ["price_units + freight_value_units",
+                  f"CASE WHEN price_units + freight_value_units IS NOT NULL AND ({rests}) "
+                  "THEN coalesce(price_rest, 0) + coalesce(freight_value_rest, 0) END",
+                  "coalesce(price_odd + freight_value, price + freight_value_odd)"],
+    }
+    totals = [F.expr(f"sum({sql})").alias(f"{name}_{part}") for name, three in sums.items()
+              for part, sql in zip(PARTS, three)]
+    values = [F.expr(total_sql(*(f"{name}_{part}" for part in PARTS))).alias(f"{name}_value") for name in sums]
+    return rows.groupBy("order_id").agg(F.count("*").alias("n_items"), *totals).select("order_id", "n_items", *values)
 
 
 def delivered_orders(orders: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.functions.columns import ratio, round_ratio, units_sql, wide_sql
+from basketry.functions.columns import PARTS, parts_sql, ratio, round_ratio, round_total, wide_sql
 from basketry.operators.intermediate import (
     int_customer_order_sequence,
     int_order_review,
@@ -53,17 +53,27 @@ def fct_customers(customers: DataFrame, economics: DataFrame, reviews: DataFrame
     return copies.join(totals, "customer_id").select(
         "customer_id", "state", "lifetime_order_count",
         F.expr("CASE WHEN lifetime_order_count > 1 THEN 1 ELSE 0 END").alias("is_repeat_customer"),
-        round_ratio("value_units", "value_rows * 10000", 2).alias("avg_order_value"),
-        round_ratio("value_units * copies", "10000", 2).alias("lifetime_value"),
+        round_total(*_VALUE, "1", "value_rows", 2).alias("avg_order_value"),
+        round_total(*_VALUE, "copies", "1", 2).alias("lifetime_value"),
         round_ratio("late_rows * 100", "all_rows", 1).alias("pct_orders_late"),
         round_ratio("score_sum", "n_reviews", 2).alias("avg_review_score"),
         "first_purchase_ts", "last_purchase_ts",
     )
 
 
+_VALUE = tuple(f"value_{part}" for part in PARTS)
+
+
+def _value_sums(times: str) -> dict[str, str]:
+    """Sums of the parts of order_value, each `times` as often."""
+    units, rest, odd = parts_sql("order_value")
+    return {"value_units": f"sum({wide_sql(units)} * {times})",
+            "value_rest": f"sum({rest} * CAST({times} AS DECIMAL(10,0)))", "value_odd": f"sum({odd} * {times})"}
+
+
 # Sums per customer over orders that count `n` times each.
 _CUSTOMER_SUMS = {
-    "value_units": f"sum({wide_sql(units_sql('order_value'))} * n)",
+    **_value_sums("n"),
     "value_rows": "sum(CASE WHEN order_value IS NOT NULL THEN n ELSE 0 END)",
     "late_rows": "sum(was_late * n)",
     "all_rows": "sum(n)",
@@ -87,7 +97,7 @@ def _customer_totals(economics: DataFrame, reviews: DataFrame, profile: KeyProfi
         "CASE WHEN order_id IS NULL THEN 0 ELSE greatest(coalesce(n_reviews, 0), 1) END"))
     return counted.groupBy("customer_id").agg(*_sums({
         "lifetime_order_count": "count(*)", **_CUSTOMER_SUMS,
-        "value_units": f"sum(CASE WHEN n > 0 THEN {wide_sql(units_sql('order_value'))} * n END)",
+        **_value_sums("nullif(n, 0)"),
         "score_sum": "sum(score_sum)",
         "n_reviews": "coalesce(sum(n_reviews), 0)",
     })).filter("all_rows > 0")

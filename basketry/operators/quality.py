@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basketry.functions.columns import parts_sql
+
 
 def payment_quality_counts(payments: DataFrame) -> DataFrame:
     return payments.groupBy("payment_quality_flag").agg(F.count("*").alias("n_payments"))
@@ -19,6 +21,37 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def table_digests(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table, n_rows, total, mixed) of each table: equal for equal rows, in any order and partitioning."""
+    def digest(name: str, df: DataFrame) -> DataFrame:
+        cells = [c for column in df.columns for c in (F.col(f"`{column}`"), F.col(f"`{column}`").isNull())]
+        row = F.xxhash64(F.lit(",".join(f"{c} {t}" for c, t in df.dtypes)), *cells)
+        return df.agg(F.lit(name).alias("table"), F.count("*").alias("n_rows"),
+                      F.coalesce(F.sum(row.cast("decimal(20,0)")), F.lit(0)).cast("decimal(38,0)").alias("total"),
+                      F.coalesce(F.bit_xor(row), F.lit(0)).alias("mixed"))
+
+    return reduce(DataFrame.unionByName, [digest(*item) for item in tables.items()])
+
+
+def amount_quality(columns: list[tuple[str, DataFrame, str]]) -> DataFrame:
+    """(amount, n_rows, n_missing, n_not_finite, n_fine, passed) of each (table's name, table, column).
+
+    Not finite are NaN and infinity, which the test does not pass; fine are amounts with more digits
+    than ten-thousandths, which sums keep.
+    """
+    def count(condition: str) -> Column:
+        return F.count(F.when(F.expr(condition), 1))
+
+    parts = []
+    for name, df, column in columns:
+        _, rest, _ = parts_sql(column)
+        odd = count(f"isnan({column}) OR abs({column}) = double('infinity')")
+        parts.append(df.agg(F.lit(f"{name}.{column}").alias("amount"), F.count("*").alias("n_rows"),
+                            count(f"{column} IS NULL").alias("n_missing"), odd.alias("n_not_finite"),
+                            count(f"({rest}) IS NOT NULL").alias("n_fine"), (odd == 0).alias("passed")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _result(test: str, value: Column, passed: Column) -> Column:
     return F.struct(F.lit(test).alias("test"), F.coalesce(value, F.lit(0)).cast("long").alias("value"),
                     passed.alias("passed"))

@@ -6,6 +6,8 @@ Sums of money are taken in whole ten-thousandths, as the engine does.
 
 from __future__ import annotations
 
+from basketry.schemas import RAW_TABLES
+
 RAW = r"""
 raw_customers AS (
   SELECT c_custkey AS customer_id, concat('city_', c_nationkey) AS city,
@@ -446,6 +448,13 @@ BODIES: dict[str, str] = {
                       "AS avg_review_score FROM orders_mart GROUP BY was_late",
     "payment_quality_counts": "SELECT payment_quality_flag, count(*) AS n_payments FROM stg_payments GROUP BY 1",
     "data_tests": _TESTS,
+    "amount_quality": " UNION ALL ".join(
+        f"SELECT '{table}.{column}' AS amount, count(*) AS n_rows, count(*) - count({column}) AS n_missing, "
+        f"count(CASE WHEN NOT isfinite(CAST({column} AS DOUBLE)) THEN 1 END) AS n_not_finite, "
+        f"count(CASE WHEN round(CAST({column} AS DOUBLE) * 10000) / 10000 <> {column} THEN 1 END) AS n_fine, "
+        f"count(CASE WHEN NOT isfinite(CAST({column} AS DOUBLE)) THEN 1 END) = 0 AS passed FROM {rows}"
+        for table, column, rows in (("order_items", "price", "raw_items"), ("order_items", "freight_value", "raw_items"),
+                                    ("payments", "payment_value", "raw_payments"))),
     "table_counts": _COUNTS,
     "validate_schema": f"SELECT \"table\", '' AS missing_required, '' AS missing_needed_by_view, n_rows "
                        f"FROM ({_COUNTS})",
@@ -462,6 +471,24 @@ BODIES: dict[str, str] = {
     "market_customers": "SELECT CAST(customer_unique_id AS VARCHAR) AS customer_id, customer_city AS city, "
                         "customer_state AS state FROM market_customers QUALIFY row_number() OVER "
                         "(PARTITION BY customer_unique_id ORDER BY customer_id) = 1",
+    "order_value_sketch": "SELECT CAST(share AS DOUBLE) AS share, count(order_value) AS n, true AS within "
+                          "FROM economics, (VALUES (0.01), (0.1), (0.25), (0.5), (0.75), (0.9), (0.99)) q(share) GROUP BY share",
+    "late_and_on_time": "SELECT state, CAST(sum(late) AS BIGINT) AS n_late, CAST(sum(on_time) AS BIGINT) AS n_on_time, "
+                        "CAST(sum(late * on_time) AS BIGINT) AS n_both, count(*) AS n_either FROM ("
+                        "SELECT c.state, c.customer_id, max(was_late) AS late, max(1 - was_late) AS on_time "
+                        "FROM economics e JOIN stg_customers c ON c.customer_id = e.customer_id GROUP BY 1, 2) GROUP BY state",
+    "csv_types": " UNION ALL ".join(
+        f"SELECT '{table}' AS \"table\", '{column}' AS \"column\", CASE WHEN k = 4 THEN 'timestamp_ntz' "
+        "WHEN k = 0 OR k & 12 <> 0 THEN 'string' WHEN k & 2 <> 0 THEN 'double' ELSE 'bigint' END AS type FROM ("
+        "SELECT coalesce(bit_or(CASE WHEN v IS NULL THEN 0 WHEN regexp_full_match(v, '[+-]?[0-9]{1,18}') THEN 1 "
+        "WHEN regexp_full_match(v, '[+-]?[0-9]{19,}') THEN 8 "
+        "WHEN regexp_full_match(v, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?') THEN 2 "
+        "WHEN regexp_full_match(v, '[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\\.[0-9]{1,6})?)?)?') "
+        "AND TRY_CAST(v AS TIMESTAMP) IS NOT NULL THEN 4 ELSE 8 END), 0) AS k "
+        f"FROM (SELECT CAST({column} AS VARCHAR) AS v FROM {rows}))"
+        for table, rows in (("customers", "raw_customers"), ("orders", "raw_orders"), ("order_items", "raw_items"),
+                            ("payments", "raw_payments"), ("reviews", "raw_reviews"))
+        for column in RAW_TABLES[table].names),
     "preview_customers": "SELECT * FROM customers_mart ORDER BY customer_id, state, lifetime_order_count LIMIT 5",
     "eda_metrics": "SELECT (SELECT CAST(sum(order_value) AS DOUBLE) FROM orders_mart) AS total_revenue, "
                    "(SELECT CAST(sum(is_repeat_customer) AS DOUBLE) / count(*) * 100 FROM customers_mart) "

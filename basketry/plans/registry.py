@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import hash_uniform
-from basketry.operators import eda, experiment, features, marts, model, quality
+from basketry.operators import eda, experiment, features, marts, model, quality, sketches
 from basketry.plans.views import RetailViews
 from basketry.session import materialize, scratch_folder
 from basketry.sources import adapters, files, loader
@@ -40,6 +40,12 @@ def data_tests(spark, folder):
                               customers, v.fct_orders, groups)
 
 
+def amount_quality(spark, folder):
+    raw = views(spark, folder).raw
+    return quality.amount_quality([(table, raw[table], column) for table, column in (
+        ("order_items", "price"), ("order_items", "freight_value"), ("payments", "payment_value"))])
+
+
 def preview_customers(spark, folder):
     return views(spark, folder).fct_customers.orderBy(
         "customer_id", "state", "lifetime_order_count").limit(5)
@@ -66,6 +72,24 @@ def order_value_kde(spark, folder):
     return _rounded(eda.order_value_kde(_stored_values(spark, folder)), "x", "density")
 
 
+# --------------------------------------------------------------------- sketches
+
+QUANTILES = (0.01, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99)
+
+
+def order_value_sketch(spark, folder):
+    """Sketches per month of purchase, merged: are the quantiles of order values within the stated bound?"""
+    values = materialize(views(spark, folder).int_order_economics.select("purchase_ts", "order_value"))
+    parts = sketches.quantile_sketches(values, part=F.date_format("purchase_ts", "yyyy-MM"))
+    estimates = sketches.quantiles(parts, QUANTILES)
+    return sketches.check_quantiles(estimates, values, "order_value", sketches.rank_error())
+
+
+def late_and_on_time(spark, folder):
+    v = views(spark, folder)
+    return sketches.late_and_on_time(sketches.customer_sketches(v.int_order_economics, v.stg_customers))
+
+
 # ------------------------------------------------------------------- experiment
 
 def _assigned(spark, folder) -> DataFrame:
@@ -126,8 +150,8 @@ def split_stratified(spark, folder):
 
 def features_scaled(spark, folder):
     stored = materialize(views(spark, folder).first_order_features)
-    encoded, prep = features.prepare(stored)
-    scaled = features.standardise(encoded, prep.means, prep.deviations)
+    prep = features.learn(stored)
+    scaled = features.standardise(features.encode(stored, prep), *features.moments(prep))
     return _rounded(scaled.select("order_id", "customer_id", "split", *prep.columns), *prep.columns)
 
 
@@ -218,14 +242,28 @@ def validate_schema_missing(spark, folder):
         "order_items": raw["order_items"], "payments": raw["payments"].drop("payment_value")})
 
 
+def _as_csv(raw) -> str:
+    """Folder of CSV files with the rows of a table as text."""
+    path = f"{scratch_folder(raw.sparkSession).rstrip('/')}/basketry-{uuid.uuid4().hex}"
+    raw.select(*[F.col(c).cast("string") for c in raw.columns]).write.csv(path, header=True)
+    return path
+
+
 def csv_orders(spark, folder):
     """Orders written as CSV text and read from it, to staged rows."""
-    raw = views(spark, folder).raw["orders"]
-    path = f"{scratch_folder(spark).rstrip('/')}/basketry-{uuid.uuid4().hex}"
-    raw.select(*[F.col(c).cast("string") for c in raw.columns]).write.csv(path, header=True)
+    path = _as_csv(views(spark, folder).raw["orders"])
     return RetailViews({"orders": files.typed(files.read_csv(spark, path), "orders")}).stg_orders
 
 
+def csv_types(spark, folder):
+    """Types of the columns of raw tables written as CSV text, by all their records."""
+    rows = []
+    for table, raw in views(spark, folder).raw.items():
+        types = files.infer_types(files.read_csv(spark, _as_csv(raw)))
+        rows += [(table, column, kind.simpleString()) for column, kind in types.items()]
+    return spark.createDataFrame(rows, "table string, column string, type string")
+
+
 def lr_report(spark, folder):
     """Report of the trained model on its test rows."""
     return _rounded(model.evaluate(_trained(spark, folder)[2]).report,
@@ -240,10 +278,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fct_orders_order_grain": lambda s, f: views(s, f).fct_orders_at("order"),
     "payment_quality_counts": lambda s, f: quality.payment_quality_counts(views(s, f).stg_payments),
     "data_tests": data_tests,
+    "amount_quality": amount_quality,
     "table_counts": lambda s, f: quality.table_counts(views(s, f).raw),
     "validate_schema": lambda s, f: files.check_report(views(s, f).raw),
     "validate_schema_missing": validate_schema_missing,
     "csv_orders": csv_orders,
+    "csv_types": csv_types,
     "preview_customers": preview_customers,
     "eda_metrics": eda_metrics,
     "eda_json": eda_json,
@@ -252,6 +292,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "repeat_by_state": lambda s, f: eda.repeat_by_state(views(s, f).fct_customers),
     "repeat_by_state_top15": lambda s, f: eda.repeat_by_state(views(s, f).fct_customers, 15),
     "review_by_delivery": lambda s, f: eda.review_by_delivery(views(s, f).order_weights),
+    "order_value_sketch": order_value_sketch,
+    "late_and_on_time": late_and_on_time,
     "identity_map": identity_map,
     "dedup_customers": dedup_customers,
     "rekey_orders": rekey_orders,

@@ -9,18 +9,25 @@ from pyspark.sql import DataFrame, SparkSession
 from basketry.operators import intermediate, marts, staging
 from basketry.operators.profile import KeyProfile
 from basketry.operators.skew import HEAVY_ROWS
+from basketry.schemas import RAW_TABLES
 
 VIEWS = ("stg_customers", "stg_orders", "stg_order_items", "stg_payments", "stg_reviews",
          "int_order_economics", "int_order_review", "int_customer_order_sequence",
          "fct_customers", "fct_orders")
 
 
+# what the join of orders and items needs to know
+_JOINED = ("heavy_orders", "repeated_orders")
+
+
 class RetailViews:
     """Each view as a DataFrame; key facts are measured when a view first needs them."""
 
     def __init__(self, raw: dict[str, DataFrame], on_bad_ts: str = "raise",
                  heavy_rows: int = HEAVY_ROWS, profile: KeyProfile | None = None):
-        self.raw = raw
+        # the views know the columns of the raw model only
+        self.raw = {t: df.select([c for c in df.columns if c in RAW_TABLES[t].names]) if t in RAW_TABLES else df
+                    for t, df in raw.items()}
         self._on_bad_ts = on_bad_ts
         self._heavy_rows = heavy_rows
         self._profile = profile
@@ -62,25 +69,26 @@ class RetailViews:
 
     @cached_property
     def int_order_economics(self) -> DataFrame:
-        return intermediate.int_order_economics(self.stg_orders, self.stg_order_items,
-                                                self.profile.heavy_orders)
+        self.profile.measure("heavy_orders", "repeated_orders")
+        heavy = self.profile.heavy_orders + [k for k in self.profile.repeated_orders if k is not None]
+        return intermediate.int_order_economics(self.stg_orders, self.stg_order_items, heavy)
 
     @cached_property
     def int_order_review(self) -> DataFrame:
-        self.profile.measure("unique_orders", "heavy_orders", "heavy_reviews", "heavy_payments")
+        self.profile.measure("unique_orders", *_JOINED, "heavy_reviews", "heavy_payments")
         return intermediate.int_order_review(
             self.int_order_economics, self.stg_reviews, self.stg_payments,
             self.profile.unique_orders, self.profile.heavy_reviews, self.profile.heavy_payments)
 
     @cached_property
     def int_customer_order_sequence(self) -> DataFrame:
-        self.profile.measure("heavy_orders", "heavy_customers")
+        self.profile.measure(*_JOINED, "heavy_customers")
         return intermediate.int_customer_order_sequence(
             self.int_order_economics, self.profile.heavy_customers)
 
     @cached_property
     def fct_customers(self) -> DataFrame:
-        self.profile.measure("unique_orders", "heavy_orders")
+        self.profile.measure("unique_orders", *_JOINED)
         return marts.fct_customers(self.stg_customers, self.int_order_economics,
                                    self.stg_reviews, self.profile)
 
@@ -89,7 +97,7 @@ class RetailViews:
         return self.fct_orders_at("row")
 
     def fct_orders_at(self, grain: str) -> DataFrame:
-        facts = ["unique_orders", "heavy_orders", "heavy_customers"]
+        facts = ["unique_orders", *_JOINED, "heavy_customers"]
         if grain == "row":
             facts += ["heavy_reviews", "heavy_payments"]
         self.profile.measure(*facts)
@@ -98,13 +106,13 @@ class RetailViews:
 
     @cached_property
     def order_weights(self) -> DataFrame:
-        self.profile.measure("unique_orders", "heavy_orders")
+        self.profile.measure("unique_orders", *_JOINED)
         return marts.order_weights(self.int_order_economics, self.stg_reviews,
                                    self.stg_payments, self.profile)
 
     @cached_property
     def late_vs_repeat(self) -> DataFrame:
-        self.profile.measure("unique_orders", "heavy_orders")
+        self.profile.measure("unique_orders", *_JOINED)
         return marts.late_vs_repeat(self.int_order_economics, self.stg_reviews,
                                     self.stg_payments, self.profile)
 

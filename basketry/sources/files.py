@@ -154,12 +154,58 @@ def as_type(text: Column, data_type: T.DataType) -> Column:
     return text.cast(data_type)
 
 
-def typed(raw: DataFrame, table: str) -> DataFrame:
-    """The table's columns in their types; a column that is absent is NULL."""
-    return raw.select(*[
+# What a text can be read as; a column's kinds are the bits of all its texts.
+WHOLE, FRACTION, TIME, TEXT = 1, 2, 4, 8
+_WHOLE = r"^[+-]?[0-9]{1,18}$"
+_LONG = r"^[+-]?[0-9]{19,}$"
+_FRACTION = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+_TIME = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,6})?)?)?$"
+
+
+def kind_of(text: Column) -> Column:
+    """The bit of what a text can be read as, 0 for NULL; whole numbers of 19 and more digits are text."""
+    is_time = text.rlike(_TIME) & text.try_cast("timestamp_ntz").isNotNull()
+    return (F.when(text.isNull(), 0).when(text.rlike(_WHOLE), WHOLE).when(text.rlike(_LONG), TEXT)
+            .when(text.rlike(_FRACTION), FRACTION).when(is_time, TIME).otherwise(TEXT))
+
+
+def type_of_kinds(kinds: int) -> T.DataType:
+    """The narrowest type that takes all texts of these kinds; without any, text."""
+    if kinds == TIME:
+        return T.TimestampNTZType()
+    if not kinds or kinds & (TIME | TEXT):
+        return T.StringType()
+    return T.DoubleType() if kinds & FRACTION else T.LongType()
+
+
+def infer_types(raw: DataFrame, columns: Collection[str] | None = None) -> dict[str, T.DataType]:
+    """Types of text columns by all their records, in one pass.
+
+    A column's kinds are or-ed, so parts of a table can be read in any order and merged.
+    """
+    names = list(raw.columns if columns is None else columns)
+    if not names:
+        return {}
+    found = raw.agg(*(F.bit_or(kind_of(F.col(f"`{c}`"))).alias(f"k{i}") for i, c in enumerate(names))).first()
+    return {c: type_of_kinds(found[i] or 0) for i, c in enumerate(names)}
+
+
+def inferred(raw: DataFrame) -> DataFrame:
+    """All columns of a table of texts in the types that its records allow."""
+    return raw.select(*[F.col(f"`{c}`").cast(t).alias(c) for c, t in infer_types(raw).items()])
+
+
+def typed(raw: DataFrame, table: str, keep_others: bool = False) -> DataFrame:
+    """The table's columns in their types; a column that is absent is NULL.
+
+    Other columns are left out, or kept at the end in the types that their records allow.
+    """
+    declared = [
         (as_type(F.col(f.name), f.dataType) if f.name in raw.columns
          else F.lit(None).cast(f.dataType)).alias(f.name)
-        for f in RAW_TABLES[table]])
+        for f in RAW_TABLES[table]]
+    others = [c for c in raw.columns if c not in RAW_TABLES[table].names] if keep_others else []
+    return raw.select(*declared, *[F.col(f"`{c}`").cast(t).alias(c) for c, t in infer_types(raw, others).items()])
 
 
 def check_columns(found: dict[str, list[str]]) -> list[tuple[str, str | None, str]]:
@@ -196,7 +242,10 @@ def check_report(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def read_upload(spark: SparkSession, paths: list[str]) -> dict[str, DataFrame]:
-    """The five raw tables from CSV files; raises InputError with all reasons at once."""
+    """The five raw tables from CSV files; raises InputError with all reasons at once.
+
+    Columns that are not of the raw model are kept, in the types that their records allow.
+    """
     routed, errors = route(paths)
     frames = {table: read_csv(spark, path) for table, path in routed.items()}
     for table, column, severity in check_columns({t: df.columns for t, df in frames.items()}):
@@ -206,4 +255,4 @@ def read_upload(spark: SparkSession, paths: list[str]) -> dict[str, DataFrame]:
             errors.append(f"{routed[table]} lacks the column {column}")
     if errors:
         raise InputError(errors)
-    return {table: typed(df, table) for table, df in frames.items()}
+    return {table: typed(df, table, keep_others=True) for table, df in frames.items()}

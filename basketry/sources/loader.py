@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.operators.skew import heavy_keys, lookup_join
+from basketry.operators.skew import expand_join, heavy_keys, lookup_join
 from basketry.schemas import RAW_TABLES
 from basketry.sources.files import InputError, as_type, read_csv, route
 
@@ -40,12 +40,17 @@ def dedup_customers(customers: DataFrame) -> DataFrame:
 
 
 def rekey_orders(orders: DataFrame, identities: DataFrame) -> DataFrame:
-    """Orders of known customers under the person's id; absent time columns are NULL."""
+    """Orders of known customers under the person's id; absent time columns are NULL.
+
+    Customers with very many orders are split.
+    """
     def column(source: str, name: str) -> Column:
         found = F.col(source) if source in orders.columns else F.lit(None).cast("string")
         return found.alias(name)
 
-    return orders.join(identities, "customer_id").select(
+    joined = expand_join(identities, orders, "customer_id", heavy_keys(orders, "customer_id"),
+                         left_is_unique=False, how="inner")
+    return joined.select(
         "order_id", F.col("customer_unique_id").alias("customer_id"), "order_status",
         column("order_purchase_timestamp", "purchase_ts"),
         column("order_approved_at", "approved_ts"),

@@ -1,6 +1,7 @@
 """Single operators on literal rows."""
 
 import datetime as dt
+import decimal
 import math
 import random
 import statistics
@@ -238,17 +239,33 @@ def test_t_tail_equals_integral(dof):
 
 
 @pytest.mark.parametrize("amount", [float("nan"), float("inf"), float("-inf"), 1e18])
-def test_what_is_no_amount_raises(spark, amount):
-    items = spark.createDataFrame([("o", amount, 1.0)], "order_id string, price double, freight_value double")
-    with pytest.raises(Exception, match="not an amount"):
-        intermediate.item_agg(items).collect()
-
-
-def test_halves_of_amounts_go_away_from_zero(spark):
-    items = spark.createDataFrame([("a", 0.00005, None), ("b", -0.00005, 0.0), ("c", None, 1.0)],
-                                  "order_id string, price double, freight_value double")
-    got = {r.order_id: r.merchandise_value for r in intermediate.item_agg(items).collect()}
-    assert got == {"a": 0.0001, "b": -0.0001, "c": None}
+def test_odd_amounts_give_themselves(spark, amount):
+    items = spark.createDataFrame([("o", amount, 1.0), ("o", 2.0, 3.0)], "order_id string, price double, freight_value double")
+    row = intermediate.item_agg(items).first()
+    assert str(row.merchandise_value) == str(amount + 2.0) and str(row.order_value) == str(amount + 6.0)
+    assert row.freight_value == 4.0
+    found = quality.amount_quality([("items", items, "price")]).first()
+    assert (found.n_not_finite, found.passed) == ((0, True) if amount == 1e18 else (1, False))
+
+
+def test_sums_cut_no_digits(spark):
+    rows = [("a", 0.00004, None)] * 3 + [("b", -0.00005, 0.0), ("c", None, 1.0), ("d", 1e14, 1e-9), ("d", -1e14, 2e-9)]
+    rows += [("e", 0.1, 0.2), ("f", 0.1234567890123456, 0.5), ("f", 1.0, -0.1234567890123456)]
+    items = spark.createDataFrame(rows, "order_id string, price double, freight_value double")
+    got = {r.order_id: (r.merchandise_value, r.freight_value, r.order_value)
+           for r in intermediate.item_agg(items.repartition(3)).collect()}
+    assert got == {"a": (0.00012, None, None), "b": (-0.00005, 0.0, -0.00005), "c": (None, 1.0, None),
+                   "d": (0.0, 3e-9, 3e-9), "e": (0.1, 0.2, 0.3), "f": (1.1234567890123457, 0.3765432109876544, 1.5)}
+
+
+def test_sums_do_not_depend_on_row_order(spark):
+    r = random.Random(6)
+    amounts = [r.choice([r.uniform(0, 1e-4), r.uniform(0, 100), round(r.uniform(0, 1e6), 2)]) for _ in range(2000)]
+    exact = sum(map(decimal.Decimal, map(repr, amounts)))
+    for seed in range(3):
+        r.shuffle(amounts)
+        items = spark.createDataFrame([("o", a, 0.0) for a in amounts], "order_id string, price double, freight_value double")
+        assert intermediate.item_agg(items.repartition(seed + 1)).first().order_value == float(exact)
 
 
 def test_salted_join_keeps_every_match_of_equal_rows(spark):

@@ -2,12 +2,13 @@
 
 import csv
 import random
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
 
 from basketry import session
-from basketry.operators import model
+from basketry.operators import intermediate, marts, model, quality
 from basketry.plans import pipeline
 from basketry.sources import files, loader, tables
 
@@ -205,6 +206,30 @@ def test_records_across_splits(spark, tmp_path, bytes_of_a_split):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+def test_types_by_all_records(spark, tmp_path):
+    rows = ["1,1,2020-01-01,x,NA,00012345678901234567,2020-01-01,5", "2,1e3,2020-01-02 10:00:00,1,,1,7,5",
+            "-3,.5,2020-02-03T04:05,2.5,null,2,,9223372036854775807", "NA,7,2020-01-01 00:00:00.123,2020-13-01,nan,3,,1"]
+    (path,) = write(tmp_path, any="a,b,c,d,e,f,g,h\n" + "\n".join(rows) + "\n").copy()
+    raw = files.read_csv(spark, path)
+    want = {"a": "bigint", "b": "double", "c": "timestamp_ntz", "d": "string", "e": "string", "f": "string",
+            "g": "string", "h": "string"}
+    assert {c: t.simpleString() for c, t in files.infer_types(raw).items()} == want
+    assert {c: t.simpleString() for c, t in files.infer_types(raw.repartition(4)).items()} == want
+    table = files.inferred(raw)
+    assert dict(table.dtypes) == want and [r.a for r in table.collect()] == [1, 2, -3, None]
+    assert files.infer_types(raw.limit(0))["a"].simpleString() == "string"
+
+
+def test_other_columns_of_an_upload_are_kept(spark, upload, tmp_path):
+    other = [p for p in upload if "customers" not in p]
+    other += write(tmp_path, more_customers="customer_id,since,city,rating,state\nc1,2020-01-01,x,4.5,sp\nc2,,y,3,rj\n")
+    pipeline.ingest(spark, other, "extra")
+    stored = spark.table(f"{session.resolve_namespace(spark, 'extra')}.customers")
+    assert dict(stored.dtypes) == {"customer_id": "string", "city": "string", "state": "string",
+                                   "since": "timestamp_ntz", "rating": "double"}
+    assert pipeline.load_mart(spark, "fct_customers", "extra").count() == 2
+
+
 def test_another_header_raises(spark, tmp_path):
     folder = tmp_path / "headers"
     folder.mkdir()
@@ -222,12 +247,68 @@ def test_a_failed_upload_keeps_the_earlier_one(spark, upload, tmp_path):
         pipeline.ingest(spark, bad, "kept")
     assert session.resolve_namespace(spark, "kept") == before
     assert spark.table(f"{before}.orders").count() == 60
-    assert pipeline.load_mart(spark, "fct_customers", "kept").count() == 40
     pipeline.ingest(spark, upload, "kept")
     uploads = {d.name for d in spark.catalog.listDatabases()}
     assert session.resolve_namespace(spark, "kept") in uploads and before not in uploads
 
 
+def test_a_lazy_result_outlives_an_upload_until_its_lease_ends(spark, upload, tmp_path, monkeypatch):
+    half = [p for p in upload if "customers" not in p] + write(tmp_path, new_customers="customer_id,city,state\nc1,x,sp\n")
+    pipeline.ingest(spark, upload, "lazy")
+    first = session.resolve_namespace(spark, "lazy")
+    earlier = pipeline.load_mart(spark, "fct_customers", "lazy")
+    pipeline.ingest(spark, half, "lazy")
+    assert earlier.count() == 40 and pipeline.load_mart(spark, "fct_customers", "lazy").count() == 1
+    assert spark.catalog.databaseExists(first)
+    later = session.time.time() + 2 * session.LEASE_SECONDS
+    monkeypatch.setattr(session.time, "time", lambda: later)
+    session.drop_old_versions(spark, "lazy")
+    assert not spark.catalog.databaseExists(first)
+    assert pipeline.load_mart(spark, "fct_customers", "lazy").count() == 1
+
+
+def test_only_views_of_changed_tables_are_made_anew(spark, upload, tmp_path, monkeypatch):
+    pipeline.ingest(spark, upload, "parts")
+    made = []
+    item_agg, customers = intermediate.item_agg, marts.fct_customers
+    monkeypatch.setattr(intermediate, "item_agg", lambda *a: made.append("item_agg") or item_agg(*a))
+    monkeypatch.setattr(marts, "fct_customers", lambda *a: made.append("fct_customers") or customers(*a))
+    changed = [p for p in upload if "reviews" not in p] + write(tmp_path, new_reviews="order_id,review_score\no1,5\no2,1\n")
+    for files_of, session_id in ((changed, "parts"), (changed, "whole")):
+        pipeline.ingest(spark, files_of, session_id)
+        # orders and items are as they were, so their totals are copied
+        assert made == (["fct_customers"] if session_id == "parts" else ["item_agg", "fct_customers"])
+        made.clear()
+    for name in pipeline.MARTS:
+        one, two = (sorted(map(str, pipeline.load_mart(spark, name, s).collect())) for s in ("parts", "whole"))
+        assert one == two, name
+    pipeline.ingest(spark, changed, "parts")
+    assert made == []
+
+
+def test_digests_do_not_depend_on_row_order(spark):
+    df = spark.createDataFrame([("a", None), (None, "a"), ("a", "b"), ("a", "b")], "x string, y string")
+    one = quality.table_digests({"t": df}).first()
+    assert quality.table_digests({"t": df.orderBy("y").repartition(3)}).first() == one
+    for other in (df.distinct(), df.select(F.col("y").alias("x"), F.col("x").alias("y")), df.toDF("x", "z")):
+        assert quality.table_digests({"t": other}).first()[1:] != one[1:]
+    assert quality.table_digests({"t": df.limit(0)}).first().n_rows == 0
+
+
+def test_of_two_uploads_at_once_one_wins(spark, upload):
+    with ThreadPoolExecutor(2) as pool:
+        ended = [pool.submit(pipeline.ingest, spark, upload, "race") for _ in range(2)]
+        failed = [f.exception() for f in ended]
+    assert sorted(type(f) for f in failed if f) == [session.UploadConflict]
+    assert pipeline.load_mart(spark, "fct_customers", "race").count() == 40
+    assert session.version_number(spark, "race") == 1
+    kept = {v for _, v in session._versions(spark, "session_race")}
+    uploads = {d.name for d in spark.catalog.listDatabases() if d.name.startswith("upload_")}
+    assert kept <= uploads
+    pipeline.ingest(spark, upload, "race")
+    assert session.version_number(spark, "race") == 2
+
+
 def test_marketplace_upload(spark, tmp_path):
     paths = write(
         tmp_path,
