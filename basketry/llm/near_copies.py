@@ -1,16 +1,21 @@
 """Near copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-All such pairs are found. In any one order of all shingles, two similar sets share one of their
-first n - ceil(0.8 n) + 1 shingles (prefix filtering), so these are the keys. The order puts the
-shingles that a sample of the texts has often last, which keeps the buckets of keys small but has
-no effect on what is found.
-
-A set's fingerprint has BITS bits, each the parity of the shingles that fall on it. Sets differ in at
-least as many shingles as their fingerprints in bits, so a pair with more differing bits than its
+SimHash comes first: texts whose fingerprints of five-word shingles are equal, or that the pigeonring
+search links, are compared exactly, and those that are similar are one from then on. No number of
+differing SimHash bits finds all pairs of that similarity, so the pairs it leaves apart are searched
+through the shingles themselves, and all are found. In any one order of all shingles, two similar sets
+share one of their first n - ceil(0.8 n) + 1 shingles (prefix filtering), so these are the keys. The order
+puts the shingles that a sample of the texts has often last, which keeps the buckets of keys small but
+has no effect on what is found.
+
+A set has parity bits, BITS of them, each the parity of the shingles that fall on it. Sets differ in at
+least as many shingles as their parities in bits, so a pair with more differing bits than its
 sizes allow is dropped before any text moves. Texts of the other pairs are sent once to a block of
 candidates that hang together, and compared exactly; links are grouped. Buckets of a key that
-hold very many texts are not taken in pairs: all are compared with a few, which connects most, and
-what is left unconnected is looked through by fingerprints, chunk by chunk.
+hold very many texts are not taken in pairs: all are compared with a few, which connects most. Of what
+is left unconnected, texts that by their sizes and the key's places cannot be similar to any other
+group's text in the bucket are done; the rest is looked through by parities, chunk by chunk, but for
+the chunks of a bucket's largest group among themselves.
 """
 
 from __future__ import annotations
@@ -23,8 +28,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketry.llm import simhash
 from basketry.llm.common import join_counted, materialize, release_memory, ship, unused
-from basketry.llm.simhash import components
+from basketry.llm.simhash import components, majority
 from basketry.session import temporary_scratch
 
 ship(__name__)
@@ -42,6 +48,8 @@ BITS = 1024
 # texts that a block of candidates has, about; a task holds one block at a time
 BLOCK_TEXTS = 512
 ROWS_AT_ONCE = 128
+# steps of sizes by which texts are ruled out, as logarithms
+SIZE_STEP = 0.02
 # words of 64 bits that tell which rows are candidates
 MARKS = 1 << 17
 _EPSILON = 1e-9
@@ -285,68 +293,133 @@ def _in_blocks(pairs: DataFrame, block_texts: int) -> DataFrame:
             .join(rooted, "node").select(F.xxhash64("root", part).alias("block"), "lo", "hi"))
 
 
+def _confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, similarity: float, block_texts: int) -> DataFrame:
+    """a, b: of the pairs lo, hi enough similar ones to connect all that are similar."""
+    pairs = pairs.groupBy("lo", "hi").agg(F.max("mover_is_hi").alias("mover_is_hi"))
+    pairs = materialize(_close_fingerprints(pairs, classes, similarity))
+    work = materialize(_in_blocks(pairs, block_texts))
+    members = work.select("block", F.col("lo").alias("node")).unionByName(
+        work.select("block", F.col("hi").alias("node"))).distinct().withColumn("root", F.lit(0).cast("bigint"))
+    return materialize(_compare_blocks(docs, classes, members, work, similarity))
+
+
+def _ordered(x: str, y: str):
+    """A pair's lo, hi and mover_is_hi, where y is the one that moves."""
+    return (F.least(x, y).alias("lo"), F.greatest(x, y).alias("hi"), (F.col(y) > F.col(x)).alias("mover_is_hi"))
+
+
+def simhash_pairs(classes: DataFrame) -> DataFrame:
+    """lo, hi: classes (node, fp) whose SimHash fingerprints are equal or linked by the pigeonring search."""
+    prints = materialize(classes.groupBy("fp").agg(F.min("node").alias("least"), F.count("*").alias("n_equal")))
+    equal = join_counted(classes.select("fp", "node"), prints.filter("n_equal > 1"), ["fp"], "n_equal")
+    of = prints.select("fp", "least")
+    linked = simhash.links(prints.select("fp")).join(of.toDF("a", "x"), "a").join(of.toDF("b", "y"), "b")
+    return (equal.filter("node <> least").select(*_ordered("least", "node"))
+            .unionByName(linked.select(*_ordered("x", "y"))))
+
+
+def _by_members(large: DataFrame) -> DataFrame:
+    """bucket, node, n, root, cap, size: of buckets of keys with the same members one, with their largest caps."""
+    of = large.groupBy("key").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("node")).alias("x"))
+    same = of.groupBy("size", "x").agg(F.min("key").alias("bucket"))
+    named = materialize(of.join(same, ["size", "x"]).select("key", "bucket", "size"))
+    return join_counted(large, named, ["key"], "size").groupBy("bucket", "node").agg(
+        F.first("n").alias("n"), F.first("root").alias("root"), F.max("cap").alias("cap"), F.first("size").alias("size"))
+
+
+def _unsettled(rooted: DataFrame, similarity: float) -> DataFrame:
+    """Those of bucket, node, n, cap, root that may be similar to one of another root in their bucket.
+
+    At most `cap` shingles are common, so the other has at most `reach`; texts of about one size are
+    taken together.
+    """
+    rows = rooted.withColumn("reach", F.col("cap") * F.lit((1 + similarity) / similarity) - F.col("n") + F.lit(1e-6))
+    step = F.floor(F.log("n") / F.lit(SIZE_STEP))
+    steps = rows.groupBy(F.col("bucket").alias("of"), step.alias("step")).agg(
+        F.min("n").alias("least_n"), F.max("reach").alias("most_reach"), F.min("root").alias("r1"), F.max("root").alias("r2"))
+    possible = ((F.col("bucket") == F.col("of")) & (F.col("least_n") <= F.col("reach")) & (F.col("n") <= F.col("most_reach"))
+                & ((F.col("r1") != F.col("root")) | (F.col("r2") != F.col("root"))))
+    return rows.join(steps, possible, "left_semi").select("bucket", "node", "root")
+
+
+def _chunk_pairs(rooted: DataFrame, block_texts: int) -> DataFrame:
+    """block, node, root: each two chunks of a bucket meet in a block, unless both are of its largest root."""
+    roots = rooted.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+    most = materialize(roots.groupBy("bucket").agg(
+        F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("n_main"), F.sum("n").alias("size"))
+        .filter("size > n_main"))
+    half = F.lit(block_texts / 2)
+    is_main = F.col("root") == F.col("main")
+    h = F.xxhash64("node")
+    return (join_counted(rooted, most, ["bucket"], "size")
+            .withColumn("others", F.ceil((F.col("size") - F.col("n_main")) / half).cast("int"))
+            .withColumn("mains", F.ceil(F.col("n_main") / half).cast("int"))
+            .withColumn("mine", F.when(is_main, F.col("others") + F.pmod(h, F.col("mains")))
+                        .otherwise(F.pmod(h, F.col("others"))).cast("int"))
+            .withColumn("other", F.explode(F.sequence(
+                F.lit(0), F.col("others") - 1 + F.when(is_main, F.lit(0)).otherwise(F.col("mains")))))
+            .select(F.xxhash64("bucket", F.least("mine", "other"), F.greatest("mine", "other")).alias("block"),
+                    "node", "root"))
+
+
 def links(docs: DataFrame, classes: DataFrame, similarity: float = SIMILARITY, pairs_up_to: int = PAIRS_UP_TO,
           block_texts: int = BLOCK_TEXTS) -> DataFrame:
     """a, b: links between nodes that connect all similar ones.
 
-    `docs` has row and text; `classes` node, n, prefix, bits, and in `first` the row that has its text.
+    `docs` has row and text; `classes` node, n, prefix, bits, fp, and in `first` the row that has its text.
     """
+    by_simhash = _confirmed(docs, classes, simhash_pairs(classes), similarity, block_texts)
+    joined = materialize(components(by_simhash))
+
     def unpack(batches):
         for whole in batches:
             # few at a time, as each has many keys
             for at in range(0, whole.num_rows, ROWS_AT_ONCE):
                 batch = whole.slice(at, ROWS_AT_ONCE)
-                blobs = [np.frombuffer(x, np.int32) for x in batch.column(2).to_pylist()]
+                blobs = [np.frombuffer(x, np.int32) for x in batch.column(3).to_pylist()]
                 sizes = [len(x) for x in blobs]
                 which = pa.array(np.repeat(np.arange(len(blobs)), sizes))
                 place = np.concatenate([np.arange(k) for k in sizes]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(blobs)), batch.column(0).take(which), batch.column(1).take(which),
-                     pa.array(place)], ["key", "node", "n", "place"])
+                    [pa.array(np.concatenate(blobs)), *(batch.column(i).take(which) for i in range(3)),
+                     pa.array(place)], ["key", "node", "root", "n", "place"])
         release_memory()
 
-    keys = classes.select("node", "n", "prefix").mapInArrow(unpack, "key int, node bigint, n int, place int")
+    keys = (classes.select("node", "n", "prefix").join(joined, "node", "left")
+            .select("node", F.coalesce("root", "node").alias("root"), "n", "prefix")
+            .mapInArrow(unpack, "key int, node bigint, root bigint, n int, place int"))
     sizes = materialize(keys.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"))
-    shared = materialize(join_counted(keys, sizes, ["key"], "size"))
-    small = shared.filter(F.col("size") <= pairs_up_to).drop("size")
-    large = shared.filter(F.col("size") > pairs_up_to).select("key", "node", "n")
     # a common shingle and those after it in both sets are all that a pair's first one leaves
-    close = _enough(F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2")),
-                    F.col("n"), F.col("n2"), similarity)
-    pairs = (small.join(small.toDF("key", "node2", "n2", "place2"), "key")
-             .filter("node < node2").filter(close)
+    shared = materialize(join_counted(keys, sizes, ["key"], "size").withColumn("cap", F.col("n") - F.col("place")))
+    small = shared.filter(F.col("size") <= pairs_up_to).select("key", "node", "root", "n", "cap")
+    pairs = (small.join(small.toDF("key", "node2", "root2", "n2", "cap2"), "key")
+             .filter("node < node2 and root <> root2")
+             .filter(_enough(F.least("cap", "cap2"), F.col("n"), F.col("n2"), similarity))
              .select(F.col("node").alias("lo"), F.col("node2").alias("hi"), F.lit(False).alias("mover_is_hi")))
     # large buckets: all with a few first, which connects most of a group of near copies
-    few = large.groupBy("key").agg(F.array_distinct(F.array(
-        F.min("node"), F.max("node"), F.min(F.struct("n", "node"))["node"],
-        F.min(F.struct(F.xxhash64("node"), "node"))["node"])).alias("few"), F.count("*").alias("size"))
-    stars = (join_counted(large, few, ["key"], "size").select("node", F.explode("few").alias("other"))
-             .filter("node <> other")
-             .select(F.least("node", "other").alias("lo"), F.greatest("node", "other").alias("hi"),
-                     (F.col("node") > F.col("other")).alias("mover_is_hi")))
-    pairs = pairs.unionByName(stars).groupBy("lo", "hi").agg(F.max("mover_is_hi").alias("mover_is_hi"))
-    pairs = materialize(_close_fingerprints(pairs, classes, similarity))
-    work = materialize(_in_blocks(pairs, block_texts))
-    members = work.select("block", F.col("lo").alias("node")).unionByName(
-        work.select("block", F.col("hi").alias("node"))).distinct().withColumn("root", F.lit(0).cast("bigint"))
-    found = materialize(_compare_blocks(docs, classes, members, work, similarity))
-
-    rooted = (large.select("key", "node").join(components(found), "node", "left")
-              .select("key", "node", F.coalesce("root", "node").alias("root")))
-    # buckets that are connected already, and all but one of those with the same sets, are done
-    open_keys = (rooted.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2"),
-                                           F.count("*").alias("size"), F.bit_xor(F.xxhash64("node")).alias("x"))
-                 .filter("r1 <> r2").groupBy("size", "x").agg(F.min("key").alias("key")).select("key", "size"))
-    open_keys = materialize(open_keys)
-    if open_keys.isEmpty():
+    large = materialize(_by_members(materialize(
+        shared.filter(F.col("size") > pairs_up_to).groupBy("key", "node").agg(
+            F.first("n").alias("n"), F.first("root").alias("root"), F.max("cap").alias("cap")))))
+    me = F.struct("node", "root", "n", "cap")
+    few = materialize(large.groupBy("bucket").agg(F.array_distinct(F.array(
+        F.max_by(me, F.struct(F.col("cap") / F.col("n"), "node")), F.min_by(me, F.struct("n", "node")),
+        F.min_by(me, "node"), F.min_by(me, F.struct(F.xxhash64("node"), "node")))).alias("few"),
+        F.count("*").alias("size")))
+    possible = F.filter("few", lambda f: (f["root"] != F.col("root")) & _enough(
+        F.least(F.col("cap"), f["cap"]), F.col("n"), f["n"], similarity))
+    stars = (join_counted(large.drop("size"), few, ["bucket"], "size")
+             .select("node", F.explode(F.transform(possible, lambda f: f["node"])).alias("other"))
+             .select(*_ordered("other", "node")))
+    found = _confirmed(docs, classes, pairs.unionByName(stars), similarity, block_texts)
+
+    found = materialize(found.unionByName(by_simhash))
+    rooted = materialize(large.drop("root", "size").join(components(found), "node", "left")
+                         .withColumn("root", F.coalesce("root", "node")))
+    # what is left of the buckets is cut into chunks that meet in blocks
+    rest = materialize(_unsettled(rooted, similarity))
+    if rest.isEmpty():
         return found
-    # the others are cut into chunks, and each two chunks meet in a block
-    chunks = F.ceil(2 * F.col("size") / F.lit(float(block_texts))).cast("int")
-    rest = join_counted(rooted, open_keys, ["key"], "size").withColumn("chunks", chunks).withColumn(
-        "mine", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-    blocks = rest.withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)"))).select(
-        F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("block"), "node", "root")
-    still_open = materialize(_open_members(blocks, classes, similarity))
+    still_open = materialize(_open_members(_chunk_pairs(rest, block_texts), classes, similarity))
     return materialize(found.unionByName(_compare_blocks(docs, classes, still_open, None, similarity)).distinct())
 
 
@@ -368,7 +441,7 @@ def keep_first(docs: DataFrame, similarity: float = SIMILARITY, pairs_up_to: int
     def describe(batches):
         often, counts = shared.value
         for batch in batches:
-            nodes, sizes, blobs, prints = [], [], [], []
+            nodes, sizes, blobs, prints, fps = [], [], [], [], []
             for x in batch.column(3):
                 found = shingles(x.as_py())
                 nodes.append(_node(found))
@@ -377,18 +450,20 @@ def keep_first(docs: DataFrame, similarity: float = SIMILARITY, pairs_up_to: int
                 # 32 bits are enough for keys: buckets that fall together only give more candidates
                 blobs.append((first & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes())
                 prints.append(fingerprint(found))
+                fps.append(majority(found))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:3], pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()),
-                 pa.array(blobs, pa.binary()), pa.array(prints, pa.binary())],
-                ["doc_id", "key", "row", "node", "n", "prefix", "bits"])
+                 pa.array(blobs, pa.binary()), pa.array(prints, pa.binary()),
+                 pa.array(np.array(fps, dtype=np.uint64).view(np.int64))],
+                ["doc_id", "key", "row", "node", "n", "prefix", "bits", "fp"])
         release_memory()
 
     kinds = ", ".join(f"{c} {carried.schema[c].dataType.simpleString()}" for c in carried.columns[:3])
-    described = carried.mapInArrow(describe, f"{kinds}, node bigint, n int, prefix binary, bits binary")
+    described = carried.mapInArrow(describe, f"{kinds}, node bigint, n int, prefix binary, bits binary, fp bigint")
     with temporary_scratch(docs.sparkSession):
         classes = materialize(described.groupBy("node").agg(
             F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row", "key")).alias("first"),
-            F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits")))
+            F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"), F.first("fp").alias("fp")))
         roots = components(links(carried, classes, similarity, pairs_up_to, block_texts))
         first = materialize(
             classes.select("node", "first").join(roots, "node", "left")

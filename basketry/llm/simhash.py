@@ -40,7 +40,11 @@ def simhash(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
     else:
         shingles = map(b" ".join, zip(*(words[i:] for i in range(shingle))))
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(s, seed) for s in shingles], dtype=np.uint64)
+    return majority(np.array([digest(s, seed) for s in shingles], dtype=np.uint64))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that more than half of the hashes have."""
     ones = np.zeros(64, dtype=np.int64)
     for at in range(0, len(hashes), 1 << 16):
         part = hashes[at:at + (1 << 16)].astype(">u8").view(np.uint8).reshape(-1, 8)

@@ -120,3 +120,33 @@ def test_no_rows_and_rows_without_id(spark):
     assert near_copies.keep_first(docs.limit(0)).collect() == []
     rows = docs.sparkSession.createDataFrame([(None, "x y", "n"), (None, "x y", "n"), (4, "X y", "n")], docs.schema)
     assert [r.doc_id for r in near_copies.keep_first(rows).collect()] == [4]
+
+
+def test_simhash_pairs_are_the_first_candidates(spark):
+    """Fingerprints that are equal or two bits apart are candidates; of the others none, if they are far."""
+    classes = spark.createDataFrame([(1, 0), (2, 0), (3, 3), (4, -1), (5, 0x0F0F0F0F0F0F0F0F)], "node bigint, fp bigint")
+    found = {(r.lo, r.hi) for r in near_copies.simhash_pairs(classes).collect()}
+    assert found == {(1, 2), (1, 3)}
+
+
+def test_few_outsiders_do_not_send_a_group_to_itself(spark):
+    """Of a bucket with one large group and ten others, a row of the group goes to the others' chunks only."""
+    rows = [(7, i, 0 if i < 400 else i) for i in range(410)]
+    rooted = spark.createDataFrame(rows, "bucket bigint, node bigint, root bigint")
+    blocks = near_copies._chunk_pairs(rooted, 40).collect()
+    assert len(blocks) == 400 + 10 * 21
+    together = {}
+    for r in blocks:
+        together.setdefault(r.block, set()).add(r.node)
+    pairs = {(a, b) for nodes in together.values() for a in nodes for b in nodes}
+    assert {(a, b) for a in range(410) for b in range(400, 410)} <= pairs
+
+
+def test_texts_without_a_possible_partner_are_settled(spark):
+    rows = [(1, i, 100, 85, i) for i in range(5)] + [(1, 9, 80, 80, 9), (2, 1, 100, 100, 1), (2, 2, 100, 100, 1)]
+    rooted = spark.createDataFrame(rows, "bucket bigint, node bigint, n int, cap int, root bigint")
+    # 85 of 100 in common are too few for two texts of 100 words, enough for one of 80 and one of 100
+    assert {(r.bucket, r.node) for r in near_copies._unsettled(rooted, 0.8).collect()} == {
+        *((1, i) for i in range(5)), (1, 9)}
+    alone = rooted.filter("bucket = 1 and n = 100")
+    assert near_copies._unsettled(alone, 0.8).collect() == []
