@@ -4,13 +4,15 @@ Texts are cut into blocks of about BLOCK_CHARS characters. A block keeps, per te
 positions of its pre-tokens as numbers into the block's own list of distinct words; only that
 list is exploded and shuffled, by word. Each distinct word of the corpus is then encoded once,
 the ids go back to the blocks that hold the word, and each text is put together by position. A
-word that is frequent everywhere is sent once per block, not once per use.
+word that is frequent everywhere is sent once per block, not once per use. A block's words go in
+at most MOST_PARTS rows, so rows grow with the input and not with its square.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import re
 import zlib
 from collections.abc import Iterable, Iterator
@@ -29,8 +31,11 @@ ship(__name__)
 BLOCK_CHARS = 8_000_000
 # texts in a row of a block
 ROW_TEXTS = 256
-# parts of the words per shuffle partition, so that partitions come out even
+# parts of the words per shuffle partition, so that partitions come out even, and in all
 PARTS_EACH = 4
+MOST_PARTS = 1024
+# rows of words handled at a time
+ROWS_AT_ONCE = 256
 # words whose ids a task remembers at a time
 REMEMBERED = 2_000_000
 _TWO_SPACES = re.compile(r"\s\s")
@@ -54,8 +59,8 @@ def _unpack(data: bytes) -> bytes:
     return pa.decompress(data[8:], size, codec="zstd", asbytes=True) if size else b""
 
 
-def pack_numbers(values: np.ndarray) -> bytes:
-    """Non-negative numbers in seven bits a byte, low bits first, compressed."""
+def _digits(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Non-negative numbers in seven bits a byte, low bits first, and how many bytes each takes."""
     rest = values.astype(np.uint64)
     digits, more = [], []
     while True:
@@ -66,11 +71,10 @@ def pack_numbers(values: np.ndarray) -> bytes:
             break
     table = np.stack([d | (m.astype(np.uint8) << 7) for d, m in zip(digits, more)], axis=1)
     used = np.stack([np.ones(len(values), bool), *more[:-1]], axis=1)
-    return _pack(table[used].tobytes())
+    return table[used], used.sum(axis=1)
 
 
-def unpack_numbers(data: bytes) -> np.ndarray:
-    digits = np.frombuffer(_unpack(data), dtype=np.uint8)
+def _numbers(digits: np.ndarray) -> np.ndarray:
     last = np.flatnonzero(digits < 128)
     first = np.concatenate([[0], last[:-1] + 1]) if len(last) else last
     length = last - first + 1
@@ -81,6 +85,36 @@ def unpack_numbers(data: bytes) -> np.ndarray:
     return values
 
 
+def pack_numbers(values: np.ndarray) -> bytes:
+    """Non-negative numbers in seven bits a byte, low bits first, compressed."""
+    return _pack(_digits(values)[0].tobytes())
+
+
+def unpack_numbers(data: bytes) -> np.ndarray:
+    return _numbers(np.frombuffer(_unpack(data), dtype=np.uint8))
+
+
+def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of the first counts[0] values, of the counts[1] after them, and so on."""
+    before = np.concatenate([[0], np.cumsum(values)])
+    ends = np.cumsum(counts)
+    return before[ends] - before[ends - counts]
+
+
+def pack_lists(values: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    """`pack_numbers` of each list of numbers; the lists, of `counts` numbers, lie one after the other."""
+    digits, sizes = _digits(values)
+    return [_pack(x) for x in _slices(digits.tobytes(), _sums(sizes, counts).tolist())]
+
+
+def unpack_lists(packed: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all lists, one after the other, and how many each has."""
+    lists = [np.frombuffer(_unpack(x), dtype=np.uint8) for x in packed]
+    digits = np.concatenate([np.zeros(0, dtype=np.uint8), *lists])
+    counts = _sums(digits < 128, np.array([len(x) for x in lists], dtype=np.int64))
+    return _numbers(digits), counts
+
+
 def _slices(data: bytes, sizes: Iterable[int]) -> list[bytes]:
     out, at = [], 0
     for size in sizes:
@@ -131,34 +165,42 @@ class _Block:
         place[by_use] = np.arange(len(by_use), dtype=np.uint32)
         for at in range(0, len(self.ids), ROW_TEXTS):
             texts = self.texts[at:at + ROW_TEXTS]
-            yield self._row(block, id_type, doc_ids=self.ids[at:at + ROW_TEXTS],
-                            sizes=[len(t) for t in texts],
-                            codes=pack_numbers(place[np.concatenate(texts)]))
+            yield self._rows(block, id_type, doc_ids=[self.ids[at:at + ROW_TEXTS]],
+                             sizes=[[len(t) for t in texts]],
+                             codes=[pack_numbers(place[np.concatenate(texts)])])
         listed = [w.encode() for w in self.words]
         part = np.array([zlib.crc32(w) % parts for w in listed], dtype=np.int64)[by_use]
         order = np.argsort(part, kind="stable")
-        for members in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
-            if len(members):
-                words = [listed[by_use[k]] for k in members]
-                yield self._row(block, id_type, part=int(part[members[0]]),
-                                numbers=pack_numbers(np.diff(members, prepend=0)),
-                                lengths=pack_numbers(np.array([len(w) for w in words])),
-                                words=_pack(b"".join(words)))
+        found, counts = np.unique(part, return_counts=True)
+        ends = np.cumsum(counts)
+        for at in range(0, len(found), ROWS_AT_ONCE):
+            some = slice(at, at + ROWS_AT_ONCE)
+            members = order[ends[at] - counts[at]:ends[some][-1]]
+            steps = np.diff(members, prepend=0)
+            starts = np.cumsum(counts[some]) - counts[some]
+            steps[starts] = members[starts]
+            words = [listed[k] for k in by_use[members].tolist()]
+            lengths = np.array([len(w) for w in words])
+            yield self._rows(block, id_type, part=found[some],
+                             numbers=pack_lists(steps, counts[some]),
+                             lengths=pack_lists(lengths, counts[some]),
+                             words=[_pack(x) for x in _slices(b"".join(words), _sums(lengths, counts[some]).tolist())])
         pa.default_memory_pool().release_unused()
 
     @staticmethod
-    def _row(block: int, id_type: pa.DataType, **values) -> pa.RecordBatch:
+    def _rows(block: int, id_type: pa.DataType, **values) -> pa.RecordBatch:
         types = {"block": pa.int64(), "doc_ids": pa.list_(id_type), "sizes": pa.list_(pa.int64()),
                  "codes": pa.binary(), "part": pa.int32(), "numbers": pa.binary(),
                  "lengths": pa.binary(), "words": pa.binary()}
-        row = {"block": block} | values
+        n = len(next(iter(values.values())))
+        rows = {"block": [block] * n} | values
         return pa.RecordBatch.from_arrays(
-            [pa.array([row.get(c)], t) for c, t in types.items()], list(types))
+            [pa.array(rows.get(c, [None] * n), t) for c, t in types.items()], list(types))
 
 
 def pre_tokens(docs: DataFrame, pattern: str, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Blocks of texts: rows with texts as numbers of words, and rows with words of one part."""
-    parts = PARTS_EACH * shuffle_partitions(docs.sparkSession)
+    parts = min(PARTS_EACH * shuffle_partitions(docs.sparkSession), MOST_PARTS)
 
     def cut(batches):
         compiled = regex.compile(pattern)
@@ -203,23 +245,28 @@ def encode_words(words: DataFrame, ranks) -> DataFrame:
         whole = tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=ranks.value,
                                   special_tokens={})
         known: dict[bytes, list[int]] = {}
-        for batch in batches:
-            for row in batch.to_pylist():
+        for whole_batch in batches:
+            for at in range(0, whole_batch.num_rows, ROWS_AT_ONCE):
+                batch = whole_batch.slice(at, ROWS_AT_ONCE)
+                sizes, counts = unpack_lists(batch.column("lengths").to_pylist())
                 found = []
-                for word in _slices(_unpack(row["words"]), unpack_numbers(row["lengths"]).tolist()):
+                for word in _slices(b"".join(map(_unpack, batch.column("words").to_pylist())), sizes.tolist()):
                     ids = known.get(word)
                     if ids is None:
                         if len(known) >= REMEMBERED:
                             known.clear()
                         ids = known[word] = whole.encode_ordinary(word.decode())
                     found.append(ids)
+                lengths = np.fromiter(map(len, found), np.int64, len(found))
+                ids = np.fromiter(itertools.chain.from_iterable(found), np.int64, int(lengths.sum()))
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([row["block"]], pa.int64()), pa.array([row["numbers"]], pa.binary()),
-                    pa.array([pack_numbers(np.array([len(x) for x in found]))], pa.binary()),
-                    pa.array([pack_numbers(np.array([k for x in found for k in x]))], pa.binary())],
+                    batch.column("block"), batch.column("numbers"),
+                    pa.array(pack_lists(lengths, counts), pa.binary()),
+                    pa.array(pack_lists(ids, _sums(lengths, counts)), pa.binary())],
                     ["block", "numbers", "lengths", "ids"])
 
-    return (words.repartition(shuffle_partitions(words.sparkSession), "part")
+    partitions = min(shuffle_partitions(words.sparkSession), MOST_PARTS)
+    return (words.repartition(partitions, "part")
             .mapInArrow(encode, "block bigint, numbers binary, lengths binary, ids binary"))
 
 
@@ -239,10 +286,12 @@ def reassemble(blocks: DataFrame, coded: DataFrame, make, columns: str) -> DataF
     def put(texts: pa.Table, words: pa.Table) -> pa.Table:
         finish = make()
         texts = texts.filter(pc.is_valid(texts["doc_ids"]))
-        none = [np.zeros(0, dtype=np.int64)]
-        numbers = np.concatenate([np.cumsum(unpack_numbers(x)) for x in words["numbers"].to_pylist()] or none)
-        lengths = np.concatenate([unpack_numbers(x) for x in words["lengths"].to_pylist()] or none)
-        ids = np.concatenate([unpack_numbers(x) for x in words["ids"].to_pylist()] or none).astype("<u4")
+        steps, counts = unpack_lists(words["numbers"].to_pylist())
+        # numbers are sums of the steps of their list
+        totals = _sums(steps, counts)
+        numbers = np.cumsum(steps) - np.repeat(np.cumsum(totals) - totals, counts)
+        lengths = unpack_lists(words["lengths"].to_pylist())[0]
+        ids = unpack_lists(words["ids"].to_pylist())[0].astype("<u4")
         length, start = np.zeros((2, len(numbers)), dtype=np.int64)
         length[numbers] = lengths
         start[numbers] = np.cumsum(lengths) - lengths

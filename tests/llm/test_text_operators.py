@@ -66,6 +66,32 @@ def test_numbers_are_packed_without_loss():
         assert bpe.unpack_numbers(bpe.pack_numbers(np.array(values, dtype=np.int64))).tolist() == values
 
 
+def test_lists_of_numbers_are_packed_without_loss():
+    lists = [[], [0, 300], [], [2**40], list(range(500)), []]
+    values, counts = bpe.unpack_lists(bpe.pack_lists(
+        np.array([x for each in lists for x in each]), np.array([len(each) for each in lists])))
+    assert values.tolist() == [x for each in lists for x in each]
+    assert counts.tolist() == [len(each) for each in lists]
+    assert [x.tolist() for x in bpe.unpack_lists([])] == [[], []]
+
+
+@pytest.mark.parametrize("partitions", [400, 4000])
+def test_rows_of_a_block_do_not_grow_with_the_partitions(spark, partitions):
+    """A larger input has more blocks and more partitions; rows for each of both would grow with its square."""
+    text = " ".join(f"w{i}" for i in range(9000))
+    docs = frame(spark, [text, text]).repartition(1)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        rows = bpe.pre_tokens(docs, public_tokenizers.PATTERN).filter("part is not null")
+        counted = rows.groupBy("part").count().toPandas()
+        words = sum(len(bpe.unpack_numbers(r.lengths)) for r in rows.select("lengths").collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert 1000 < len(counted) <= 1024 and counted["count"].max() == 1
+    assert words == len(set(__import__("regex").findall(public_tokenizers.PATTERN, text)))
+
+
 @pytest.mark.parametrize("vocabulary", [
     None,
     [("a", -1.0), ("b", -1.0), ("ab", -2.0), ("ba", -2.0), ("aba", -3.0), ("bb", -2.5), ("▁", -1.0), ("▁a", -2.0)],
