@@ -8,9 +8,10 @@ share one of their first n - ceil(0.8 n) + 1 shingles (prefix filtering), so the
 puts the shingles that a sample of the texts has often last, which keeps the buckets of keys small but
 has no effect on what is found.
 
-A set has parity bits, BITS of them, each the parity of the shingles that fall on it. Sets differ in at
+A set has parity bits, each the parity of the shingles that fall on it. Sets differ in at
 least as many shingles as their parities in bits, so a pair with more differing bits than its
-sizes allow is dropped before any text moves. Texts of the other pairs are sent once to a block of
+sizes allow is dropped before any text moves. There are BITS of them, and for longer sets as many as
+shingles or more: half of the bits of any two long sets differ, which must be more than their sizes allow. Texts of the other pairs are sent once to a block of
 candidates that hang together, and compared exactly; links are grouped. Buckets of a key that
 hold very many texts are not taken in pairs: all are compared with a few, which connects most. Of what
 is left unconnected, texts that by their sizes and the key's places cannot be similar to any other
@@ -43,8 +44,9 @@ SAMPLE = 4000
 OFTEN = 4
 # In buckets with more texts than this, all are compared with a few first, not in pairs.
 PAIRS_UP_TO = 32
-# bits of a fingerprint
+# bits of a fingerprint, at least and at most
 BITS = 1024
+MOST_BITS = 1 << 17
 # texts that a block of candidates has, about; a task holds one block at a time
 BLOCK_TEXTS = 512
 ROWS_AT_ONCE = 128
@@ -113,25 +115,66 @@ def fingerprint(found: np.ndarray, bits: int = BITS) -> bytes:
     return np.packbits((np.bincount(found & np.uint64(bits - 1), minlength=bits) & 1).astype(np.uint8)).tobytes()
 
 
+def bits_for(n: int) -> int:
+    """Bits of the fingerprint of a set of n shingles, a power of two."""
+    return min(max(BITS, 1 << max(0, n - 1).bit_length()), MOST_BITS)
+
+
+def folded(print_: bytes, size: int) -> bytes:
+    """The fingerprint of `size` bytes of the set that has this one, which is as long or longer."""
+    if len(print_) == size:
+        return print_
+    return np.bitwise_xor.reduce(np.frombuffer(print_, np.uint64).reshape(-1, size // 8), axis=0).tobytes()
+
+
 def most_differences(n_a, n_b, similarity: float = SIMILARITY):
     """Shingles that only one of two similar sets has, at most."""
     return (n_a + n_b) * (1 - similarity) / (1 + similarity) + _EPSILON
 
 
-def _bits(column: pa.Array) -> np.ndarray:
-    """Fingerprints as rows of 64-bit words."""
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), -1)
+def _rows(prints: list[bytes], size: int) -> np.ndarray:
+    """Fingerprints, folded to `size` bytes, as rows of 64-bit words."""
+    return np.frombuffer(b"".join(folded(x, size) for x in prints), np.uint64).reshape(len(prints), -1)
+
 
+def _differing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
 
-def close_rows(bits: np.ndarray, n: np.ndarray, roots: np.ndarray, similarity: float = SIMILARITY):
+
+def near_pairs(x: list[bytes], y: list[bytes], n_x: np.ndarray, n_y: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
+    """Whether x[k] and y[k] allow that their sets, of n_x[k] and n_y[k] shingles, are similar."""
+    most = most_differences(n_x, n_y, similarity)
+    near = _differing(_rows(x, BITS // 8), _rows(y, BITS // 8)) <= most
+    # the bits that both have are read only where fewer of them do not rule out the pair
+    sizes = np.minimum([len(p) for p in x], [len(p) for p in y])
+    for size in np.unique(sizes[near & (sizes > BITS // 8)]).tolist():
+        at = np.flatnonzero(near & (sizes == size))
+        near[at] = _differing(_rows([x[k] for k in at], size), _rows([y[k] for k in at], size)) <= most[at]
+    return near
+
+
+def close_rows(prints: list[bytes], n: np.ndarray, roots: np.ndarray, similarity: float = SIMILARITY):
     """(i, rows j > i with another root that sizes and fingerprints allow to be similar to i), where there are any."""
+    length = np.array([len(p) for p in prints])
+    # by size: the fingerprints that have so many bytes or more, and the places of rows among them
+    levels = {}
+    for size in {BITS // 8, *length.tolist()}:
+        long = length >= size
+        levels[size] = _rows([prints[k] for k in np.flatnonzero(long)], size), np.cumsum(long) - 1
     for i in range(len(n) - 1):
         rest = slice(i + 1, None)
         near = (roots[rest] != roots[i]) & (np.minimum(n[rest], n[i]) >= similarity * np.maximum(n[rest], n[i]) - _EPSILON)
         at = np.flatnonzero(near) + i + 1
-        if len(at):
-            differ = np.bitwise_count(bits[at] ^ bits[i]).sum(axis=1, dtype=np.int64)
-            at = at[differ <= most_differences(n[at], n[i], similarity)]
+        if not len(at):
+            continue
+        most = most_differences(n[at], n[i], similarity)
+        both = np.minimum(length[at], length[i])
+        for size in sorted({BITS // 8, *both.tolist()}):
+            bits, place = levels[size]
+            asked = np.flatnonzero((both == size) | (size == BITS // 8))
+            keep = np.ones(len(at), dtype=bool)
+            keep[asked] = _differing(bits[place[at[asked]]], bits[place[i]]) <= most[asked]
+            at, most, both = at[keep], most[keep], both[keep]
         if len(at):
             yield i, at
 
@@ -142,7 +185,7 @@ def _open_members(blocks: DataFrame, classes: DataFrame, similarity: float) -> D
         table = pa.Table.from_batches(held).combine_chunks()
         roots = table["root"].to_numpy()
         keep = np.zeros(len(roots), dtype=bool)
-        for i, at in close_rows(_bits(table["bits"].chunk(0)), table["n"].to_numpy(), roots, similarity):
+        for i, at in close_rows(table["bits"].to_pylist(), table["n"].to_numpy(), roots, similarity):
             keep[i] = keep[at] = True
         kept = table.select(["block", "node", "root"]).filter(pa.array(keep)).combine_chunks().to_batches()
         return kept[0] if kept else pa.RecordBatch.from_pylist([], schema=table.select(["block", "node", "root"]).schema)
@@ -172,10 +215,8 @@ def _close_fingerprints(pairs: DataFrame, classes: DataFrame, similarity: float)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x, y = _bits(batch.column("x")), _bits(batch.column("y"))
-            differ = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
-            n = [batch.column(c).to_numpy() for c in ("n_x", "n_y")]
-            near = differ <= most_differences(*n, similarity)
+            prints = [batch.column(c).to_pylist() for c in ("x", "y")]
+            near = near_pairs(*prints, *(batch.column(c).to_numpy() for c in ("n_x", "n_y")), similarity)
             yield batch.select(["lo", "hi", "mover_is_hi"]).filter(pa.array(near, pa.bool_()))
 
     of = classes.select("node", "n", "bits")
@@ -251,8 +292,8 @@ def _compare_blocks(docs: DataFrame, classes: DataFrame, members: DataFrame, pai
         def all_members() -> pa.RecordBatch:
             nodes, out = list(sets), []
             n = np.array([len(sets[x]) for x in nodes])
-            bits = np.stack([np.frombuffer(fingerprint(sets[x]), np.uint64) for x in nodes])
-            for i, at in close_rows(bits, n, np.array([roots[x] for x in nodes]), similarity):
+            prints = [fingerprint(sets[x], bits_for(len(sets[x]))) for x in nodes]
+            for i, at in close_rows(prints, n, np.array([roots[x] for x in nodes]), similarity):
                 for k in at:
                     connect(nodes[i], nodes[k], roots[nodes[i]], roots[nodes[k]], out)
             return linked(out)
@@ -449,7 +490,7 @@ def keep_first(docs: DataFrame, similarity: float = SIMILARITY, pairs_up_to: int
                 first = in_order(found, often, counts)[:prefix_length(len(found), similarity)]
                 # 32 bits are enough for keys: buckets that fall together only give more candidates
                 blobs.append((first & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes())
-                prints.append(fingerprint(found))
+                prints.append(fingerprint(found, bits_for(len(found))))
                 fps.append(majority(found))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:3], pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()),

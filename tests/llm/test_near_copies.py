@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -115,6 +116,27 @@ def test_fingerprints_reject_no_similar_sets():
             assert differ <= near_copies.most_differences(len(a), len(b))
 
 
+def test_long_texts_are_ruled_out_without_their_shingles():
+    """Of sets of thousands of shingles unlike ones are told apart, similar ones of other lengths are not."""
+    rng = np.random.default_rng(4)
+    draw = lambda n: np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+    base = draw(8300)
+    sets = [draw(n) for n in (6000, 5500, 5000, 4500, 4000, 2000, 200)] + [
+        base, base[:8000], base[150:], np.union1d(base[:7800], draw(300))]
+    prints = [near_copies.fingerprint(x, near_copies.bits_for(len(x))) for x in sets]
+    assert len({len(p) for p in prints}) == 5
+    assert near_copies.folded(prints[0], 128) == near_copies.fingerprint(sets[0])
+    n = np.array([len(x) for x in sets])
+    close = {(i, int(j)) for i, at in near_copies.close_rows(prints, n, np.arange(len(sets))) for j in at}
+    assert close == {(i, j) for i in range(7, 11) for j in range(i + 1, 11)}
+    pairs = [(i, j) for i in range(11) for j in range(i) if min(n[i], n[j]) >= 0.8 * max(n[i], n[j])]
+    assert (1, 0) in pairs and (5, 4) not in pairs
+    x, y = ([prints[p[k]] for p in pairs] for k in (0, 1))
+    near = near_copies.near_pairs(x, y, *(np.array([n[p[k]] for p in pairs]) for k in (0, 1)))
+    similar = [len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j])) for i, j in pairs]
+    assert near.tolist() == similar and sum(similar) == 6
+
+
 def test_no_rows_and_rows_without_id(spark):
     docs = frame(spark, ["a b c"])
     assert near_copies.keep_first(docs.limit(0)).collect() == []
