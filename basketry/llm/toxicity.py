@@ -120,6 +120,7 @@ def fit_chain(x: np.ndarray, labels: np.ndarray, folds: np.ndarray) -> list[np.n
             w = fit_logistic(full[~inside], y[~inside])
             held_out[inside] = _sigmoid(full[inside] @ w[:-1] + w[-1])
         weights.append(fit_logistic(full, y))
+        del full  # the next one is as large
         earlier = np.hstack([earlier, held_out[:, None]])
     return weights
 
@@ -174,13 +175,15 @@ def train(docs: DataFrame, labels: DataFrame, sample: dict[int, int] = SAMPLE,
     kind = texts.schema["doc_id"].dataType.simpleString()
     rows = sorted(texts.select("doc_id", "text", "toxic").mapInArrow(
         vectors, f"doc_id {kind}, found array<int>, marks array<int>").collect())
-    x = np.zeros((len(rows), len(number)), dtype=np.float32)
+    x = np.zeros((len(rows), len(number)), dtype=np.uint8)
     for i, row in enumerate(rows):
         x[i, row.found] = 1
     marks = np.array([row.marks for row in rows], dtype=np.float64).reshape(len(rows), len(CATEGORIES))
-    if len({row.marks[-1] for row in rows}) < 2:  # nothing tells toxic texts from others
+    del rows  # lists of numbers take more than x
+    release_memory()
+    if len(np.unique(marks[:, -1])) < 2:  # nothing tells toxic texts from others
         return Chain({}, [np.append(np.zeros(c), -20.0) for c in range(len(CATEGORIES))])
-    return Chain(number, fit_chain(x, marks, np.arange(len(rows)) % FOLDS))
+    return Chain(number, fit_chain(x, marks, np.arange(len(x)) % FOLDS))
 
 
 def _scorer(chain: Chain):
